@@ -1,0 +1,7 @@
+"""Phonetic difficulty analytics for Arabic text, as native Spark expressions."""
+
+from .config import ScoringConfig
+from .plans.pipeline import score_verses
+from .sources.corpus import load_corpus
+
+__all__ = ["ScoringConfig", "load_corpus", "score_verses"]
