@@ -33,13 +33,19 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
 
+def _pack(rank: int) -> bytes:
+    return rank.to_bytes(4, "little")
+
+
 class MergeReplay:
     """Encoder and decoder of one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {v: k for k, v in ranks.items()}
-        self.single = [ranks[bytes([b])] for b in range(256)]
+        one = [bytes([b]) for b in range(256)]
+        self.single = np.array([ranks[b] for b in one], np.int64)
+        self.byte_pairs = np.array([[ranks.get(a + b, -1) for b in one] for a in one], np.int64)
         self._pairs: dict[int, int] = {}
 
     def _rank(self, a: int, b: int) -> int:
@@ -49,31 +55,30 @@ class MergeReplay:
             found = self._pairs[key] = self.ranks.get(self.token[a] + self.token[b], -1)
         return found
 
-    def encode_words(self, found: list[bytes]) -> list[list[int]]:
-        """Token ids of each word."""
-        out: list[list[int] | None] = [[self.ranks[w]] if w in self.ranks else [] if not w else None for w in found]
-        open_ = [i for i, ids in enumerate(out) if ids is None]
-        ids: list[int] = []
-        spans = []
-        for i in open_:
-            spans.append((len(ids), len(ids) + len(found[i])))
-            ids.extend(self.single[b] for b in found[i])
-        n = len(ids)
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        for a, b in spans:
-            after[b - 1] = -1
-            before[a] = -1
-        index: dict[int, list[int]] = {}
-        rank, pairs, missing = self._rank, self._pairs, object()
-        for p in range(n):
-            q = after[p]
-            if q >= 0:
-                r = pairs.get(ids[p] << 32 | ids[q], missing)
-                if r is missing:
-                    r = rank(ids[p], ids[q])
-                if r >= 0:
-                    index.setdefault(r, []).append(p)
+    def encode_words(self, found: list[bytes]) -> list[bytes]:
+        """Token ids of each word, packed as little-endian unsigned 32-bit integers."""
+        out = [_pack(self.ranks[w]) if w in self.ranks else None for w in found]
+        open_ = [i for i, packed in enumerate(out) if packed is None]
+        size = np.array([len(found[i]) for i in open_], np.int64)
+        end = np.cumsum(size)
+        raw = np.frombuffer(b"".join(found[i] for i in open_), np.uint8)
+        n = len(raw)
+        if not n:
+            return [b"" if x is None else x for x in out]
+        ids = self.single[raw].tolist()
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[end - 1] = -1
+        before[(end - size)] = -1
+        # here[p]: rank of the pair that starts at p now, or -1
+        here = np.full(n, -1, np.int64)
+        here[:-1] = self.byte_pairs[raw[:-1], raw[1:]]
+        here[after < 0] = -1
+        filed = np.argsort(here, kind="stable")
+        filed = filed[here[filed] >= 0]
+        present, at = np.unique(here[filed], return_index=True)
+        index = {r: x.tolist() for r, x in zip(present.tolist(), np.split(filed, at[1:]), strict=True)}
+        after, before, here = after.tolist(), before.tolist(), here.tolist()
+        known, rank = self._pairs.get, self._rank
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -83,38 +88,52 @@ class MergeReplay:
                 continue
             positions.sort()
             for k, p in enumerate(positions):
-                q = after[p]
-                if ids[p] < 0 or q < 0 or rank(ids[p], ids[q]) != r:
+                if here[p] != r:
                     continue  # a neighbour changed since the pair was filed
-                ids[p], ids[q] = r, -1
+                q = after[p]
+                ids[p], ids[q], here[q] = r, -1, -1
                 nxt = after[p] = after[q]
                 prev = before[p]
-                lower = False
+                least = r
                 if nxt >= 0:
                     before[nxt] = p
-                    new = rank(r, ids[nxt])
+                    new = known(r << 32 | ids[nxt])
+                    if new is None:
+                        new = rank(r, ids[nxt])
+                    here[p] = new
                     if new >= 0:
-                        lower |= new < r
                         if new in index:
                             index[new].append(p)
                         else:
                             index[new] = [p]
                             heapq.heappush(heap, new)
+                        if new < least:
+                            least = new
+                else:
+                    here[p] = -1
                 if prev >= 0:
-                    new = rank(ids[prev], r)
+                    new = known(ids[prev] << 32 | r)
+                    if new is None:
+                        new = rank(ids[prev], r)
+                    here[prev] = new
                     if new >= 0:
-                        lower |= new < r
                         if new in index:
                             index[new].append(prev)
                         else:
                             index[new] = [prev]
                             heapq.heappush(heap, new)
-                if lower and k + 1 < len(positions):  # a smaller rank arose: it goes first
+                        if new < least:
+                            least = new
+                if least < r and k + 1 < len(positions):  # a smaller rank arose: it goes first
                     index[r] = positions[k + 1 :]
                     heapq.heappush(heap, r)
                     break
-        for i, (a, b) in zip(open_, spans, strict=True):
-            out[i] = [x for x in ids[a:b] if x >= 0]
+        left = np.array(ids, np.int64)
+        live = left >= 0
+        packed = left[live].astype("<u4").tobytes()
+        stop = (np.cumsum(live)[end - 1] * 4).tolist()
+        for i, a, b in zip(open_, [0, *stop[:-1]], stop, strict=True):
+            out[i] = packed[a:b]
         return out  # type: ignore[return-value]
 
     def decode(self, ids: list[int]) -> bytes:
@@ -135,8 +154,7 @@ def _tokenize(path: str, pattern: str, keep: list[str], with_ids: bool):
                 if len(memory) > WORD_MEMORY:
                     memory.clear()
                 new = [w for w in set().union(*block) if w not in memory]
-                for w, ids in zip(new, coder.encode_words([w.encode() for w in new]), strict=True):
-                    memory[w] = np.array(ids, "<u4").tobytes()
+                memory.update(zip(new, coder.encode_words([w.encode() for w in new]), strict=True))
                 rows = batch.slice(first, last - first)
                 packed = [b"".join(map(memory.__getitem__, found)) for found in block]
                 decoded = [coder.decode(np.frombuffer(x, "<u4").tolist()) for x in packed]
