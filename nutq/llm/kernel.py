@@ -7,6 +7,7 @@ about ``CHUNK_BYTES`` bytes, so a task's memory does not depend on its input.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -147,3 +148,11 @@ def text_column(df: DataFrame, *keep: str) -> DataFrame:
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def write_table(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Write a frame as Parquet in the shared folder, and read it back: lineage is cut, columns are read singly."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    path = f"{root}/nutq-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, sharding, toxicity
+from . import bpe, mixing, quality, sharding, substrings, toxicity
 from .kernel import load
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -30,6 +30,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(load(spark, sf_dir, "documents"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(spark, load(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
