@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, mixing, quality, sharding, substrings, toxicity
+from . import bpe, jaccard, mixing, quality, sharding, substrings, suffixtree, toxicity
 from .kernel import load
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -42,6 +42,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op10_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(spark, load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
