@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, mixing, quality, sharding, substrings, suffixtree, toxicity
+from . import bpe, jaccard, mixing, quality, sharding, substrings, suffixtree, topk, toxicity
 from .kernel import load
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -38,6 +38,10 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup(spark, load(spark, sf_dir, "documents"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(spark, load(spark, sf_dir, "embeddings"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -50,5 +54,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+#: The whole of a component's floor, and the rows that take part.
+OP7_SQL = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_topk": OP7_SQL}
