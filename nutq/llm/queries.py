@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, mixing, quality, sharding, substrings, suffixtree, topk, toxicity
+from . import bpe, jaccard, mixing, progressive, quality, sharding, substrings, suffixtree, topk, toxicity
 from .kernel import load
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -42,6 +42,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(spark, load(spark, sf_dir, "embeddings"))
 
 
+def op8_progressive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return progressive.load_media(progressive.store(load(spark, sf_dir, "documents")))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
