@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from . import kernel
@@ -36,8 +37,12 @@ COLUMNS = 64
 CHUNK_BYTES = 1 << 20
 
 ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, (i // 8 if (i // 8 + i % 8) % 2 else i % 8))))
+#: The one-dimensional cosine basis.
 _BASIS = np.array([[np.sqrt((1 if u == 0 else 2) / 8) * np.cos((2 * x + 1) * u * np.pi / 16) for x in range(8)] for u in range(8)])
 
+#: What each coefficient, in zigzag order, adds to the 64 samples of its block.
+_INVERSE = np.kron(_BASIS, _BASIS)[ZIGZAG]
+
 #: Sampling factors of the components the encoder writes.
 SAMPLING = ((2, 2), (1, 1), (1, 1))
 EOB, ZRL = 0x00, 0xF0
@@ -45,9 +50,9 @@ EOB, ZRL = 0x00, 0xF0
 SCANS = [((0, 1, 2), 0, 0, 0, 1)] + [((c,), a, b, 0, 1) for c in range(3) for a, b in ((1, 5), (6, 63))] + [((0, 1, 2), 0, 0, 1, 0)] + [((c,), 1, 63, 1, 0) for c in range(3)]
 
 
-def _table(lengths: dict[int, list[int]]) -> tuple[bytes, list[int]]:
-    """(counts of codes of 1 to 16 bits, symbols) of a Huffman table."""
-    return bytes(len(lengths.get(n, [])) for n in range(1, 17)), [s for n in sorted(lengths) for s in lengths[n]]
+def _table(lengths: dict[int, list[int]]) -> bytes:
+    """A Huffman table as files hold it: counts of codes of 1 to 16 bits, then the symbols."""
+    return bytes(len(lengths.get(n, [])) for n in range(1, 17)) + bytes(s for n in sorted(lengths) for s in lengths[n])
 
 
 # Letters have six bits above the lowest, spaces and digits five, other scripts seven; the rest is rare.
@@ -55,12 +60,28 @@ DC_TABLE = _table({4: list(range(12))})
 AC_TABLE = _table({1: [0x06], 2: [0x05], 3: [0x07], 6: [0x04, 0x03, 0x02, 0x01, EOB, ZRL], 12: [0x08] + [r << 4 | s for r in range(1, 16) for s in range(1, 9)]})
 
 
-def _codes(table: tuple[bytes, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+_known: dict[tuple, object] = {}
+
+
+def _once(key: tuple, make):
+    """What ``make`` returns, kept for the task."""
+    if key not in _known:
+        if len(_known) > 500:
+            _known.clear()
+        _known[key] = make()
+    return _known[key]
+
+
+def _codes(table: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Code and length of each symbol."""
+    return _once(("codes", table), lambda: _make_codes(table))
+
+
+def _make_codes(table: bytes) -> tuple[np.ndarray, np.ndarray]:
     code, length = np.zeros(256, np.uint64), np.zeros(256, np.int64)
     value, at = 0, 0
-    for n, count in enumerate(table[0], 1):
-        for symbol in table[1][at : at + count]:
+    for n, count in enumerate(table[:16], 1):
+        for symbol in table[16 + at : 16 + at + count]:
             code[symbol], length[symbol] = value, n
             value += 1
         at += count
@@ -68,11 +89,15 @@ def _codes(table: tuple[bytes, list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return code, length
 
 
-def _lookup(table: tuple[bytes, list[int]]) -> np.ndarray:
+def _lookup(table: bytes) -> np.ndarray:
     """For the next 16 bits: length of the code << 8 | symbol."""
+    return _once(("lookup", table), lambda: _make_lookup(table))
+
+
+def _make_lookup(table: bytes) -> np.ndarray:
     out = np.zeros(1 << 16, np.int32)
     code, length = _codes(table)
-    for symbol in table[1]:
+    for symbol in table[16:]:
         n = int(length[symbol])
         first = int(code[symbol]) << (16 - n)
         out[first : first + (1 << (16 - n))] = n << 8 | symbol
@@ -163,7 +188,8 @@ def _ac_refine(coef: np.ndarray, a: int, b: int, low: int) -> tuple[np.ndarray,
     for j in range(int(length[EOB])):
         bits[start[plain] + j] = int(code[EOB]) >> (int(length[EOB]) - 1 - j) & 1
     row, col = np.nonzero(old & plain[:, None])
-    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    count = np.bincount(row, minlength=len(coef))
+    rank = np.arange(len(row)) - (np.cumsum(count) - count)[row]
     bits[start[row] + length[EOB] + rank] = band[row, col] >> low & 1
     for i, x in slow.items():
         bits[start[i] : start[i] + len(x)] = x
@@ -213,7 +239,7 @@ def _segment(marker: int, body: bytes) -> bytes:
 
 def _head(rows: int, cols: int, blocks: int) -> bytes:
     frame = struct.pack(">BHHB", 8, rows * 16, cols * 16, 3) + b"".join(bytes([c + 1, h << 4 | v, 0]) for c, (h, v) in enumerate(SAMPLING))
-    tables = b"\x00" + DC_TABLE[0] + bytes(DC_TABLE[1]) + b"\x10" + AC_TABLE[0] + bytes(AC_TABLE[1])
+    tables = b"\x00" + DC_TABLE + b"\x10" + AC_TABLE
     return b"\xff\xd8" + _segment(0xFE, b"blocks %d" % blocks) + _segment(0xDB, b"\x00" + b"\x01" * 64) + _segment(0xC2, frame) + _segment(0xC4, tables) + _segment(0xDD, struct.pack(">H", 1))
 
 
@@ -226,6 +252,10 @@ def geometry(blocks: int) -> tuple[int, int]:
 
 def unit_blocks(rows: int, cols: int, sampling: tuple[tuple[int, int], ...] = SAMPLING) -> list[tuple[int, np.ndarray]]:
     """(component, number of its block) in each coded unit, block by block of the unit."""
+    return _once(("order", rows, cols, sampling), lambda: _make_unit_blocks(rows, cols, sampling))
+
+
+def _make_unit_blocks(rows: int, cols: int, sampling: tuple[tuple[int, int], ...]) -> list[tuple[int, np.ndarray]]:
     r, c = np.divmod(np.arange(rows * cols), cols)
     return [(k, (r * v + y) * (cols * h) + c * h + x) for k, (h, v) in enumerate(sampling) for y in range(v) for x in range(h)]
 
@@ -286,7 +316,7 @@ def parse(data: bytes) -> dict:
         elif marker == 0xC4:
             while body:
                 n = sum(body[1:17])
-                image["tables"][body[0]] = (body[1:17], list(body[17 : 17 + n]))
+                image["tables"][body[0]] = body[1 : 17 + n]
                 body = body[17 + n :]
         elif marker == 0xC2:
             _, image["height"], image["width"], n = struct.unpack_from(">BHHB", body)
@@ -305,7 +335,7 @@ def parse(data: bytes) -> dict:
             used = tuple((t >> 4, t & 15) for t in (body[2 + 2 * k] for k in range(n)))
             end = _MARKER.search(data, at).start()
             units = [x.replace(b"\xff\x00", b"\xff") for x in _RESTART.split(data[at:end])]
-            tables = tuple(repr(image["tables"].get(d if a == 0 else 16 | c)) for d, c in used)
+            tables = tuple(image["tables"].get(d if a == 0 else 16 | c, b"") for d, c in used)
             image["scans"].append(((comps, a, b, bits >> 4, bits & 15, tables, image["restart"]), units))
             at = end
     return image
@@ -420,9 +450,9 @@ def _read_ac_refine(bits: _Bits, coef: np.ndarray, block: np.ndarray, live: np.n
 def coefficients(images: list[dict]) -> list[list[np.ndarray]]:
     """Each image's coefficient arrays, component by component, blocks x 64 in zigzag order."""
     out: list[list[np.ndarray] | None] = [None] * len(images)
-    alike: dict[str, list[int]] = {}
+    alike: dict[tuple, list[int]] = {}
     for i, image in enumerate(images):
-        alike.setdefault(repr((image["components"], [s for s, _ in image["scans"]])), []).append(i)
+        alike.setdefault((tuple(image["components"]), *[s for s, _ in image["scans"]]), []).append(i)
     for group in alike.values():
         for i, planes in zip(group, _read_group([images[i] for i in group]), strict=True):
             out[i] = planes
@@ -442,7 +472,7 @@ def _read_group(images: list[dict]) -> list[list[np.ndarray]]:
     for s, ((comps, a, b, high, low, tables, restart), _) in enumerate(images[0]["scans"]):
         parts = [x["scans"][s][1] for x in images]
         bits = _Bits([u for p in parts for u in p])
-        lookup = [_lookup(eval(t, {})) if t != "None" else np.zeros(0, np.int32) for t in tables]
+        lookup = [_lookup(t) if t else np.zeros(0, np.int32) for t in tables]
         several = len(comps) > 1
         each = 1 if several else sampling[comps[0]][0] * sampling[comps[0]][1]
         total = units * each
@@ -471,38 +501,36 @@ def _read_group(images: list[dict]) -> list[list[np.ndarray]]:
     return [[coef[k][p:q] for k, (p, q) in enumerate(c)] for c in cut]
 
 
-def samples(coef: np.ndarray, quant: tuple[int, ...], columns: int) -> np.ndarray:
-    """The inverse transform of a component: its plane of samples, 0 to 255."""
-    flat = np.zeros((len(coef), 64))
-    flat[:, ZIGZAG] = coef * np.array(quant)
-    block = (flat.reshape(-1, 8) @ _BASIS).reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, 8) @ _BASIS
+def samples(coef: np.ndarray, quant: tuple[int, ...]) -> np.ndarray:
+    """The inverse transform of a component's blocks: blocks x 8 x 8 samples, 0 to 255."""
+    block = coef.astype(np.float64) @ (_INVERSE * np.array(quant)[:, None])
     # Ties go up, whatever the last bits of the sums.
-    block = np.clip(np.floor(block + 128.5 + 1e-6), 0, 255).reshape(-1, 8, 8).transpose(0, 2, 1)
-    return block.reshape(-1, columns, 8, 8).transpose(0, 2, 1, 3).reshape(-1, columns * 8)
+    return np.clip(np.floor(block + (128.5 + 1e-6)), 0, 255).astype(np.float32).reshape(-1, 8, 8)
 
 
-def rgb(image: dict, planes: list[np.ndarray]) -> np.ndarray:
-    """The full-resolution height x width x 3 tensor; ``planes`` are sample planes."""
+def rgb(image: dict, planes: list[np.ndarray]) -> list[np.ndarray]:
+    """The full-resolution red, green and blue planes of a three-component image."""
     wide, tall = max(c[1] for c in image["components"]), max(c[2] for c in image["components"])
-    y, cb, cr = (p.repeat(tall // c[2], axis=0).repeat(wide // c[1], axis=1) for p, c in zip(planes, image["components"], strict=True))
-    cb, cr = cb - 128, cr - 128
-    out = np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], axis=-1)
-    return np.clip(np.floor(out + 0.5 + 1e-6), 0, 255).astype(np.uint8)
+    up = [lambda p, c=c: p if (c[1], c[2]) == (wide, tall) else p.repeat(tall // c[2], axis=0).repeat(wide // c[1], axis=1) for c in image["components"]]
+    y, cb, cr = up[0](planes[0]), planes[1] - np.float32(128), planes[2] - np.float32(128)
+    y = y + np.float32(0.5 + 1e-3)  # ties go up
+    green = up[1](cb * np.float32(-0.344136)) + up[2](cr * np.float32(-0.714136))
+    added = (up[2](cr * np.float32(1.402)), green, up[1](cb * np.float32(1.772)))
+    return [np.clip(y + x, 0, 255).astype(np.uint8) for x in added]
 
 
-def tensors(images: list[dict], coef: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """RGB tensors; all blocks of a component are transformed at once."""
+def tensors(images: list[dict], coef: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
+    """Colour planes of each image; all blocks of a component are transformed at once."""
     out = []
-    sizes = [[len(c) for c in x] for x in coef]
     n = len(images[0]["components"]) if images else 0
     pixels = []
     for k in range(n):
         quants = {x["quant"][x["components"][k][3]] for x in images}
         if len(quants) > 1:
             return [t for x, c in zip(images, coef, strict=True) for t in tensors([x], [c])]
-        pixels.append(samples(np.concatenate([c[k] for c in coef]), quants.pop(), 1).reshape(-1, 8, 8))
+        pixels.append(samples(np.concatenate([c[k] for c in coef]), quants.pop()))
     at = [0] * n
-    for image, size in zip(images, sizes, strict=True):
+    for image, size in zip(images, [[len(c) for c in x] for x in coef], strict=True):
         wide = max(c[1] for c in image["components"])
         planes = []
         for k in range(n):
@@ -554,19 +582,26 @@ def store(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     return text.mapInArrow(_store(list(keep)), f"{kept}, n_bytes long, media binary")
 
 
-def features(tensor: np.ndarray) -> str:
-    flat = tensor.reshape(-1, 3)
-    mean, spread = flat.mean(axis=0), flat.std(axis=0)
-    return f"{tensor.shape[1]}x{tensor.shape[0]} mean " + " ".join(f"{x:.3f}" for x in mean) + " std " + " ".join(f"{x:.3f}" for x in spread)
+def features(planes: list[np.ndarray]) -> str:
+    """Sides of the image, and mean and standard deviation of each colour."""
+    height, width = planes[0].shape
+    text = []
+    for p in planes:
+        x = p.ravel().astype(np.float64)  # sums of whole numbers, exact in any order
+        total, squares = x.sum(), x @ x
+        mean = total / x.size
+        text.append(f"{mean:.3f}/{max(squares / x.size - mean * mean, 0) ** 0.5:.3f}")
+    return f"{width}x{height} " + " ".join(text)
 
 
 def _load(keep: list[str], with_tensor: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             media = batch.column("media")
-            size = np.cumsum([len(x) for x in media])
-            cut = np.unique(np.concatenate([[0], np.searchsorted(size, np.arange(0, size[-1] if len(size) else 0, 2 * CHUNK_BYTES), side="left"), [len(media)]]))
-            for first, last in zip(cut.tolist(), cut[1:].tolist(), strict=False):
+            size = np.cumsum(pc.binary_length(media).to_numpy(zero_copy_only=False))
+            cut = np.searchsorted(size, np.arange(2 * CHUNK_BYTES, size[-1] if len(size) else 0, 2 * CHUNK_BYTES))
+            cut = np.unique(np.concatenate([[0], cut, [len(media)]])).tolist()
+            for first, last in zip(cut, cut[1:], strict=False):
                 files = media.slice(first, last - first).to_pylist()
                 images = [parse(f) for f in files]
                 coef = coefficients(images)
@@ -577,7 +612,7 @@ def _load(keep: list[str], with_tensor: bool):
                 cols += [pa.array([zlib.crc32(d[-BLOCK:]) for d in data], pa.int64()), pa.array([len(f) for f in files], pa.int64()), pa.array([hashlib.sha256(f).hexdigest() for f in files]), pa.array([features(t) for t in full])]
                 names = [*keep, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
                 if with_tensor:
-                    cols += [pa.array([list(t.shape) for t in full], pa.list_(pa.int32())), pa.array([t.tobytes() for t in full], pa.binary()), pa.array(data, pa.binary())]
+                    cols += [pa.array([[*t[0].shape, 3] for t in full], pa.list_(pa.int32())), pa.array([np.stack(t, axis=-1).tobytes() for t in full], pa.binary()), pa.array(data, pa.binary())]
                     names += ["shape", "rgb", "payload"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
