@@ -143,7 +143,7 @@ def remainder(column: str, divisor: int):
 
 def text_column(df: DataFrame, *keep: str) -> DataFrame:
     """Only the columns named and ``text``, nulls as empty."""
-    return df.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return df.select(*[c for c in keep if c != "text"], F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

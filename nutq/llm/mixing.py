@@ -11,16 +11,16 @@ source, and blocks are joined by number.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .kernel import materialize
+from . import kernel
 
 WEIGHTS = (5, 2, 1)
 #: No target is above this many times its source's size.
@@ -109,54 +109,81 @@ def slots_of(spark: SparkSession, slots: list[int], blocks: list[int]) -> DataFr
     return frame.mapInPandas(_draws(slots, blocks), "shard long, source_ix int, block long")
 
 
-def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
     """How often the mix takes each document's words.
 
-    Returns ``doc_id, size, source_ix, source_size, target, taken``.  A null
-    text has no words and is never taken; a null source is a source, the last
-    one; repeated rows are laid out one after another; other columns are not
-    read; an empty table gives no rows.  Nothing is taken more than
-    ceil(slots / blocks) times, so no document exceeds 3 times its size.
+    Returns ``keep``, ``size, source_size, target, taken`` and, with
+    ``with_text``, the ``text`` that the mix takes from the document: its
+    pieces in order, each as often as its block is used (unchanged if each is
+    used once).  A null text has no words and is never taken; a null source is
+    a source, the last one; repeated rows are laid out one after another; other
+    columns are not read; an empty table gives no rows.  Nothing is taken more
+    than ceil(slots / blocks) times, so no document exceeds 3 times its size.
 
     What the driver holds is a row for each source and GROUPS rows of counts.
     """
+    keep = tuple(dict.fromkeys([*keep, "doc_id"]))
+    columns = [c for c in keep if c != "text"]
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
-    sized = docs.select("doc_id", "source", words.alias("size"), F.xxhash64("doc_id", "text").alias("mark"))
-    sized = materialize(spark, sized)
-    sources = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()
-    sources.sort(key=lambda r: (r.source is None, [ord(c) for c in r.source or ""]))
+    extra = [F.coalesce("text", F.lit("")).alias("text")] if with_text else []
+    sized = kernel.write_table(spark, docs.select(*columns, F.col("source").alias("_source"), words.alias("size"), F.xxhash64("doc_id", "text").alias("_mark"), *extra))
+    sources = sized.groupBy("_source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()
+    sources.sort(key=lambda r: (r["_source"] is None, [ord(c) for c in r["_source"] or ""]))
     sizes = [int(r.n) for r in sources]
     target = targets(sizes, weights)
     length = [max(1, min(BLOCK_WORDS, n // LEAST_BLOCKS)) for n in sizes]
     blocks = [max(1, -(-n // b)) for n, b in zip(sizes, length, strict=True)]
     slots = [min(REPEATS * k, round(t * k / n)) if n else 0 for t, k, n in zip(target, blocks, sizes, strict=True)]
-    table = spark.createDataFrame(
-        [(r.source, i, sizes[i], target[i], length[i]) for i, r in enumerate(sources)],
-        T.StructType([T.StructField("source", T.StringType()), T.StructField("source_ix", T.IntegerType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("length", T.IntegerType())]),
-    )
+    table = spark.createDataFrame([(r["_source"], i, sizes[i], target[i], length[i]) for i, r in enumerate(sources)], "_name string, _ix int, source_size long, target double, _length long")
     # One row for each source, as was just collected: small, but checked all the same.
     few = len(sources) <= 100_000
-    joined = sized.withColumnRenamed("source", "s").join(F.broadcast(table) if few else table, F.col("s").eqNullSafe(F.col("source")), "inner").drop("s", "source")
+    joined = sized.join(F.broadcast(table) if few else table, F.col("_source").eqNullSafe(F.col("_name")), "inner").drop("_source", "_name")
 
     # Where each document starts in its source's line: totals of buckets, then a running sum in each bucket.
-    buckets = max(8, min(4096, sum(r.rows for r in sources) // 4000))
-    joined = joined.withColumn("bucket", F.pmod("mark", F.lit(buckets)).cast("int"))
-    totals = joined.groupBy("source_ix", "bucket").agg(F.sum("size").alias("n"))
-    before = W.partitionBy("source_ix").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select("source_ix", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    line = W.partitionBy("source_ix", "bucket").orderBy("mark", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    placed = joined.join(offsets, ["source_ix", "bucket"]).withColumn("start", F.col("offset") + F.sum("size").over(line) - F.col("size"))
-
-    one = F.col("length").cast("long")
+    buckets = max(8, min(65_536, sum(r.rows for r in sources) // 4000))
+    joined = joined.withColumn("_bucket", F.pmod("_mark", F.lit(buckets)).cast("int"))
+    narrow = joined.select("doc_id", "size", "_mark", "_ix", "_length", "_bucket", "source_size", "target")
+    totals = narrow.groupBy("_ix", "_bucket").agg(F.sum("size").alias("n"))
+    before = W.partitionBy("_ix").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select("_ix", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    line = W.partitionBy("_ix", "_bucket").orderBy("_mark", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+
+    def place(df: DataFrame) -> DataFrame:
+        return df.join(offsets, ["_ix", "_bucket"]).withColumn("_start", F.col("_offset") + F.sum("size").over(line) - F.col("size"))
+
+    start, size, one = F.col("_start"), F.col("size"), F.col("_length")
     pieces = (
-        placed.where("size > 0")
-        .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / one), F.floor((F.col("start") + F.col("size") - 1) / one))))
-        .withColumn("part", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * one) - F.greatest("start", F.col("block") * one))
-        .select("doc_id", "size", "source_ix", "source_size", "target", "start", "block", "part")
+        place(joined.select("doc_id", *[c for c in columns if c != "doc_id"], *[c for c in narrow.columns if c != "doc_id"]) if not with_text else narrow)
+        .where("size > 0")
+        .withColumn("_block", F.explode(F.sequence(F.floor(start / one), F.floor((start + size - 1) / one))))
+        .withColumn("_part", F.least(start + size, (F.col("_block") + 1) * one) - F.greatest(start, F.col("_block") * one))
     )
-    uses = slots_of(spark, slots, blocks).groupBy("source_ix", "block").agg(F.count("*").alias("uses"))
-    key = ["doc_id", "size", "source_ix", "source_size", "target", "start"]
-    taken = pieces.join(uses, ["source_ix", "block"], "left").groupBy(*key).agg(F.sum(F.col("part") * F.coalesce("uses", F.lit(0))).alias("taken"))
-    columns = ["doc_id", "size", "source_ix", "source_size", "target", "taken"]
-    return taken.select(*columns).unionByName(joined.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*columns))
-
+    uses = slots_of(spark, slots, blocks).groupBy(F.col("source_ix").alias("_ix"), F.col("block").alias("_block")).agg(F.count("*").alias("_uses"))
+    # The planner takes the slots for as few rows as the groups they come from; they are as many as the blocks.
+    used = pieces.join(uses.hint("merge"), ["_ix", "_block"], "left").withColumn("_uses", F.coalesce("_uses", F.lit(0)))
+    taken = F.sum(F.col("_part") * F.col("_uses")).cast("long").alias("taken")
+    result = [*columns, "size", "source_size", "target", "taken"]
+    none = joined.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
+    if not with_text:
+        return used.groupBy(*columns, "size", "_ix", "source_size", "target", "_start").agg(taken).select(*result).unionByName(none.select(*result))
+    # A source's line has one document with words at each place, so the place names the document.
+    by_place = used.groupBy("_ix", "_start").agg(taken, F.sort_array(F.collect_list(F.struct("_block", "_part", "_uses"))).alias("_pieces"))
+    whole = place(joined).where("size > 0").join(by_place, ["_ix", "_start"]).select(*result, "text", "_pieces")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (whole.schema[c] for c in result))
+    made = whole.mapInPandas(_repeat, f"{kept}, text string")
+    return made.unionByName(none.select(*result, "text"))
+
+
+def _repeat(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    word = re.compile(WORD)
+    for frame in frames:
+        texts = []
+        for text, pieces in zip(frame["text"], frame["_pieces"], strict=True):
+            if any(p["_uses"] != 1 for p in pieces):
+                found, at, out = word.findall(text), 0, []
+                for p in pieces:
+                    out += found[at : at + p["_part"]] * p["_uses"]
+                    at += p["_part"]
+                text = " ".join(out)
+            texts.append(text)
+        yield frame.drop(columns="_pieces").assign(text=texts)

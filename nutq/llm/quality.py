@@ -9,14 +9,18 @@ regression over bins of the ridge score turns it into a probability.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel
 
+#: Statistics of a text.
+STATISTICS = 20
 #: Words of a segment; the worst segment of a text has statistics of its own.
 SEGMENT = 50
 FEATURES = 256
@@ -61,7 +65,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     starts = np.flatnonzero(place % SEGMENT == 0)
     of = w.doc[starts]
     full = np.minimum(SEGMENT, n[of])
-    out = np.zeros((n_docs, 2 * len(per_word) + 4))
+    out = np.zeros((n_docs, STATISTICS))
     some = np.maximum(n, 1)
     for k, flag in enumerate(per_word):
         out[:, 2 * k] = np.bincount(w.doc, flag, n_docs) / some
@@ -114,7 +118,7 @@ def _normal_equations(mean: np.ndarray, scale: np.ndarray):
             if batch.num_rows:
                 z = _expand(_array(batch.column("stats")), mean, scale)
                 total += z.T @ np.hstack([z, batch.column("label").to_numpy()[:, None]])
-        yield pa.RecordBatch.from_arrays([pa.array([int(np.random.default_rng().integers(1 << 30))]), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
 
     return run
 
@@ -125,7 +129,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batch.column("sums").to_pylist():
             total = np.frombuffer(x) + (0 if total is None else total)
     if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
 
 
 def isotonic(value: np.ndarray, hits: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,54 +144,78 @@ def isotonic(value: np.ndarray, hits: np.ndarray, count: np.ndarray) -> tuple[np
     return arr[:, 0] / arr[:, 2], (arr[:, 1] + 0.02) / (arr[:, 2] + 0.04)
 
 
-def _score(keep: list[str], mean: np.ndarray, scale: np.ndarray, weights: np.ndarray, x: np.ndarray | None, y: np.ndarray | None):
+def _train_scores(mean: np.ndarray, scale: np.ndarray, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            value = _expand(_array(batch.column("stats")), mean, scale) @ weights
-            if x is not None:
-                value = np.interp(value, x, y)
-            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(value)], names=[*keep, "score"])
+            if batch.num_rows:
+                value = _expand(_array(batch.column("stats")), mean, scale) @ weights
+                yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(value)], names=["label", "score"])
 
     return run
 
 
-def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "quality", keep: tuple[str, ...] = ("doc_id",), modulus: int = 3, held: int = 1) -> DataFrame:
-    """Score every whole text: ``keep``, ``held_out``, ``score``, ``predicted``.
+@dataclass
+class Model:
+    mean: np.ndarray
+    scale: np.ndarray
+    weights: np.ndarray
+    x: np.ndarray
+    y: np.ndarray
 
-    Labels are learnt from rows whose crc32 of the id, modulo ``modulus``, is
-    not ``held``; label, language, source and id are no inputs.  A null text
-    counts as empty and is scored like any other; a null id is held out never
-    and has no label; labels that are null are passed over; repeated rows are
-    scored each; other columns are not read; an empty table gives no rows.
-    With no label to learn from, every score is 0.5.
-    """
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (docs.schema[c] for c in keep))
-    text = kernel.text_column(docs, *dict.fromkeys([*keep, "doc_id"])).withColumn("held_out", kernel.remainder("doc_id", modulus) == held)
-    columns = [*dict.fromkeys([*keep, "doc_id"]), "held_out"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in text.select(*columns).schema)
-    stats = kernel.materialize(spark, text.mapInArrow(_statistics(columns), f"{schema}, stats array<double>"))
+
+def _apply(keep: list[str], model: dict | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("text")
+            for first, last in kernel.chunks(column):
+                score = np.full(last - first, 0.5)
+                if model:
+                    m = Model(**model)
+                    value = _expand(statistics(column.slice(first, last - first)), m.mean, m.scale) @ m.weights
+                    score = np.interp(value, m.x, m.y)
+                rows = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays([*map(rows.column, keep), pa.array(score)], names=[*keep, "score"])
+
+    return run
+
+
+def fit(spark: SparkSession, train: DataFrame, labels: DataFrame, label: str) -> Model | None:
+    """The model of ``doc_id, text`` rows and their labels; None where there are not two classes."""
+    stats = kernel.materialize(spark, train.mapInArrow(_statistics(["doc_id"]), f"doc_id {train.schema['doc_id'].dataType.simpleString()}, stats array<double>"))
     truth = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("double").alias("label"))
-    train = stats.where("NOT held_out").select("doc_id", "stats").join(truth, "doc_id").select("stats", "label")
-    width = 20
-    sums = train.agg(F.count("*"), F.sum("label"), *[f(F.col("stats")[i]) for i in range(width) for f in (F.avg, F.stddev_pop)]).first()
-    out = f"{kept}, held_out boolean, score double"
+    known = kernel.materialize(spark, stats.join(truth, "doc_id").select("stats", "label"))
+    sums = known.agg(F.count("*"), F.sum("label"), *[f(F.col("stats")[i]) for i in range(STATISTICS) for f in (F.avg, F.stddev_pop)]).first()
     if not sums[0] or sums[1] in (0, sums[0]):
-        flat = stats.select(*keep, "held_out", F.lit(0.5).alias("score"))
-        return flat.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        return None
     mean, scale = np.array(sums[2::2]), np.array(sums[3::2])
     scale = np.where(scale > 1e-9, scale, 1.0)
-    part = train.mapInArrow(_normal_equations(mean, scale), "part long, sums binary")
-    branches = max(1, int(train.rdd.getNumPartitions() ** 0.5))
+    part = known.mapInArrow(_normal_equations(mean, scale), "part long, sums binary")
+    branches = max(1, int(known.rdd.getNumPartitions() ** 0.5))
     added = part.repartition(branches, "part").mapInArrow(_add, "part long, sums binary").coalesce(1).mapInArrow(_add, "part long, sums binary")
     total = np.frombuffer(added.first().sums).reshape(FEATURES + 1, FEATURES + 2)
     ridge = np.full(FEATURES + 1, RIDGE)
     ridge[-1] = 0
     weights = np.linalg.solve(total[:, :-1] + np.diag(ridge), total[:, -1])
-    scored = train.mapInArrow(_score(["label"], mean, scale, weights, None, None), "label double, score double")
+    scored = known.mapInArrow(_train_scores(mean, scale, weights), "label double, score double")
     bins = F.least(F.greatest(F.floor((F.col("score") + 1) * (BINS / 3)), F.lit(0)), F.lit(BINS - 1))
     curve = scored.groupBy(bins.alias("bin")).agg(F.avg("score").alias("v"), F.sum("label").alias("h"), F.count("*").alias("c")).orderBy("bin").collect()
-    x, y = isotonic(*(np.array([r[k] for r in curve], float) for k in "vhc"))
-    every = stats.mapInArrow(_score([*keep, "held_out"], mean, scale, weights, x, y), out)
-    return every.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return Model(mean, scale, weights, *isotonic(*(np.array([r[k] for r in curve], float) for k in "vhc")))
+
+
+def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "quality", keep: tuple[str, ...] = ("doc_id",), modulus: int = 3, held: int = 1) -> DataFrame:
+    """Score every whole text: ``keep``, ``held_out``, ``score``, ``predicted``.
+
+    Labels are learnt from rows whose crc32 of the id, modulo ``modulus``, is
+    not ``held``; label, language, source and id are no inputs.  A null text
+    counts as empty and is scored like any other; a null id is never held out
+    and has no label; labels that are null are passed over; repeated rows are
+    scored each; other columns are not read; an empty table gives no rows.
+    With labels of one class or none to learn from, every score is 0.5.
+    """
+    marked = docs.withColumn("held_out", kernel.remainder("doc_id", modulus) == held)
+    model = fit(spark, kernel.text_column(marked.where("NOT held_out"), "doc_id"), labels, label)
+    columns = [*keep, "held_out"]
+    text = kernel.text_column(marked, *columns)
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in columns))
+    scored = text.mapInArrow(_apply(columns, model and vars(model)), f"{kept}, score double")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -19,7 +19,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(spark, load(spark, sf_dir, "documents")).drop("source_ix")
+    return mixing.mix(spark, load(spark, sf_dir, "documents"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(spark, load(spark, sf_dir, "documents"))
+    return jaccard.near_duplicates(spark, load(spark, sf_dir, "documents")).drop("stays")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
