@@ -57,14 +57,14 @@ class MergeReplay:
 
     def encode_words(self, found: list[bytes]) -> list[bytes]:
         """Token ids of each word, packed as little-endian unsigned 32-bit integers."""
-        out = [_pack(self.ranks[w]) if w in self.ranks else None for w in found]
+        out = [_pack(self.ranks[w]) if w in self.ranks else None if w else b"" for w in found]
         open_ = [i for i, packed in enumerate(out) if packed is None]
         size = np.array([len(found[i]) for i in open_], np.int64)
         end = np.cumsum(size)
         raw = np.frombuffer(b"".join(found[i] for i in open_), np.uint8)
         n = len(raw)
         if not n:
-            return [b"" if x is None else x for x in out]
+            return out
         ids = self.single[raw].tolist()
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
         after[end - 1] = -1

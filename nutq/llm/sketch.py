@@ -26,6 +26,7 @@ MOST_COUNTERS = 1 << 29
 LEAST_WIDTH = 1 << 16
 #: Counters of one slice.
 SLICE = 1 << 21
+#: A task counts a counter no further than this in one list; no level may begin above it.
 _CAP = 64
 
 
