@@ -33,8 +33,14 @@ NO_BONUS = ScoringConfig.from_dict({"bonus_same_group": 0, "bonus_madd_guttural"
 LONG = {"casts": ["word_count", "letter_count", "base_score", "hard_letter_count", "adjacency_bonus", "hard_adjacent_count", "same_group_count", "emphatic_pair_count", "tajweed_bonus", "shadda_hard_count", "madd_guttural_count", "idgham_count", "raw_score", "surah", "ayah", "ord"]}
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A small table that is read in fewer pieces than there are cores is dealt out; a large one stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def verse_view(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = _spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     line = docs.select("doc_id", F.posexplode(F.split("text" if second else F.lower("text"), "\n")).alias("pos", "line"))
     text = F.translate("line", LATIN_2, ARABIC_2) if second else F.translate("line", LATIN, ARABIC)
     verses = line.select((F.col("doc_id") * 100_000 + F.col("pos")).alias("ord"), F.col("doc_id").alias("surah"), (F.col("pos") + 1).cast("long").alias("ayah"), text.alias("text"))
