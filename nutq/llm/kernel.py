@@ -7,6 +7,7 @@ about ``CHUNK_BYTES`` bytes, so a task's memory does not depend on its input.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: Rows of the batches that Spark sends to a task's Python, where the session has its default.
+BATCH_ROWS = 1000
 _BYTE_MULTIPLIER = 0x9E3779B97F4A7C15
 _WORD_MULTIPLIERS = (0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 _MASK = (1 << 64) - 1
@@ -31,17 +34,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers: dict[int, np.ndarray] = {}
-
-
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        full = np.full(max(n, 1 << 16), base, np.uint64)
-        full[0] = 1
-        have = _powers[base] = np.multiply.accumulate(full)
-    return have[:n]
+    full = np.full(n, base, np.uint64)
+    full[:1] = 1
+    return np.multiply.accumulate(full)
 
 
 def inverse(base: int) -> int:
@@ -133,7 +130,19 @@ def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(where or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    release(spark)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It does so when the driver collects garbage, which may be half an hour
+    later; a job of many steps would keep the files of all of them until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def remainder(column: str, divisor: int):
@@ -142,7 +151,10 @@ def remainder(column: str, divisor: int):
 
 
 def text_column(df: DataFrame, *keep: str) -> DataFrame:
-    """Only the columns named and ``text``, nulls as empty."""
+    """Only the columns named and ``text``, nulls as empty; whole texts are long, so batches of them are short."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, BATCH_ROWS)
     return df.select(*[c for c in keep if c != "text"], F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
@@ -155,4 +167,5 @@ def write_table(spark: SparkSession, df: DataFrame) -> DataFrame:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
     path = f"{root}/nutq-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)

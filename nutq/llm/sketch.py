@@ -110,7 +110,7 @@ def _merger(shape: Shape):
     return merge
 
 
-def build(text: DataFrame, shape: Shape, items: Callable[[pa.Array], Iterator[np.ndarray]], flush_at: int = 6_000_000) -> np.ndarray:
+def build(text: DataFrame, shape: Shape, items: Callable[[pa.Array], Iterator[np.ndarray]], flush_at: int = 2_000_000) -> np.ndarray:
     """The merged sketch of ``items`` (distinct hashes, document by document) over all texts, as packed levels.
 
     A task holds about ``flush_at`` counters before it sends them; a slice's
