@@ -5,7 +5,7 @@ A window is 50 consecutive words.  Its count is overestimated by that of its
 have equal minimizers.  Every partition counts the distinct minimizers of its
 documents in a count-min sketch; the merged sketch tells which windows may
 repeat.  A document without any is done.  The windows of the others that are
-estimated to repeat are grouped exactly, by 96 bits of hash, so that none is
+estimated to repeat are grouped exactly, by 128 bits of hash, so that none is
 lost and none is removed on an estimate.
 """
 
@@ -16,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,7 +70,6 @@ def _first_look(shape: sketch.Shape, packed, keep: list[str], want_text: bool):
     """A row for each document: done, or with its text because windows may repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 33
         for batch in batches:
             column = batch.column("text")
             for first, last in kernel.chunks(column):
@@ -84,59 +82,55 @@ def _first_look(shape: sketch.Shape, packed, keep: list[str], want_text: bool):
                 text = part if want_text else pa.array([t if h else None for t, h in zip(part.to_pylist(), hit, strict=True)], pa.string())
                 rows = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
-                    [*map(rows.column, keep), pa.array(np.arange(at, at + last - first)), pa.array(np.diff(w.first).astype(np.int64)), pa.array(hit), pa.array(digest, pa.string()), text],
-                    names=[*keep, "_row", "n_words", "_open", "kept_sha256", "text"],
+                    [*map(rows.column, keep), pa.array(np.diff(w.first).astype(np.int64)), pa.array(hit), pa.array(digest, pa.string()), text],
+                    names=[*keep, "n_words", "_open", "kept_sha256", "text"],
                 )
-                at += last - first
 
     return run
 
 
-def _document_windows(w: kernel.Words, value: np.ndarray, begins: np.ndarray):
-    """For each document: its distinct window hashes, where they first are, and the windows' index into them."""
-    cut = np.searchsorted(begins, w.first)
-    for doc, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
-        if b > a:
-            yield doc, a, b, *np.unique(value[a:b], return_index=True, return_inverse=True)
+def _whole(value: np.ndarray) -> np.ndarray:
+    """A hash of all windows of a document, in order."""
+    with np.errstate(over="ignore"):
+        return kernel.mix(np.array([np.bitwise_xor.reduce(kernel.mix(value + np.arange(len(value), dtype=np.uint64))) + np.uint64(len(value))]))
 
 
 def _windows(shape: sketch.Shape, packed):
-    """Windows that may repeat: row, index among the document's distinct windows, hash, id.
+    """h1, h2, id of the distinct windows that may repeat, and of each document as a whole.
 
-    Index -1 is the whole document.  Of equal documents that one task meets,
-    only one whose id is below those before sends its windows; the others are
-    judged by the whole.
+    Of equal documents that one task meets, only one whose id is below those
+    before sends its windows; the others are judged as a whole.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[int, int] = {}
         for batch in batches:
             column = batch.column("text")
-            ids, numbers = batch.column("doc_id").to_pylist(), batch.column("_row").to_numpy()
+            ids = batch.column("id").to_pylist()
             for first, last in kernel.chunks(column):
                 w = kernel.words(column.slice(first, last - first))
                 one, begins = kernel.window_hashes(w, WINDOW)
                 two, _ = kernel.window_hashes(w, WINDOW, 1)
                 maybe = sketch.levels(shape, packed.value, _minimizers(w)[0]) > 0
+                cut = np.searchsorted(begins, w.first)
                 out: list[tuple[np.ndarray, ...]] = []
-                for doc, a, b, value, at, _ in _document_windows(w, one, begins):
+                for doc, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
                     me = ids[first + doc]
-                    if me is None:
+                    if a == b or me is None:
                         continue
-                    row = numbers[first + doc]
-                    with np.errstate(over="ignore"):
-                        whole = kernel.mix(np.array([np.bitwise_xor.reduce(kernel.mix(one[a:b] + np.arange(b - a, dtype=np.uint64))) + np.uint64(b - a)]))
-                    out.append((np.array([row]), np.array([-1]), whole, whole >> np.uint64(32), np.array([me])))
+                    whole = _whole(one[a:b])
+                    out.append((whole, whole, np.array([me])))
                     key = int(whole[0])
                     if key in met and met[key] <= me:
                         continue
                     if len(met) < 1_000_000:
                         met[key] = me
-                    pick = np.flatnonzero(maybe[a:b][at])
-                    out.append((np.full(len(pick), row), pick, value[pick], two[a:b][at[pick]], np.full(len(pick), me)))
+                    pick = np.flatnonzero(maybe[a:b]) + a
+                    value, at = np.unique(one[pick], return_index=True)
+                    out.append((value, two[pick[at]], np.full(len(value), me)))
                 if out:
-                    row, index, h1, h2, me = (np.concatenate(x) for x in zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int64)), pa.array(index.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array((h2.astype(np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)), pa.array(me.astype(np.int64))], names=["_row", "index", "h1", "h2", "id"])
+                    h1, h2, me = (np.concatenate(x) for x in zip(*out, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(me.astype(np.int64))], names=["h1", "h2", "id"])
 
     return run
 
@@ -152,20 +146,20 @@ def _remove(keep: list[str], with_text: bool):
                 n = np.diff(w.first)
                 gone = np.zeros(len(w.hash), bool)
                 value, begins = kernel.window_hashes(w, WINDOW)
-                for doc, a, b, distinct, _, inverse in _document_windows(w, value, begins):
-                    dead = np.array(lists[doc] or [], np.int64)
-                    if not len(dead):
+                cut = np.searchsorted(begins, w.first)
+                for doc, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
+                    dead = np.array(lists[doc] or [], np.int64).view(np.uint64)
+                    if a == b or not len(dead):
                         continue
-                    if (dead < 0).any():
-                        gone[w.first[doc] : w.first[doc + 1]] = True
+                    span = slice(w.first[doc], w.first[doc + 1])
+                    if np.isin(_whole(value[a:b]), dead)[0]:
+                        gone[span] = True
                         continue
-                    flag = np.zeros(len(distinct), bool)
-                    flag[dead] = True
                     edge = np.zeros(n[doc] + 1, np.int64)
-                    starts = np.flatnonzero(flag[inverse])
+                    starts = np.flatnonzero(np.isin(value[a:b], dead))
                     edge[starts] += 1
-                    np.add.at(edge, starts + WINDOW, -1)
-                    gone[w.first[doc] : w.first[doc + 1]] = np.cumsum(edge[:-1]) > 0
+                    edge[starts + WINDOW] -= 1
+                    gone[span] = np.cumsum(edge[:-1]) > 0
                 removed = np.add.reduceat(np.append(gone, False).astype(np.int64), w.first[:-1]) * (n > 0)
                 digest = [_kept(w, i, gone[w.first[i] : w.first[i + 1]]) for i in range(last - first)]
                 cols = [*map(rows.column, keep), pa.array(n.astype(np.int64)), pa.array(removed), pa.array(digest, pa.string())]
@@ -204,13 +198,13 @@ def dedup(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     shape = sketch.Shape.of(sketch.text_bytes(docs) // 120, ROOM, DEPTH)
     packed = spark.sparkContext.broadcast(sketch.build(text, shape, _items))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in keep))
-    looked = kernel.write_table(spark, text.mapInArrow(_first_look(shape, packed, list(keep), with_text), f"{kept}, _row long, n_words long, _open boolean, kept_sha256 string, text string"))
-    open_ = looked.where("_open")
-    windows = open_.select("_row", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_windows(shape, packed), "_row long, index int, h1 long, h2 int, id long")
+    looked = kernel.write_table(spark, text.mapInArrow(_first_look(shape, packed, list(keep), with_text), f"{kept}, n_words long, _open boolean, kept_sha256 string, text string"))
+    open_ = looked.where("_open").withColumn("id", F.col("doc_id").cast("long"))
+    windows = open_.select("id", "text").mapInArrow(_windows(shape, packed), "h1 long, h2 long, id long")
     # Partial minima are combined before the shuffle, so a passage that very many documents hold is a few rows.
-    first = windows.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
-    gone = windows.join(first, ["h1", "h2"]).where("id > least").groupBy("_row").agg(F.collect_list("index").alias("_gone"))
-    judged = open_.join(gone, "_row", "left").select(*keep, "text", "_gone")
+    first = windows.groupBy("h1", "h2").agg(F.min("id").alias("least"))
+    gone = windows.join(first, ["h1", "h2"]).where("id > least").groupBy("id").agg(F.collect_set("h1").alias("_gone"))
+    judged = open_.join(gone, "id", "left").select(*keep, "text", "_gone")
     columns = [*keep, "n_words", "n_removed", "kept_sha256"] + ["text"] * with_text
     out = judged.mapInArrow(_remove(list(keep), with_text), f"{kept}, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text)
     done = looked.where("NOT _open").withColumn("n_removed", F.lit(0).cast("long")).select(*columns)
