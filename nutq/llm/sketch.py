@@ -4,7 +4,7 @@ A sketch has ``depth`` rows of ``width`` counters.  Each task sends, for every
 slice of the table, the counters it touched as a compressed list; a slice is
 merged by one task; the driver receives one or two bits a counter.  The table
 has at most ``MOST_COUNTERS`` counters, whatever the corpus, so what is sent to
-the driver and broadcast is bounded by 2 bits of each: 128 MB.  Counters never
+the driver and broadcast is bounded by 2 bits of each: 64 MB.  Counters never
 fall below the true counts, so what they call rare is rare.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .kernel import mix
 
 #: Counters of the largest table, all rows together.
-MOST_COUNTERS = 1 << 29
+MOST_COUNTERS = 1 << 28
 LEAST_WIDTH = 1 << 16
 #: Counters of one slice.
 SLICE = 1 << 21
