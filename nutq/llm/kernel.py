@@ -169,3 +169,10 @@ def write_table(spark: SparkSession, df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     release(spark)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(spark: SparkSession, df: DataFrame) -> None:
+    """Delete a frame's folder that ``write_table`` made; nothing may read it any more."""
+    for file in df.inputFiles()[:1]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

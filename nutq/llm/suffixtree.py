@@ -1,22 +1,28 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 Tokens are words, A-Z lower-cased, and one end for each text.  The root's
-distribution is add-one over the training tokens.  A context of one or two
-words becomes a state if it is frequent enough and its next-token distribution
-diverges from that of its suffix.  A state lists the next tokens that follow it
-often enough, smoothed with its suffix's distribution; all others share what is
-left, in proportion to the suffix's distribution, so every distribution sums to
-one.  A token is scored in the state of its longest retained suffix.
-
-Shares of the corpus, not its size, bound the tree (as P-min does in suffix
-tree learning): at most 1 / LISTED listed tokens in all.  Everything beyond,
-such as the counts of the whole vocabulary, is counted and joined by Spark.
+distribution is add-one over the training tokens.  A context of up to
+``MOST_DEPTH`` words becomes a state if it occurs ``CONTEXT`` times and its
+next-token distribution diverges from that of its suffix.  A state lists the
+next tokens that follow it ``LISTED`` times, smoothed with its suffix's
+distribution; all others share what is left, in proportion to the suffix's
+distribution, so every distribution sums to one.  A token is scored in the
+state of its longest retained suffix.
+
+These counts are absolute, so the tree grows with the corpus.  It is a table: a
+*gram* is a context with its next token, and its log10 probability is that of
+its suffix plus a term of the context (``rest``: what it leaves to unlisted
+tokens), plus, if it is listed, a term of the gram (``gain``).  A gram is the
+context of the token after it, so a text's score is the sum of one number for
+each of its grams: an equi-join.  Bounded filters (a sketch, bit tables) only
+spare the shuffles grams that are surely absent, and the most frequent grams'
+numbers are broadcast; neither changes a result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +30,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kernel
+from . import kernel, sketch
 
-#: Least share of the training tokens: of a word to be numbered, of a context of each length, of a listed continuation.
-NUMBERED = 2e-6
-CONTEXT = (1e-4, 2e-5)
-LISTED = 5e-7
+#: Words of the longest context.
+MOST_DEPTH = 2
+#: Least occurrences in training of a context, and of a listed continuation.
+CONTEXT = 4
+LISTED = 2
 #: Least divergence from the suffix's distribution, in nats for each occurrence.
 DIVERGENCE = 0.02
 #: Weight of the suffix's distribution in a state, in tokens.
 SMOOTHING = 20.0
+#: Least share of the training tokens of a word and of a gram whose numbers are broadcast; all others are joined.
+NUMBERED = 2e-6
+HOT = 5e-8
+#: Parts of the keys that are joined one after another, so that the disk holds the shuffle of one.
+SLICES = 4
+#: log2 of the bits of the largest bit table.
+MOST_BITS = 28
 END = np.uint64(0xE7D5_0F1E_55ED_C0DE)
 _FLUSH = 2_000_000
 
@@ -49,13 +63,41 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def _counted(keys: list[np.ndarray]) -> pa.RecordBatch:
-    key, count = np.unique(np.concatenate(keys), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count.astype(np.int64))], names=["key", "n"])
+def longer(grams: np.ndarray) -> np.ndarray:
+    """Grams of one more word, by the places where they end: of the gram that ends one token before, and the one that ends here."""
+    out = np.zeros_like(grams)
+    with np.errstate(over="ignore"):
+        out[1:] = kernel.mix(grams[:-1] * np.uint64(kernel._WORD_MULTIPLIERS[0]) + grams[1:] * np.uint64(kernel._WORD_MULTIPLIERS[1]))
+    return out
+
+
+def places(first: np.ndarray) -> np.ndarray:
+    """Place of each token in its text."""
+    return np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
+
+
+class Bits:
+    """One bit for each of a table's keys; ``has`` is true of every key, and of few other values while the table is not full."""
+
+    def __init__(self, keys: DataFrame):
+        size = min(MOST_BITS, max(16, int(8 * keys.count()).bit_length()))
+        self.words = np.zeros(1 << size - 6, np.int64)
+        one = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 58) as int))")
+        found = keys.select(F.col("key").bitwiseAND(len(self.words) - 1).alias("at"), one.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+        self.words[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        return (self.words.view(np.uint64)[(keys & np.uint64(len(self.words) - 1)).astype(np.int64)] >> (keys >> np.uint64(58)) & np.uint64(1)).astype(bool)
+
 
+def _counted(held: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
+    columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+    _, at, count = np.unique(columns[0], return_index=True, return_counts=True)
+    return pa.RecordBatch.from_arrays([*[pa.array(c[at].view(np.int64)) for c in columns], pa.array(count.astype(np.int64))], names=[*names, "n"])
 
-def _counter(keys_of):
-    """Sends key, n for the keys of every chunk, combined in the task."""
+
+def _counter(keys_of, names: tuple[str, ...] = ("key",)):
+    """Sends the keys of every chunk (and what goes with each) and n, combined in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -64,83 +106,101 @@ def _counter(keys_of):
             for first, last in kernel.chunks(column):
                 found = keys_of(column.slice(first, last - first))
                 held.append(found)
-                size += len(found)
+                size += len(found[0])
                 if size > _FLUSH:
-                    yield _counted(held)
+                    yield _counted(held, names)
                     held, size = [], 0
         if size:
-            yield _counted(held)
+            yield _counted(held, names)
 
     return run
 
 
-@dataclass
-class Tree:
-    """Numbered words, states and listed continuations; all keys are sorted arrays."""
+def _pairs(column: pa.Array) -> Iterator[np.ndarray]:
+    for start, stop in kernel.chunks(column):
+        found, first = tokens(column.slice(start, stop - start))
+        yield longer(found)[places(first) >= 1]
 
-    words: np.ndarray  # hashes of numbered words, ascending
-    root: np.ndarray  # log10 probability of each of them
-    #: for depth 1 and 2: keys of contexts that may be states, kept states' log10 shares left, continuations and their log10 probabilities
-    contexts: list[np.ndarray] = field(default_factory=list)
-    left: list[np.ndarray] = field(default_factory=list)
-    kept: list[np.ndarray] = field(default_factory=list)
-    keys: list[np.ndarray] = field(default_factory=list)
-    logs: list[np.ndarray] = field(default_factory=list)
-
-    def number(self, hashes: np.ndarray) -> np.ndarray:
-        return _find(self.words, hashes)
-
-    def context(self, ids: np.ndarray, first: np.ndarray, depth: int) -> np.ndarray:
-        """Number of the context of each token at a depth, or -1."""
-        place = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
-        out = np.full(len(ids), -1, np.int64)
-        key = np.zeros(len(ids), np.int64)
-        good = place >= depth
-        for back in range(depth, 0, -1):
-            before = np.full(len(ids), -1, np.int64)
-            before[back:] = ids[:-back]
-            good &= before >= 0
-            key = key * len(self.words) + before
-        out[good] = _find(self.contexts[depth - 1], key[good])
-        return out
 
-    def log10(self, ids: np.ndarray, first: np.ndarray, depth: int | None = None) -> np.ndarray:
-        """log10 probability of each token; of an unnumbered one, the part above the root's."""
-        out = np.where(ids >= 0, self.root[ids] if len(self.root) else 0.0, 0.0)
-        for d in range(1, (len(self.kept) if depth is None else depth) + 1):
-            state = self.context(ids, first, d)
-            in_state = (state >= 0) & self.kept[d - 1][state] if len(self.kept[d - 1]) else np.zeros(len(ids), bool)
-            at = np.flatnonzero(in_state)
-            where = _find(self.keys[d - 1], np.where(ids[at] >= 0, state[at] * len(self.words) + ids[at], -1))
-            out[at] = np.where(where >= 0, self.logs[d - 1][where] if len(self.logs[d - 1]) else 0.0, out[at] + self.left[d - 1][state[at]])
-        return out
+def _grams(depth: int, contexts, listed, shape: sketch.Shape | None, packed):
+    """Grams of a context of so many words that may be listed, with their contexts and suffixes."""
 
-    def grow(self, key: np.ndarray, count: np.ndarray, total: np.ndarray) -> None:
-        """Test the contexts of the next depth, given their continuations' counts."""
-        d, n = len(self.kept) + 1, len(self.words)
-        order = np.argsort(key)
-        key, count = key[order], count[order].astype(float)
-        state, word = np.divmod(key, n)
-        below = 10 ** self._suffix_log10(d, state, word)
-        prob = (count + SMOOTHING * below) / (total[state] + SMOOTHING)
-        size = len(self.contexts[d - 1])
-        mass, mass_below = np.bincount(state, prob, size), np.bincount(state, below, size)
-        rest, rest_below = np.maximum(1 - mass, 1e-9), np.maximum(1 - mass_below, 1e-9)
-        divergence = np.bincount(state, prob * np.log(prob / below), size) + rest * np.log(rest / rest_below)
-        self.kept.append(divergence >= DIVERGENCE)
-        self.left.append(np.log10(rest / rest_below))
-        good = self.kept[-1][state] if len(state) else np.zeros(0, bool)
-        self.keys.append(key[good])
-        self.logs.append(np.log10(prob[good]))
-
-    def _suffix_log10(self, d: int, state: np.ndarray, word: np.ndarray) -> np.ndarray:
-        out = self.root[word]
-        if d == 2 and len(state):
-            last = _find(self.contexts[0], self.contexts[1][state] % len(self.words))
-            at = np.flatnonzero((last >= 0) & self.kept[0][last])
-            where = _find(self.keys[0], last[at] * len(self.words) + word[at])
-            out[at] = np.where(where >= 0, self.logs[0][where], out[at] + self.left[0][last[at]])
-        return out
+    def run(column: pa.Array) -> tuple[np.ndarray, ...]:
+        found, first = tokens(column)
+        for _ in range(depth - 1):
+            found = longer(found)
+        at = np.flatnonzero(places(first) >= depth)
+        at = at[contexts.value.has(found[at - 1])]
+        at = at[listed.value.has(found[at])]
+        key = longer(found)[at]
+        if shape:
+            often = sketch.levels(shape, packed.value, key) > 0
+            at, key = at[often], key[often]
+        return key, found[at - 1], found[at]
+
+    return run
+
+
+@dataclass
+class Model:
+    """Counts of all training tokens (key, n), the numbers of grams (key, n, gain, rest), kept states of each depth, tokens, distinct tokens."""
+
+    vocabulary: DataFrame
+    grams: DataFrame
+    states: list[DataFrame]
+    total: int
+    distinct: int
+
+
+def _level(spark: SparkSession, text: DataFrame, depth: int, before: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """(grams as key, n, log, gain; kept states as key, rest) of a depth, from the grams of the depth before as key, n, log."""
+    share = spark.sparkContext.broadcast
+    contexts, listed = share(Bits(before.where(F.col("n") >= CONTEXT))), share(Bits(before.where(F.col("n") >= LISTED)))
+    shape = sketch.Shape.of(total, 2) if depth == 1 else None
+    packed = share(sketch.build(text, shape, _pairs)) if shape else None
+    sent = text.mapInArrow(_counter(_grams(depth, contexts, listed, shape, packed), ("key", "context", "suffix")), "key long, context long, suffix long, n long")
+    counted = sent.groupBy("key").agg(F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix")).where(F.col("n") >= LISTED)
+    counted = kernel.write_table(spark, counted)
+    kernel.release(spark)
+    # A context's occurrences are those of the gram it is: each is followed by a token.
+    known = counted.join(before.where(F.col("n") >= CONTEXT).select(F.col("key").alias("context"), F.col("n").alias("all")), "context")
+    below = F.pow(F.lit(10.0), F.col("below"))
+    known = known.join(before.select(F.col("key").alias("suffix"), F.col("log").alias("below")), "suffix").withColumn("prob", (F.col("n") + SMOOTHING * below) / (F.col("all") + SMOOTHING))
+    known = kernel.write_table(spark, known.select("key", "context", "n", "below", "prob"))
+    kernel.drop_table(spark, counted)
+    sums = known.groupBy("context").agg(F.sum("prob").alias("mass"), F.sum(below).alias("mass_below"), F.sum(F.col("prob") * F.ln(F.col("prob") / below)).alias("listed"))
+    left, left_below = (F.greatest(1 - F.col(c), F.lit(1e-9)) for c in ("mass", "mass_below"))
+    states = sums.where(F.col("listed") + left * F.ln(left / left_below) >= DIVERGENCE).select(F.col("context").alias("key"), F.log10(left / left_below).alias("rest"))
+    states = kernel.write_table(spark, states)
+    kept = known.join(states.withColumnRenamed("key", "context"), "context", "left")
+    log = F.coalesce(F.when(F.col("rest").isNotNull(), F.log10("prob")), F.col("below"))
+    grams = kernel.write_table(spark, kept.select("key", "n", log.alias("log"), (F.log10("prob") - F.col("below") - F.col("rest")).alias("gain")))
+    kernel.drop_table(spark, known)
+    return grams, states
+
+
+def model(spark: SparkSession, train: DataFrame) -> Model:
+    """The tree of a frame of texts, as tables."""
+    text = train.select("text")
+    vocabulary = kernel.write_table(spark, text.mapInArrow(_counter(lambda c: (tokens(c)[0],)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    before = vocabulary.withColumn("log", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))))
+    zero, parts, states, levels = F.lit(0.0), [], [], []
+    for depth in range(1, MOST_DEPTH + 1):
+        grams, kept = _level(spark, text, depth, before, int(total))
+        states.append(kept)
+        levels.append(grams)
+        parts += [grams.where("gain IS NOT NULL").select("key", "n", "gain", zero.alias("rest")), before.join(kept, "key").select("key", "n", zero.alias("gain"), "rest")]
+        before = grams
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    # A gram's own row and its row as a context.
+    grams = every.groupBy("key").agg(F.max("n").alias("n"), F.sum("gain").alias("gain"), F.sum("rest").alias("rest"))
+    grams = kernel.write_table(spark, grams)
+    for level in levels:
+        kernel.drop_table(spark, level)
+    return Model(vocabulary, grams, states, int(total), int(distinct))
 
 
 def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -151,66 +211,80 @@ def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[at] == values, at, -1)
 
 
+def _numbers(df: DataFrame, column) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and a number of each."""
+    found = df.select("key", column.alias("value")).toArrow()
+    key = found.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return key[order], found.column("value").to_numpy()[order].astype(float)
+
+
+@dataclass
+class Tree:
+    """A whole small model in memory."""
+
+    words: np.ndarray  # hashes of all words, ascending
+    root: np.ndarray  # log10 probability of each of them
+    kept: list[np.ndarray]  # for each depth, true for every state
+    keys: np.ndarray
+    gain: np.ndarray
+    rest: np.ndarray
+
+    def log10(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """log10 probability of each token, given as its place in ``words``; of an unknown one (-1), the part above the root's."""
+        found = np.where(ids >= 0, self.words[ids], np.uint64(0))
+        out, place = np.where(ids >= 0, self.root[ids], 0.0), places(first)
+        for depth in range(1, len(self.kept) + 1):
+            at = np.flatnonzero(place >= depth)
+            state = _find(self.keys, found[at - 1])
+            out[at] += np.where(state >= 0, self.rest[state], 0.0)
+            found = longer(found)
+            gram = _find(self.keys, found[at])
+            out[at] += np.where(gram >= 0, self.gain[gram], 0.0)
+        return out
+
+
 def learn(spark: SparkSession, train: DataFrame) -> tuple[Tree, DataFrame, int, int]:
-    """(tree, counts of all training tokens as key, n; number of tokens; distinct tokens) of a frame of texts."""
-    text = train.select("text")
-    vocabulary = kernel.write_table(spark, text.mapInArrow(_counter(lambda c: tokens(c)[0]), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    often = vocabulary.where(F.col("n") >= max(2, NUMBERED * total)).toPandas()  # 1 / NUMBERED rows at most
-    words = often["key"].to_numpy().view(np.uint64)
-    order = np.argsort(words)
-    words, count = words[order], often["n"].to_numpy()[order].astype(float)
-    tree = Tree(words, np.log10((count + 1) / (total + distinct + 1)) if len(words) else np.zeros(0))
-    size = np.flatnonzero((count >= CONTEXT[0] * total) & (words != END))
-    tree.contexts.append(size.astype(np.int64))
-    totals = count[size]
-    for depth in (1, 2):
-        shared = spark.sparkContext.broadcast(vars(tree))
-
-        def keys_of(column: pa.Array, depth: int = depth, shared=shared) -> np.ndarray:
-            t = Tree(**shared.value)
-            found, first = tokens(column)
-            ids = t.number(found)
-            state = t.context(ids, first, depth)
-            good = (state >= 0) & (ids >= 0)
-            return state[good] * len(t.words) + ids[good]
-
-        followed = text.mapInArrow(_counter(keys_of), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        # At most 1 / LISTED rows, as their counts sum to no more than the tokens.
-        listed = followed.where(F.col("n") >= max(2, LISTED * total)).toPandas()
-        key, n = listed["key"].to_numpy(), listed["n"].to_numpy()
-        tree.grow(key, n, totals)
-        if depth == 1:
-            state, word = np.divmod(key, max(1, len(words)))
-            longer = (n >= CONTEXT[1] * total) & (words[word] != END) if len(words) else np.zeros(0, bool)
-            pair = tree.contexts[0][state[longer]] * len(words) + word[longer]
-            by = np.argsort(pair)
-            tree.contexts.append(pair[by])
-            totals = n[longer][by].astype(float)
-    return tree, vocabulary, int(total), int(distinct)
-
-
-def _scorer(shared, keep: list[str]):
+    """(tree, counts of all training tokens as key, n; number of tokens; distinct tokens) of a frame of few texts: the model is collected."""
+    m = model(spark, train)
+    words, root = _numbers(m.vocabulary, F.log10((F.col("n") + 1) / F.lit(float(m.total + m.distinct + 1))))
+    (keys, gain), (_, rest) = (_numbers(m.grams, F.col(c)) for c in ("gain", "rest"))
+    return Tree(words, root, [np.ones(s.count(), bool) for s in m.states], keys, gain, rest), m.vocabulary, m.total, m.distinct
+
+
+def _scorer(words, hot, cold, depth: int, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = Tree(**shared.value)
+        (numbered, root), (keys, value) = words.value, hot.value
+        root, value = np.append(root, 0.0), np.append(value, 0.0)  # the last is for what isn't found
         at = TaskContext.get().partitionId() << 33
         for batch in batches:
             column = batch.column("text")
             for start, stop in kernel.chunks(column):
                 found, first = tokens(column.slice(start, stop - start))
-                ids = tree.number(found)
-                low = first[:-1]
-                base = np.add.reduceat(np.where(ids >= 0, tree.root[ids] if len(tree.root) else 0.0, 0.0), low)
-                model = np.add.reduceat(tree.log10(ids, first), low)
+                low, n = first[:-1], stop - start
+                ids = _find(numbered, found)
+                base = np.add.reduceat(root[ids], low)
                 rare = ids < 0
-                n_rare = np.add.reduceat(rare.astype(np.int32), low)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32)), pa.array(found[rare].view(np.int64)))
-                rows = batch.slice(start, stop - start)
+                doc, place = np.repeat(np.arange(n), np.diff(first)), places(first)
+                above, docs, others = np.zeros(n), [], []
+                grams = found
+                for d in range(depth + 1):
+                    grams = longer(grams) if d else grams
+                    known = np.flatnonzero(place >= d)
+                    known = known[cold.value.has(grams[known])]
+                    there = _find(keys, grams[known])
+                    above += np.bincount(doc[known], value[there], n)
+                    docs.append(doc[known[there < 0]])
+                    others.append(grams[known[there < 0]])
+                docs, others = np.concatenate(docs), np.concatenate(others)
+                others = others[np.argsort(docs, kind="stable")]
+                list_of = lambda counts, values: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values.view(np.int64)))
+                rows = batch.slice(start, n)
                 yield pa.RecordBatch.from_arrays(
-                    [*map(rows.column, keep), pa.array(np.arange(at, at + stop - start)), pa.array(np.diff(first).astype(np.int64)), pa.array(base), pa.array(model), lists],
-                    names=[*keep, "_row", "n_tokens", "_base", "_model", "_rare"],
+                    [*map(rows.column, keep), pa.array(np.arange(at, at + n)), pa.array(np.diff(first).astype(np.int64)), pa.array(base), pa.array(base + above), list_of(np.add.reduceat(rare.astype(np.int32), low), found[rare]), list_of(np.bincount(docs, minlength=n), others)],
+                    names=[*keep, "_row", "n_tokens", "_base", "_model", "_rare", "_grams"],
                 )
-                at += stop - start
+                at += n
 
     return run
 
@@ -222,18 +296,30 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     ``held``.  A null or empty text is one end token; a null id counts as
     empty text where the remainder is taken; repeated rows are learnt and
     scored each; other columns are not read; an empty table gives no rows.
-    Words are told apart by 64 bits of hash.
+    Words and grams are told apart by 64 bits of hash.
     """
     text = kernel.text_column(docs.withColumn("held_out", kernel.remainder("doc_id", modulus) == held), *keep, "held_out")
-    tree, vocabulary, total, distinct = learn(spark, text.where("NOT held_out"))
+    m = model(spark, text.where("NOT held_out"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in [*keep, "held_out"]))
-    shared = spark.sparkContext.broadcast(vars(tree))
-    part = kernel.write_table(spark, text.mapInArrow(_scorer(shared, [*keep, "held_out"]), f"{kept}, _row long, n_tokens long, _base double, _model double, _rare array<long>"))
-    rare = part.select("_row", F.explode("_rare").alias("key")).join(vocabulary, "key", "left")
-    unseen = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(total + distinct + 1)))
-    tail = rare.groupBy("_row").agg(F.sum(unseen).alias("_tail"), F.count_if(F.col("n").isNull()).alias("_unknown"))
-    whole = part.drop("_rare").join(tail, "_row", "left")
-    zero = F.coalesce("_tail", F.lit(0.0))
+    prior = lambda n: F.log10((n + 1) / F.lit(float(m.total + m.distinct + 1)))
+    value = F.col("gain") + F.col("rest")
+    share = spark.sparkContext.broadcast
+    words = share(_numbers(m.vocabulary.where(F.col("n") >= max(2, NUMBERED * m.total)), prior(F.col("n"))))  # 1 / NUMBERED rows at most
+    hot = share(_numbers(m.grams.where(F.col("n") >= HOT * m.total), value))
+    run = _scorer(words, hot, share(Bits(m.grams)), len(m.states), [*keep, "held_out"])
+    part = kernel.write_table(spark, text.mapInArrow(run, f"{kept}, _row long, n_tokens long, _base double, _model double, _rare array<long>, _grams array<long>"))
+    rare = part.select("_row", F.explode("_rare").alias("key")).join(m.vocabulary, "key", "left")
+    tail = rare.groupBy("_row").agg(F.sum(prior(F.coalesce("n", F.lit(0)))).alias("_tail"), F.count_if(F.col("n").isNull()).alias("_unknown"))
+    others, above = m.grams.where(F.col("n") < HOT * m.total).select("key", value.alias("value")), None
+    for i in range(SLICES):
+        in_slice = lambda key: F.pmod(key, F.lit(SLICES)) == i  # noqa: B023, E731
+        joined = part.select("_row", F.explode(F.filter("_grams", in_slice)).alias("key")).join(others.where(in_slice(F.col("key"))), "key")
+        found = kernel.write_table(spark, joined.groupBy("_row").agg(F.sum("value").alias("value")))
+        above = found if above is None else above.unionByName(found)
+    above = above.groupBy("_row").agg(F.sum("value").alias("_above"))
+    whole = part.drop("_rare", "_grams").join(tail, "_row", "left").join(above, "_row", "left")
+    zero = F.lit(0.0)
+    base, over = F.coalesce("_tail", zero), F.coalesce("_above", zero)
     return whole.select(
-        *keep, "held_out", "n_tokens", (F.col("n_tokens") - F.coalesce("_unknown", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("_base") + zero).alias("base_score"), (F.col("_model") + zero).alias("score")
+        *keep, "held_out", "n_tokens", (F.col("n_tokens") - F.coalesce("_unknown", F.lit(0))).alias("n_known"), F.lit(m.total).cast("long").alias("train_tokens"), (F.col("_base") + base).alias("base_score"), (F.col("_model") + base + over).alias("score")
     )
