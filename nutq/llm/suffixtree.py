@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import kernel, sketch
 
 #: Words of the longest context.
-MOST_DEPTH = 2
+MOST_DEPTH = 6
 #: Least occurrences in training of a context, and of a listed continuation.
 CONTEXT = 4
 LISTED = 2
@@ -179,19 +179,25 @@ def _level(spark: SparkSession, text: DataFrame, depth: int, before: DataFrame,
     return grams, states
 
 
-def model(spark: SparkSession, train: DataFrame) -> Model:
-    """The tree of a frame of texts, as tables."""
+def model(spark: SparkSession, train: DataFrame, most_depth: int | None = None) -> Model:
+    """The tree of a frame of texts, as tables, with contexts of up to ``most_depth`` words (``MOST_DEPTH``).
+
+    Depths are grown one by one.  A depth that counts no gram ends this: every
+    gram of the next one would extend one of its grams, so nothing is lost.
+    """
     text = train.select("text")
     vocabulary = kernel.write_table(spark, text.mapInArrow(_counter(lambda c: (tokens(c)[0],)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     before = vocabulary.withColumn("log", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))))
     zero, parts, states, levels = F.lit(0.0), [], [], []
-    for depth in range(1, MOST_DEPTH + 1):
+    for depth in range(1, (most_depth or MOST_DEPTH) + 1):
         grams, kept = _level(spark, text, depth, before, int(total))
         states.append(kept)
         levels.append(grams)
         parts += [grams.where("gain IS NOT NULL").select("key", "n", "gain", zero.alias("rest")), before.join(kept, "key").select("key", "n", zero.alias("gain"), "rest")]
         before = grams
+        if grams.isEmpty():
+            break
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
@@ -289,7 +295,7 @@ def _scorer(words, hot, cold, depth: int, keep: list[str]):
     return run
 
 
-def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), modulus: int = 7, held: int = 2) -> DataFrame:
+def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), modulus: int = 7, held: int = 2, most_depth: int | None = None) -> DataFrame:
     """Score every whole text: ``keep``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     Learns from rows whose crc32 of the id, modulo ``modulus``, is not
@@ -299,7 +305,7 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     Words and grams are told apart by 64 bits of hash.
     """
     text = kernel.text_column(docs.withColumn("held_out", kernel.remainder("doc_id", modulus) == held), *keep, "held_out")
-    m = model(spark, text.where("NOT held_out"))
+    m = model(spark, text.where("NOT held_out"), most_depth)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in [*keep, "held_out"]))
     prior = lambda n: F.log10((n + 1) / F.lit(float(m.total + m.distinct + 1)))
     value = F.col("gain") + F.col("rest")

@@ -79,3 +79,15 @@ def test_tree_grows_with_the_corpus(spark, table):
         m = suffixtree.model(spark, spark.createDataFrame(rows, "doc_id long, text string"))
         size.append([s.count() for s in m.states])
     assert all(size[2][d] - size[1][d] > 1.9 * (size[1][d] - size[0][d]) > 3000 for d in (0, 1))
+
+
+def test_long_contexts_become_states(spark):
+    """A word that only the third word before it, or an earlier one, decides."""
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(f"a{x} b c d{' e' * (x % 2)} f{x}" for x in rng.integers(0, 8, 12))) for i in range(60)]
+    want, states = plain_scores(rows, suffixtree.MOST_DEPTH)
+    assert max(map(len, states)) >= 4
+    got = {r.doc_id: r.score for r in suffixtree.score(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i, _ in rows] == pytest.approx(want, rel=1e-9)
+    two, _ = plain_scores(rows, 2)
+    assert sum(got.values()) > 0.9 * sum(two)
