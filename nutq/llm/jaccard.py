@@ -220,7 +220,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...]
 
     Returns ``keep``, ``n_shingles``, ``component_id`` (the smallest id
     reachable, the document's own included), ``links``, the number of other
-    sets its set was verified to link with, and ``stays``, true for one row of
+    sets its set was verified to link with (no full count: pairs inside a
+    component are mostly not verified), and ``stays``, true for one row of
     each component, the first by id.  Lower-cases A-Z.  A null or empty
     text has no shingles and is linked with nothing; a text of fewer than five
     words is one shingle; repeated rows are exact copies; a null id belongs to
