@@ -162,17 +162,44 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Folders of the tables that operators wrote and that nobody has deleted yet.
+_tables: list[str] = []
+
+
+def kept_columns(keep: tuple[str, ...], *made: str) -> tuple[str, ...]:
+    """The columns to carry along, and the id; one whose name the operator gives to a column of its own gives way to it."""
+    return tuple(c for c in dict.fromkeys([*keep, "doc_id"]) if c not in made)
+
+
 def write_table(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Write a frame as Parquet in the shared folder, and read it back: lineage is cut, columns are read singly."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
     path = f"{root}/nutq-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _tables.append(path)
     release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _tables.remove(path)
+
+
 def drop_table(spark: SparkSession, df: DataFrame) -> None:
     """Delete a frame's folder that ``write_table`` made; nothing may read it any more."""
-    for file in df.inputFiles()[:1]:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    for path in [p for p in _tables if any(p in file for file in df.inputFiles()[:1])]:
+        _delete(spark, path)
+
+
+def sweep(spark: SparkSession, docs: DataFrame) -> None:
+    """Delete the tables of all operators run so far but those that ``docs`` reads.
+
+    For a chain of stages whose results are written one by one: what a stage
+    has left is of no use once its result is a table.
+    """
+    read = docs.inputFiles()
+    for path in [p for p in _tables if not any(p in file for file in read)]:
+        _delete(spark, path)
+    release(spark)

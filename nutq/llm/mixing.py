@@ -4,7 +4,8 @@ Every source's words are laid out in one line and packed into blocks of fixed
 length.  Each output shard draws how many of its slots every source fills; the
 draws are multinomial, conditioned on the sources' totals (which makes them
 multivariate hypergeometric), so that the shards are mixed at random and the
-totals still meet the targets.  A source's slots are mapped to its blocks by a
+totals still meet the targets; they are made by halving, so that a task needs
+the counts of no other.  A source's slots are mapped to its blocks by a
 pseudorandom permutation of the block numbers, a new one for each pass over the
 source, and blocks are joined by number.
 """
@@ -25,12 +26,15 @@ from . import kernel
 WEIGHTS = (5, 2, 1)
 #: No target is above this many times its source's size.
 REPEATS = 3
-BLOCK_WORDS = 128
-#: Sources below BLOCK_WORDS * LEAST_BLOCKS words are packed into shorter blocks.
-LEAST_BLOCKS = 64
+#: Words of a block, of every source.
+BLOCK_WORDS = 64
 SHARD_SLOTS = 256
-#: Groups of shards drawn on the driver; each group draws its own shards in a task.
-GROUPS = 64
+#: About so many slots are drawn by one call, shard by shard.
+GROUP_SLOTS = 64 * SHARD_SLOTS
+#: About so many documents share a place bucket, and so many buckets a block of them.
+BUCKET_ROWS, BUCKET_BLOCK = 256, 1024
+#: The driver holds a row for each source, and a shard's draw goes over all of them.
+MOST_SOURCES = 100_000
 SEED = 20_240_607
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -68,17 +72,54 @@ def permute(index: np.ndarray, n: np.ndarray, key: np.ndarray, rounds: int = 4)
     return out.astype(np.int64)
 
 
-def _draws(slots: list[int], blocks: list[int]):
+def split(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
+    """How many of ``n`` slots, drawn without replacement, fall to each source that has ``left`` of them.
+
+    Beyond the generator's range of 10^9 the normal approximation is taken, whose error is far below one standard deviation there.
+    """
+    out, rest = np.zeros_like(left), int(left.sum())
+    for i, good in enumerate(left.tolist()):
+        bad = rest - good
+        low, high = max(0, n - bad), min(good, n)
+        if low == high:
+            out[i] = low
+        elif max(good, bad) < 10**9:
+            out[i] = rng.hypergeometric(good, bad, n)
+        else:
+            share = good / rest
+            out[i] = min(high, max(low, round(rng.normal(n * share, (n * share * (1 - share) * (rest - n) / (rest - 1)) ** 0.5))))
+        rest, n = bad, n - int(out[i])
+    return out
+
+
+def group_counts(slots: np.ndarray, groups: int, group: int) -> tuple[np.ndarray, np.ndarray]:
+    """(slots of each source, slots of it in earlier groups) of one group.
+
+    All slots are halved again and again; a half's draw depends on its place
+    only, so every task finds its own group's counts without the others'.
+    """
+    total, left, before, low, high = int(slots.sum()), slots.copy(), np.zeros_like(slots), 0, groups
+    while high - low > 1:
+        middle = (low + high) // 2
+        take = split(np.random.default_rng([SEED, low, high]), left, total * middle // groups - total * low // groups)
+        if group < middle:
+            left, high = take, middle
+        else:
+            left, before, low = left - take, before + take, middle
+    return left, before
+
+
+def _draws(slots: list[int], blocks: list[int], groups: int):
     """For each group of shards: draw every shard's source counts and map its slots to blocks."""
-    n_blocks = np.array(blocks)
+    n_slots, n_blocks = np.array(slots, np.int64), np.array(blocks, np.int64)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for group, left, starts in zip(frame["group"], frame["left"], frame["starts"], strict=True):
-                rng = np.random.default_rng([SEED, int(group)])
-                left, at, shard = np.array(left), np.array(starts), 0
+            for group in frame["id"].tolist():
+                left, at = group_counts(n_slots, groups, group)
+                rng, shard = np.random.default_rng([SEED, group]), 0
                 while left.sum():
-                    take = rng.multivariate_hypergeometric(left, min(SHARD_SLOTS, int(left.sum())), method="marginals")
+                    take = split(rng, left, min(SHARD_SLOTS, int(left.sum())))
                     source = np.repeat(np.arange(len(take)), take)
                     slot = at[source] + np.arange(len(source)) - np.repeat(np.cumsum(take) - take, take)
                     turn, index = np.divmod(slot, n_blocks[source])
@@ -89,24 +130,12 @@ def _draws(slots: list[int], blocks: list[int]):
     return run
 
 
-def _group_counts(slots: list[int], groups: int) -> list[np.ndarray]:
-    rng, left, out = np.random.default_rng(SEED), np.array(slots, np.int64), []
-    for g in range(groups):
-        n = int(left.sum()) // (groups - g)
-        take = rng.multivariate_hypergeometric(left, n, method="marginals") if n else np.zeros_like(left)
-        out.append(take)
-        left = left - take
-    return out
-
-
 def slots_of(spark: SparkSession, slots: list[int], blocks: list[int]) -> DataFrame:
     """shard, source_ix, block: a row for each slot of the mix."""
-    groups = max(1, min(GROUPS, sum(slots) // SHARD_SLOTS))
-    counts = _group_counts(slots, groups)
-    starts = np.cumsum([np.zeros(len(slots), np.int64), *counts[:-1]], axis=0)
-    rows = [(g, [int(x) for x in c], [int(x) for x in s]) for g, (c, s) in enumerate(zip(counts, starts, strict=True))]
-    frame = spark.createDataFrame(rows, "group long, left array<long>, starts array<long>").repartition(groups, "group")
-    return frame.mapInPandas(_draws(slots, blocks), "shard long, source_ix int, block long")
+    groups = max(1, -(-sum(slots) // GROUP_SLOTS))
+    # Enough tasks to deal evenly; each takes as many groups as there are for it.
+    tasks = min(groups, max(64, groups // 16))
+    return spark.range(0, groups, 1, tasks).mapInPandas(_draws(slots, blocks, groups), "shard long, source_ix int, block long")
 
 
 def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
@@ -114,64 +143,64 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
 
     Returns ``keep``, ``size, source_size, target, taken`` and, with
     ``with_text``, the ``text`` that the mix takes from the document: its
-    pieces in order, each as often as its block is used (unchanged if each is
-    used once).  A null text has no words and is never taken; a null source is
-    a source, the last one; repeated rows are laid out one after another; other
-    columns are not read; an empty table gives no rows.  Nothing is taken more
-    than ceil(slots / blocks) times, so no document exceeds 3 times its size.
-
-    What the driver holds is a row for each source and GROUPS rows of counts.
+    pieces in order and with their white space, each as often as its block is
+    used (unchanged if each is used once).  A null text has no words and is
+    never taken; a null source is a source, the last one; repeated rows are
+    laid out one after another; a kept column named like a made one gives way
+    to it; other columns are not read; an empty table gives no rows.  Nothing
+    is taken more than ceil(slots / blocks) times, so no document exceeds 3
+    times its size.
+
+    The driver holds a row for each source, ``MOST_SOURCES`` at most; more are
+    an error.
     """
-    keep = tuple(dict.fromkeys([*keep, "doc_id"]))
-    columns = [c for c in keep if c != "text"]
+    columns = [c for c in kernel.kept_columns(keep, "size", "source_size", "target", "taken") if c != "text"]
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
     extra = [F.coalesce("text", F.lit("")).alias("text")] if with_text else []
-    sized = kernel.write_table(spark, docs.select(*columns, F.col("source").alias("_source"), words.alias("size"), F.xxhash64("doc_id", "text").alias("_mark"), *extra))
-    sources = sized.groupBy("_source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()
+    made = [F.monotonically_increasing_id().alias("_row"), F.col("source").alias("_source"), words.alias("size"), F.xxhash64("doc_id", "text").alias("_mark"), F.col("doc_id").cast("string").alias("_id")]
+    sized = kernel.write_table(spark, docs.select(*columns, *made, *extra))
+    sources = sized.groupBy("_source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).limit(MOST_SOURCES + 1).collect()
+    if len(sources) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     sources.sort(key=lambda r: (r["_source"] is None, [ord(c) for c in r["_source"] or ""]))
     sizes = [int(r.n) for r in sources]
     target = targets(sizes, weights)
-    length = [max(1, min(BLOCK_WORDS, n // LEAST_BLOCKS)) for n in sizes]
-    blocks = [max(1, -(-n // b)) for n, b in zip(sizes, length, strict=True)]
+    blocks = [max(1, -(-n // BLOCK_WORDS)) for n in sizes]
     slots = [min(REPEATS * k, round(t * k / n)) if n else 0 for t, k, n in zip(target, blocks, sizes, strict=True)]
-    table = spark.createDataFrame([(r["_source"], i, sizes[i], target[i], length[i]) for i, r in enumerate(sources)], "_name string, _ix int, source_size long, target double, _length long")
-    # One row for each source, as was just collected: small, but checked all the same.
-    few = len(sources) <= 100_000
-    joined = sized.join(F.broadcast(table) if few else table, F.col("_source").eqNullSafe(F.col("_name")), "inner").drop("_source", "_name")
-
-    # Where each document starts in its source's line: totals of buckets, then a running sum in each bucket.
-    buckets = max(8, min(65_536, sum(r.rows for r in sources) // 4000))
-    joined = joined.withColumn("_bucket", F.pmod("_mark", F.lit(buckets)).cast("int"))
-    narrow = joined.select("doc_id", "size", "_mark", "_ix", "_length", "_bucket", "source_size", "target")
-    totals = narrow.groupBy("_ix", "_bucket").agg(F.sum("size").alias("n"))
-    before = W.partitionBy("_ix").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select("_ix", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
-    line = W.partitionBy("_ix", "_bucket").orderBy("_mark", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-
-    def place(df: DataFrame) -> DataFrame:
-        return df.join(offsets, ["_ix", "_bucket"]).withColumn("_start", F.col("_offset") + F.sum("size").over(line) - F.col("size"))
-
-    start, size, one = F.col("_start"), F.col("size"), F.col("_length")
-    pieces = (
-        place(joined.select("doc_id", *[c for c in columns if c != "doc_id"], *[c for c in narrow.columns if c != "doc_id"]) if not with_text else narrow)
-        .where("size > 0")
-        .withColumn("_block", F.explode(F.sequence(F.floor(start / one), F.floor((start + size - 1) / one))))
-        .withColumn("_part", F.least(start + size, (F.col("_block") + 1) * one) - F.greatest(start, F.col("_block") * one))
+    # A row for each source, MOST_SOURCES at most.
+    table = F.broadcast(spark.createDataFrame([(r["_source"], i, sizes[i], target[i]) for i, r in enumerate(sources)], "_name string, _ix int, source_size long, target double"))
+    joined = sized.join(table, F.col("_source").eqNullSafe(F.col("_name")), "inner").drop("_source", "_name")
+
+    # Where each document starts in its source's line: totals of buckets and blocks of them, then a running sum in each.
+    buckets = max(8, sum(r.rows for r in sources) // BUCKET_ROWS)
+    narrow = joined.where("size > 0").select("_row", "_id", "size", "_mark", "_ix", F.pmod("_mark", F.lit(buckets)).alias("_bucket"))
+    totals = narrow.groupBy("_ix", "_bucket").agg(F.sum("size").alias("_n")).withColumn("_part", F.floor(F.col("_bucket") / BUCKET_BLOCK))
+
+    def before(df: DataFrame, place: str, name: str, *group: str) -> DataFrame:
+        line = W.partitionBy(*group).orderBy(place).rowsBetween(W.unboundedPreceding, -1)
+        return df.withColumn(name, F.coalesce(F.sum("_n").over(line), F.lit(0)))
+
+    parts = before(totals.groupBy("_ix", "_part").agg(F.sum("_n").alias("_n")), "_part", "_first", "_ix").drop("_n")
+    offsets = before(totals, "_bucket", "_next", "_ix", "_part").join(parts, ["_ix", "_part"]).select("_ix", "_bucket", (F.col("_first") + F.col("_next")).alias("_offset"))
+    line = W.partitionBy("_ix", "_bucket").orderBy("_mark", "_id", "size", "_row").rowsBetween(W.unboundedPreceding, 0)
+    placed = narrow.join(offsets, ["_ix", "_bucket"]).select("_row", "_ix", "size", (F.col("_offset") + F.sum("size").over(line) - F.col("size")).alias("_start"))
+    start, size, one = F.col("_start"), F.col("size"), F.lit(BLOCK_WORDS)
+    pieces = placed.withColumn("_block", F.explode(F.sequence(F.floor(start / one), F.floor((start + size - 1) / one)))).select(
+        "_row", "_ix", "_block", (F.least(start + size, (F.col("_block") + 1) * one) - F.greatest(start, F.col("_block") * one)).alias("_part")
     )
     uses = slots_of(spark, slots, blocks).groupBy(F.col("source_ix").alias("_ix"), F.col("block").alias("_block")).agg(F.count("*").alias("_uses"))
     # The planner takes the slots for as few rows as the groups they come from; they are as many as the blocks.
     used = pieces.join(uses.hint("merge"), ["_ix", "_block"], "left").withColumn("_uses", F.coalesce("_uses", F.lit(0)))
-    taken = F.sum(F.col("_part") * F.col("_uses")).cast("long").alias("taken")
+    detail = [F.sort_array(F.collect_list(F.struct("_block", "_part", "_uses"))).alias("_pieces")] * with_text
+    by_row = used.groupBy("_row").agg(F.sum(F.col("_part") * F.col("_uses")).cast("long").alias("taken"), *detail)
+    # Only here do whole texts move, once.
+    whole = joined.join(by_row.hint("merge"), "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
     result = [*columns, "size", "source_size", "target", "taken"]
-    none = joined.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     if not with_text:
-        return used.groupBy(*columns, "size", "_ix", "source_size", "target", "_start").agg(taken).select(*result).unionByName(none.select(*result))
-    # A source's line has one document with words at each place, so the place names the document.
-    by_place = used.groupBy("_ix", "_start").agg(taken, F.sort_array(F.collect_list(F.struct("_block", "_part", "_uses"))).alias("_pieces"))
-    whole = place(joined).where("size > 0").join(by_place, ["_ix", "_start"]).select(*result, "text", "_pieces")
+        return whole.select(*result)
+    whole = whole.select(*result, "text", "_pieces")
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (whole.schema[c] for c in result))
-    made = whole.mapInPandas(_repeat, f"{kept}, text string")
-    return made.unionByName(none.select(*result, "text"))
+    return whole.mapInPandas(_repeat, f"{kept}, text string")
 
 
 def _repeat(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,11 +208,14 @@ def _repeat(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         texts = []
         for text, pieces in zip(frame["text"], frame["_pieces"], strict=True):
-            if any(p["_uses"] != 1 for p in pieces):
-                found, at, out = word.findall(text), 0, []
+            if pieces is not None and any(p["_uses"] != 1 for p in pieces):
+                begins, at, out = [*(m.start() for m in word.finditer(text)), len(text)], 0, []
                 for p in pieces:
-                    out += found[at : at + p["_part"]] * p["_uses"]
+                    piece = text[begins[at] : begins[at + p["_part"]]]
                     at += p["_part"]
-                text = " ".join(out)
+                    if p["_uses"] > 1 and piece[-1] not in " \t\n\x0b\x0c\r":  # the text's last word
+                        piece += " "
+                    out.append(piece * p["_uses"])
+                text = "".join(out)
             texts.append(text)
         yield frame.drop(columns="_pieces").assign(text=texts)
