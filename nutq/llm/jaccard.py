@@ -14,8 +14,10 @@ into its pairs.  First every posting list links its members to one of them,
 the one with the fewest shingles of its own, then to others; what is verified
 forms components.  Then all
 remaining pairs of *different* components that share enough prefix shingles
-are verified, so no link between components is lost.  Verification computes
-the exact intersection of both sets.
+are verified, so no link between components is lost; of a pair, what both share
+with the centre of the larger component bounds what they share with each
+other, and pairs that cannot reach the threshold are left out.  Verification
+computes the exact intersection of both sets.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ ROOM = 4
 MOST_MATCHES = 12
 #: Cost of verifying a candidate, in posting entries.
 VERIFY = 20.0
+_SEEDS = (np.uint64(0x51ED270B0929F8C1), np.uint64(0x2545F4914F6CDD1D))
 #: Choices of a posting list's member that the others are linked to, before pairs are taken.
 HUB_ROUNDS = 3
 #: Pairs of different components, for each posting entry, that end these rounds.
@@ -84,80 +87,89 @@ def prefix(values: np.ndarray, level: np.ndarray) -> tuple[int, np.ndarray]:
     return matches, values[head[level[head] > 0]]
 
 
-def _nodes(shape: sketch.Shape, packed, keep: list[str]):
-    """A row for each document: set size, class (a hash of the whole set), matches, prefix; the set where it may have partners."""
+def _rows(shape: sketch.Shape, packed, keep: list[str]):
+    """A row for each document: set size, class (128 bits of hash of the whole set), matches asked for, prefix where it may have partners, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+        sent: set[tuple[int, int]] = set()
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             n = batch.num_rows
-            size, node, matches, own = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int32), np.zeros(n, np.int64)
+            size, matches, own = np.zeros(n, np.int64), np.zeros(n, np.int32), np.zeros(n, np.int64)
+            whole = np.zeros((n, 2), np.uint64)
             heads: list[np.ndarray | None] = [None] * n
-            sets: list[bytes | None] = [None] * n
-            has = np.zeros(n, bool)
             for i, values in _sets(batch.column("text")):
                 with np.errstate(over="ignore"):
-                    whole = kernel.mix(np.array([np.sum(kernel.mix(values), dtype=np.uint64) + np.uint64(len(values))]))
-                size[i], node[i], has[i] = len(values), whole.view(np.int64)[0], True
+                    whole[i] = [np.sum(kernel.mix(values ^ seed), dtype=np.uint64) + np.uint64(len(values)) for seed in _SEEDS]
+                size[i] = len(values)
                 level = sketch.levels(shape, packed.value, values)
                 own[i] = np.count_nonzero(level == 0)
                 matches[i], head = prefix(values, level)
-                if len(head) >= matches[i]:
-                    key = int(node[i])
-                    if key not in sent:  # a task sends one of equal sets
-                        heads[i], sets[i] = head, values.tobytes()
-                        if len(sent) < 1_000_000:
-                            sent.add(key)
+                key = (int(whole[i, 0]), int(whole[i, 1]))
+                if len(head) >= matches[i] and key not in sent:  # a task sends one of equal sets
+                    heads[i] = head
+                    if len(sent) < 1_000_000:
+                        sent.add(key)
+            whole = kernel.mix(whole).view(np.int64)
             flat = np.concatenate([x for x in heads if x is not None] or [np.empty(0, np.uint64)])
             at = np.concatenate([[0], np.cumsum([0 if x is None else len(x) for x in heads])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [*map(batch.column, keep), pa.array(np.arange(row, row + n)), pa.array(size), pa.array(node, mask=~has), pa.array(matches), pa.array(own), lists, pa.array(sets, pa.binary())],
-                names=[*keep, "_row", "n_shingles", "node", "matches", "own", "head", "shingles"],
-            )
+            cols = [*map(batch.column, keep), pa.array(np.arange(row, row + n)), pa.array(size), *(pa.array(whole[:, k], mask=size == 0) for k in (0, 1)), pa.array(matches), pa.array(own), lists]
+            yield pa.RecordBatch.from_arrays(cols, names=[*keep, "_row", "n_shingles", "_c1", "_c2", "_matches", "_own", "_head"])
             row += n
 
     return run
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        good = []
-        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(100 * both >= NEAR * (len(x) + len(y) - both))
-        keep = pa.array(good, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+        found = list(_sets(batch.column("text")))
+        rows = batch.column("node").take(pa.array([i for i, _ in found], pa.int64()))
+        yield pa.RecordBatch.from_arrays([rows, pa.array([x.tobytes() for _, x in found], pa.binary())], names=["node", "shingles"])
 
 
-def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of the pairs a, b of nodes, those whose prefixes share enough and whose sets reach the threshold."""
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles the sets x and y of each row share."""
+    for batch in batches:
+        both = [len(np.intersect1d(*(np.frombuffer(v.as_buffer(), np.uint64) for v in pair), assume_unique=True)) for pair in zip(batch.column("x"), batch.column("y"), strict=True)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "n_a", "n_b")), pa.array(both, pa.int64())], names=["a", "b", "n_a", "n_b", "common"])
+
+
+def _with_ends(df: DataFrame, nodes: DataFrame, column: Column, *more: str) -> DataFrame:
+    for end, name in (("a", "x"), ("b", "y")):
+        df = df.join(nodes.select(F.col("node").alias(end), column.alias(name), *[F.col(c).alias(f"{c}_{end}") for c in more]), end)
+    return df
+
 
-    def both(df: DataFrame, column: Column, *more: str) -> DataFrame:
-        for end, name in (("a", "x"), ("b", "y")):
-            df = df.join(nodes.select(F.col("node").alias(end), column.alias(name), *[F.col(c).alias(f"{c}_{end}") for c in more]), end)
-        return df
+def shared(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a, b, n_a, n_b, common: the sizes of both sets and how many shingles they share."""
+    sets = _with_ends(pairs.select("a", "b"), nodes, F.col("shingles"), "n_shingles")
+    return sets.select("a", "b", F.col("n_shingles_a").alias("n_a"), F.col("n_shingles_b").alias("n_b"), "x", "y").mapInArrow(_common, "a long, b long, n_a long, n_b long, common long")
 
+
+def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Of the pairs a, b of nodes, those whose prefixes share enough and whose sets reach the threshold."""
     # Half of each hash is sent: shingles that agree by chance only let a pair pass to the exact test.
-    head = F.transform("head", lambda x: F.shiftright(x, 32).cast("int"))
+    head = F.transform("head", lambda x: F.shiftright(x["token"], 32).cast("int"))
     merged = F.size("x") - F.size(F.array_distinct("x"))  # of one prefix, by chance
     enough = F.size(F.array_intersect("x", "y")) + merged >= F.least("matches_a", "matches_b")
-    likely = both(pairs.select("a", "b"), head, "matches").where(enough).select("a", "b")
-    return both(likely, F.col("shingles")).select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long")
+    likely = _with_ends(pairs.select("a", "b"), nodes, head, "matches").where(enough)
+    return shared(likely, nodes).where(100 * F.col("common") >= NEAR * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """node, root: the smallest node each node is linked to, by alternating large and small stars."""
+    """node, root: the smallest node each node is linked to, by alternating large and small stars.
+
+    Minima are tables before they are joined, so that adaptive execution can
+    split the rows of a node with very many links.
+    """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = kernel.materialize(spark, both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         # large star: larger neighbours go to the least one
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b")
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: the node and its smaller neighbours go to the least one
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
@@ -173,23 +185,33 @@ def _close(a: str, b: str, most: Column) -> Column:
     return 100 * most >= NEAR * (F.col(a) + F.col(b) - most)
 
 
+def _postings(nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """A row for each shingle of the prefixes that may be the first one a pair shares: those of the shortest prefix."""
+    heads = nodes.select("node", "n_shingles", "own", "head")
+    rooted = heads.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")) if roots is not None else heads.withColumn("root", F.col("node"))
+    last = F.col("n_shingles") - F.ceil(F.col("n_shingles") * NEAR / 100) - F.col("own")
+    return rooted.select("node", "root", "n_shingles", "own", F.explode("head").alias("e"), last.alias("last")).select("node", "root", "n_shingles", "own", "e.place", "e.token", "last").where("place <= last").drop("last")
+
+
 def links(spark: SparkSession, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links, components) of distinct sets with their prefixes; links connect whatever is connected."""
     # Own shingles come first in the order and are shared with nothing, so they bound what a set can share.
-    heads = nodes.select("node", "n_shingles", "own", "head")
-    shared = F.col("n_shingles") - F.col("own")
+    size = F.col("n_shingles") - F.col("own")
     found: DataFrame | None = None
-    labelled = _postings(heads.withColumn("root", F.col("node")))
+    labelled, roots, last = _postings(nodes, None), None, None
     for turn in range(HUB_ROUNDS):
         # Lists whose members are not all of one component yet, and the member the others are linked to: first the most central one.
         by = [F.col("own")] if turn == 0 else []
-        hub = F.struct(*by, F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("n_shingles").alias("hub_n"), shared.alias("hub_shared"))
+        hub = F.struct(*by, F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("n_shingles").alias("hub_n"), size.alias("hub_shared"))
         lists = labelled.groupBy("token").agg(F.min(hub).alias("hub"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token", "hub.hub", "hub.hub_root", "hub.hub_n", "hub.hub_shared")
-        near = (F.col("root") != F.col("hub_root")) & _close("n_shingles", "hub_n", F.least(shared, "hub_shared"))
+        lists = kernel.write_table(spark, lists)
+        near = (F.col("root") != F.col("hub_root")) & _close("n_shingles", "hub_n", F.least(size, "hub_shared"))
         pairs = labelled.join(lists, "token").where(near).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         new = kernel.materialize(spark, verified(pairs, nodes))
+        kernel.drop_table(spark, lists)
         found = new if found is None else found.unionByName(new)
-        labelled = _postings(heads.join(components(spark, found), "node", "left").withColumn("root", F.coalesce("root", "node")))
+        roots = components(spark, found)
+        labelled = _postings(nodes, roots)
         # Pairs of different components that lists still hold: few enough, and all are taken at once.
         by_root = labelled.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"))
         left, rows = by_root.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2), F.sum("all")).first()
@@ -199,51 +221,85 @@ def links(spark: SparkSession, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Every pair of different components that may reach the threshold, at a shingle that may be their first common one.
     hub = F.struct("own", F.xxhash64("node").alias("h"), F.col("root").alias("hub_root"))
     lists = labelled.groupBy("token").agg(F.min(hub)["hub_root"].alias("hub_root"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token", "hub_root")
-    open_ = labelled.join(lists, "token")
-    one, two = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "hub_root", "n_shingles", "own", "place")]) for s in "ab")
+    lists = kernel.write_table(spark, lists)
+    opened = kernel.write_table(spark, labelled.join(lists, "token"))
+    # What each member of a list shares with the centre of the list's large component bounds what two members share.
+    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    centre = members.join(nodes.select("node", "own"), "node").groupBy("root").agg(F.min(F.struct("own", F.xxhash64("node").alias("h"), F.col("node").alias("centre")))["centre"].alias("b"))
+    seen = opened.select(F.col("node").alias("a"), F.col("hub_root").alias("root")).distinct().join(centre, "root")
+    measured = shared(seen.select("a", "b"), nodes).select("a", "b", "common").distinct()
+    measured = kernel.materialize(spark, seen.join(measured, ["a", "b"]).select(F.col("a").alias("node"), F.col("root").alias("hub_root"), "common"))
+    known = kernel.write_table(spark, opened.join(measured, ["node", "hub_root"], "left"))
+    one, two = (known.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "hub_root", "n_shingles", "own", "place", "common")]) for s in "ab")
     # Nothing before the first common shingle is shared; lists of later ones may lose the pair.
     most = F.least(*[F.col(f"n_shingles_{s}") - F.col(f"own_{s}") - F.col(f"place_{s}") for s in "ab"])
+    # Shared inside the centre, and outside of it.
+    outside = F.least(*[F.greatest(F.col(f"n_shingles_{s}") - F.col(f"own_{s}") - F.col(f"common_{s}"), F.lit(0)) for s in "ab"])
+    most = F.least(most, F.least("common_a", "common_b") + F.when(F.col("common_a").isNotNull() & F.col("common_b").isNotNull(), outside))
     meets = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("hub_root_a")) | (F.col("node_a") < F.col("node_b"))) & _close("n_shingles_a", "n_shingles_b", most)
     near = one.where("root_a <> hub_root_a").join(two, (one.token == two.token) & meets).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
     found = found.unionByName(kernel.materialize(spark, verified(near, nodes)))
+    for table in (lists, opened, known):
+        kernel.drop_table(spark, table)
     return found, components(spark, found)
 
 
-def _postings(heads: DataFrame) -> DataFrame:
-    """A row for each shingle of the prefixes that may be the first one a pair shares: those of the shortest prefix."""
-    short = F.slice("head", F.lit(1), F.greatest(F.col("n_shingles") - F.ceil(F.col("n_shingles") * NEAR / 100) + 1 - F.col("own"), F.lit(0)).cast("int"))
-    return heads.select("node", "root", "n_shingles", "own", F.posexplode(short).alias("place", "token"))
+def _live(spark: SparkSession, table: DataFrame, classes: DataFrame) -> DataFrame:
+    """One document of each class whose prefix holds a shingle of another class's prefix: node, sizes, those shingles with their places, set.
+
+    Prefixes are counted by shingle, exactly, so that what is kept here does
+    not depend on how full the sketch is.
+    """
+    heads = table.select(F.col("_row").alias("node"), "n_shingles", F.col("_matches").alias("matches"), F.col("_own").alias("own"), F.col("_head").alias("head")).where("size(head) > 0")
+    heads = kernel.write_table(spark, heads.join(classes.select("node"), "node", "left_semi"))
+    each = heads.select("node", F.posexplode("head").alias("place", "token"))
+    common = kernel.write_table(spark, each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token"))
+    kept = each.join(common, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("head"))
+    kept = kernel.write_table(spark, heads.drop("head").join(kept, "node"))
+    kernel.drop_table(spark, common)
+    kernel.drop_table(spark, heads)
+    text = table.select(F.col("_row").alias("node"), "text").join(kept.select("node"), "node", "left_semi")
+    nodes = kernel.write_table(spark, kept.join(text.mapInArrow(_read_sets, "node long, shingles binary"), "node"))
+    kernel.drop_table(spark, kept)
+    return nodes
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The component of each document under links of Jaccard 0.8 or more.
 
     Returns ``keep``, ``n_shingles``, ``component_id`` (the smallest id
-    reachable, the document's own included), ``links``, the number of other
-    sets its set was verified to link with (no full count: pairs inside a
+    reachable, the document's own included), ``verified_links``, the number of
+    other sets its set was verified to link with (no full count: pairs inside a
     component are mostly not verified), and ``stays``, true for one row of
     each component, the first by id.  Lower-cases A-Z.  A null or empty
     text has no shingles and is linked with nothing; a text of fewer than five
     words is one shingle; repeated rows are exact copies; a null id belongs to
-    its component and stays null only where no id is reachable; other columns
-    are not read; an empty table gives no rows.
+    its component and stays null only where no id is reachable; a kept column
+    named like a made one gives way to it; other columns are not read; an empty
+    table gives no rows.
     """
-    keep = tuple(dict.fromkeys([*keep, "doc_id"]))
+    keep = kernel.kept_columns(keep, "n_shingles", "component_id", "verified_links", "stays")
     text = kernel.text_column(docs, *keep)
     shape = sketch.Shape.of(sketch.text_bytes(docs) // 6, ROOM, 1, LEVELS)
     packed = spark.sparkContext.broadcast(sketch.build(text, shape, _items))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in keep))
-    table = kernel.write_table(spark, text.mapInArrow(_nodes(shape, packed, list(keep)), f"{kept}, _row long, n_shingles long, node long, matches int, own long, head array<long>, shingles binary"))
-    # One of each class of equal sets; a task sent one each, so a class has few rows here.
-    nodes = kernel.materialize(spark, table.where("shingles IS NOT NULL").select("node", "n_shingles", "matches", "own", "head", "shingles").dropDuplicates(["node"]))
-    found, roots = links(spark, nodes)
-    degree = found.distinct().select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    columns = [*(c for c in keep if c != "text"), "text"]
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in columns))
+    table = kernel.write_table(spark, text.mapInArrow(_rows(shape, packed, columns), f"{kept}, _row long, n_shingles long, _c1 long, _c2 long, _matches int, _own long, _head array<long>"))
+    packed.destroy()
     # Class, then component, to its first row; minima are combined before they are shuffled.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    classes = table.where("node IS NOT NULL").groupBy("node").agg(first.alias("first"), F.count("*").alias("rows"))
-    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    best = named.groupBy("root").agg(F.min("first").alias("best"))
-    label = named.join(best, "root").join(degree, "node", "left").where((F.col("rows") > 1) | F.col("links").isNotNull()).select("node", "best", "links")
-    return table.select(*keep, "n_shingles", "node", "_row").join(label, "node", "left").select(
-        *keep, "n_shingles", F.coalesce("best.doc_id", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("best._row") == F.col("_row"), F.lit(True)).alias("stays")
-    )
+    sends = F.min(F.when(F.size("_head") > 0, F.col("_row"))).alias("node")
+    classes = kernel.write_table(spark, table.where("_c1 IS NOT NULL").groupBy("_c1", "_c2").agg(first.alias("first"), F.count("*").alias("rows"), sends))
+    nodes = _live(spark, table, classes.where("node IS NOT NULL"))
+    found, roots = links(spark, nodes)
+    degree = found.distinct().select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    linked = kernel.write_table(spark, classes.where("node IS NOT NULL").join(degree, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    best = kernel.materialize(spark, linked.groupBy("root").agg(F.min("first").alias("best")))
+    alone = classes.where("rows > 1").join(linked.select("_c1", "_c2"), ["_c1", "_c2"], "left_anti").select("_c1", "_c2", F.col("first").alias("best"), F.lit(0).cast("long").alias("links"))
+    label = kernel.write_table(spark, linked.join(best, "root").select("_c1", "_c2", "best", "links").unionByName(alone))
+    for done in (classes, nodes, linked):
+        kernel.drop_table(spark, done)
+    out = [*keep, "n_shingles", F.coalesce("best.doc_id", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("verified_links"), F.coalesce(F.col("best._row") == F.col("_row"), F.lit(True)).alias("stays")]
+    # Documents without words have no class; they meet nothing.
+    empty = table.where("_c1 IS NULL").select(*keep, "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("verified_links"), F.lit(True).alias("stays"))
+    return table.where("_c1 IS NOT NULL").join(label, ["_c1", "_c2"], "left").select(*out).unionByName(empty)

@@ -27,7 +27,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(spark, load(spark, sf_dir, "documents")).drop("stays")
+    return jaccard.near_duplicates(spark, load(spark, sf_dir, "documents")).drop("stays", "verified_links")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

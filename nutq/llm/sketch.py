@@ -27,7 +27,7 @@ LEAST_WIDTH = 1 << 16
 #: Counters of one slice.
 SLICE = 1 << 21
 #: A task counts a counter no further than this in one list; no level may begin above it.
-_CAP = 64
+_CAP = 65_535
 
 
 @dataclass(frozen=True)
@@ -40,10 +40,16 @@ class Shape:
 
     @classmethod
     def of(cls, items: int, room: int, depth: int = 1, levels: tuple[int, ...] = (2,)) -> Shape:
-        """With ``room`` counters in a row for each item, within bounds."""
+        """With ``room`` counters in a row for each item, within bounds.
+
+        A full table has ``load`` strange items on each counter; levels above
+        the first begin beyond these, so that they still tell frequent items.
+        """
         wanted = 1 << max(1, int(items * room) - 1).bit_length()
         most = 1 << (MOST_COUNTERS // depth).bit_length() - 1
-        return cls(min(most, max(LEAST_WIDTH, wanted)), depth, levels)
+        width = min(most, max(LEAST_WIDTH, wanted))
+        load = items / width if items > width else 0
+        return cls(width, depth, tuple(x + int(load + 4 * load**0.5) * (k > 0) for k, x in enumerate(levels)))
 
     @property
     def bits(self) -> int:
@@ -77,7 +83,7 @@ class Touched:
             return
         index, count = np.unique(np.concatenate(self.parts), return_counts=True)
         self.parts, self.held = [], 0
-        count = np.minimum(count, _CAP).astype(np.uint8)
+        count = np.minimum(count, _CAP).astype(np.uint16)
         number = index // SLICE
         cut = np.flatnonzero(np.diff(number)) + 1
         slices, packed = [], []
@@ -92,13 +98,13 @@ def _merger(shape: Shape):
     def merge(key, frame):
         import pandas as pd
 
-        total = np.zeros(SLICE, np.uint16)
+        total = np.zeros(SLICE, np.uint32)
         for blob in frame["packed"]:
             raw = zlib.decompress(blob)
             n = int.from_bytes(raw[:4], "little")
             gaps = np.frombuffer(raw, np.uint8, n, 4).astype(np.int64) + (np.frombuffer(raw, np.uint16, n, 4 + n).astype(np.int64) << 8)
             at = np.cumsum(gaps)
-            total[at] = np.minimum(total[at] + np.frombuffer(raw, np.uint8, n, 4 + 3 * n), 1 << 15)
+            total[at] = np.minimum(total[at] + np.frombuffer(raw, np.uint16, n, 4 + 3 * n), 1 << 30)
         level = np.digitize(total, shape.levels).astype(np.uint8)
         if shape.bits == 1:
             packed = np.packbits(level, bitorder="little")
