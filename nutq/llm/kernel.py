@@ -120,6 +120,15 @@ def window_hashes(w: Words, k: int, which: int = 0) -> tuple[np.ndarray, np.ndar
     return value[begins], begins
 
 
+def text_hashes(w: Words, which: int = 0) -> np.ndarray:
+    """Hash of the whole word sequence of every text."""
+    n, base, a, b = len(w.hash), _WORD_MULTIPLIERS[which], w.first[:-1], w.first[1:]
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(w.hash * powers(base, n), out=sums[1:])
+        return mix((sums[b] - sums[a]) * powers(inverse(base), n + 1)[a] + (b - a).astype(np.uint64))
+
+
 def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Cut lineage through the folder all executors share.
 

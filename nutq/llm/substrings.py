@@ -3,10 +3,11 @@
 A window is 50 consecutive words.  Its count is overestimated by that of its
 *minimizer*, the least hash among the window's runs of RUN words: equal windows
 have equal minimizers.  Every partition counts the distinct minimizers of its
-documents in a count-min sketch; the merged sketch tells which windows may
-repeat.  A document without any is done.  The windows of the others that are
-estimated to repeat are grouped exactly, by 128 bits of hash, so that none is
-lost and none is removed on an estimate.
+documents in a count-min sketch; the merged sketch, a table of counters as wide
+as the corpus asks for, tells which windows may repeat.  A document without any
+is done, and so is one whose whole word sequence an earlier one has.  The
+windows of the others that are estimated to repeat are grouped exactly, by 128
+bits of hash, so that none is lost and none is removed on an estimate.
 """
 
 from __future__ import annotations
@@ -16,16 +17,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kernel, sketch
+from . import kernel
 
 WINDOW = 50
 RUN = 12
-#: Counters in each of the sketch's rows for each minimizer.
-ROOM = 8
-DEPTH = 3
+#: Rows of the sketch, and counters in each of them for each minimizer.
+DEPTH = 2
+ROOM = 64
 
 
 def _minimizers(w: kernel.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -45,16 +47,6 @@ def _minimizers(w: kernel.Words) -> tuple[np.ndarray, np.ndarray]:
     return least[inside], inside
 
 
-def _items(column: pa.Array) -> Iterator[np.ndarray]:
-    for first, last in kernel.chunks(column):
-        w = kernel.words(column.slice(first, last - first))
-        value, begins = _minimizers(w)
-        cut = np.searchsorted(begins, w.first)
-        for a, b in zip(cut, cut[1:], strict=False):
-            if b > a:
-                yield np.unique(value[a:b])
-
-
 def _kept(w: kernel.Words, doc: int, gone: np.ndarray | None) -> str:
     """sha256 of a document's kept words, joined by one space."""
     a, b = w.first[doc], w.first[doc + 1]
@@ -66,73 +58,48 @@ def _kept(w: kernel.Words, doc: int, gone: np.ndarray | None) -> str:
     return hashlib.sha256(b" ".join([raw[x - base : y - base] for x, y in zip(start.tolist(), end.tolist(), strict=True)])).hexdigest()
 
 
-def _first_look(shape: sketch.Shape, packed, keep: list[str], want_text: bool):
-    """A row for each document: done, or with its text because windows may repeat."""
+def _first_look(keep: list[str]):
+    """A row for each document: number, words, digest, two hashes of its whole word sequence, its distinct minimizers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 33
         for batch in batches:
             column = batch.column("text")
             for first, last in kernel.chunks(column):
-                part = column.slice(first, last - first)
-                w = kernel.words(part)
+                n = last - first
+                w = kernel.words(column.slice(first, n))
                 value, begins = _minimizers(w)
-                hit = np.zeros(last - first, bool)
-                hit[w.doc[begins[sketch.levels(shape, packed.value, value) > 0]]] = True
-                digest = [None if hit[i] else _kept(w, i, None) for i in range(last - first)]
-                text = part if want_text else pa.array([t if h else None for t, h in zip(part.to_pylist(), hit, strict=True)], pa.string())
-                rows = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays(
-                    [*map(rows.column, keep), pa.array(np.diff(w.first).astype(np.int64)), pa.array(hit), pa.array(digest, pa.string()), text],
-                    names=[*keep, "n_words", "_open", "kept_sha256", "text"],
-                )
+                cut = np.searchsorted(begins, w.first)
+                lists = [np.unique(value[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+                flat = np.concatenate([*lists, np.empty(0, np.uint64)]).view(np.int64)
+                whole = [pa.array(kernel.text_hashes(w, k).view(np.int64)) for k in (0, 1)]
+                cols = [pa.array(np.arange(at, at + n)), pa.array(np.diff(w.first).astype(np.int64)), pa.array([_kept(w, i, None) for i in range(n)], pa.string()), *whole, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                yield pa.RecordBatch.from_arrays([*map(batch.slice(first, n).column, keep), *cols], names=[*keep, "_row", "n_words", "kept_sha256", "_w1", "_w2", "_least"])
+                at += n
 
     return run
 
 
-def _whole(value: np.ndarray) -> np.ndarray:
-    """A hash of all windows of a document, in order."""
-    with np.errstate(over="ignore"):
-        return kernel.mix(np.array([np.bitwise_xor.reduce(kernel.mix(value + np.arange(len(value), dtype=np.uint64))) + np.uint64(len(value))]))
-
-
-def _windows(shape: sketch.Shape, packed):
-    """h1, h2, id of the distinct windows that may repeat, and of each document as a whole.
-
-    Of equal documents that one task meets, only one whose id is below those
-    before sends its windows; the others are judged as a whole.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: dict[int, int] = {}
-        for batch in batches:
-            column = batch.column("text")
-            ids = batch.column("id").to_pylist()
-            for first, last in kernel.chunks(column):
-                w = kernel.words(column.slice(first, last - first))
-                one, begins = kernel.window_hashes(w, WINDOW)
-                two, _ = kernel.window_hashes(w, WINDOW, 1)
-                maybe = sketch.levels(shape, packed.value, _minimizers(w)[0]) > 0
-                cut = np.searchsorted(begins, w.first)
-                out: list[tuple[np.ndarray, ...]] = []
-                for doc, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
-                    me = ids[first + doc]
-                    if a == b or me is None:
-                        continue
-                    whole = _whole(one[a:b])
-                    out.append((whole, whole, np.array([me])))
-                    key = int(whole[0])
-                    if key in met and met[key] <= me:
-                        continue
-                    if len(met) < 1_000_000:
-                        met[key] = me
-                    pick = np.flatnonzero(maybe[a:b]) + a
-                    value, at = np.unique(one[pick], return_index=True)
-                    out.append((value, two[pick[at]], np.full(len(value), me)))
-                if out:
-                    h1, h2, me = (np.concatenate(x) for x in zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(me.astype(np.int64))], names=["h1", "h2", "id"])
-
-    return run
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """h1, h2, id of the distinct windows whose minimizer may repeat."""
+    for batch in batches:
+        column, lists = batch.column("text"), batch.column("_maybe")
+        for first, last in kernel.chunks(column):
+            w = kernel.words(column.slice(first, last - first))
+            one, begins = kernel.window_hashes(w, WINDOW)
+            two, _ = kernel.window_hashes(w, WINDOW, 1)
+            least = _minimizers(w)[0]
+            cut = np.searchsorted(begins, w.first)
+            out, owner = [], []
+            for doc, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
+                maybe = lists[first + doc].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                pick = np.flatnonzero(np.isin(least[a:b], maybe)) + a
+                value, at = np.unique(one[pick], return_index=True)
+                out.append((value, two[pick[at]]))
+                owner.append(np.full(len(value), first + doc))
+            h1, h2 = (np.concatenate(x).view(np.int64) for x in zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), batch.column("id").take(pa.array(np.concatenate(owner)))], names=["h1", "h2", "id"])
 
 
 def _remove(keep: list[str], with_text: bool):
@@ -152,9 +119,6 @@ def _remove(keep: list[str], with_text: bool):
                     if a == b or not len(dead):
                         continue
                     span = slice(w.first[doc], w.first[doc + 1])
-                    if np.isin(_whole(value[a:b]), dead)[0]:
-                        gone[span] = True
-                        continue
                     edge = np.zeros(n[doc] + 1, np.int64)
                     starts = np.flatnonzero(np.isin(value[a:b], dead))
                     edge[starts] += 1
@@ -184,6 +148,23 @@ def _kept_texts(w: kernel.Words, texts: list[str], gone: np.ndarray) -> list[str
     return out
 
 
+def repeated(each: DataFrame, items: int) -> DataFrame:
+    """Of rows ``_row, least``, those whose ``least`` more than one row may have.
+
+    A count-min sketch of DEPTH rows: every task's share is what Spark combines
+    before the shuffle, and the merged counters are a table that is dealt by
+    their numbers, so the sketch is as wide as the corpus asks for.  An item's
+    count never exceeds its counters, so no repeated item is lost.
+    """
+    spark, width = each.sparkSession, max(1, items) * ROOM
+    places = [F.pmod(F.xxhash64("least", F.lit(row)), F.lit(width)) + row * width for row in range(DEPTH)]
+    counters = each.select(F.explode(F.array(*places)).alias("place")).groupBy("place").agg(F.count("*").alias("n")).where("n > 1").select("place")
+    counters = kernel.write_table(spark, counters)
+    for place in places:
+        each = each.withColumn("place", place).join(counters, "place", "left_semi").drop("place")
+    return each
+
+
 def dedup(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
     """Remove each word of a window that also starts in a document with a smaller id.
 
@@ -191,21 +172,39 @@ def dedup(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     ``with_text``, the kept ``text`` (unchanged where nothing goes).  Windows
     are judged on the input.  A null text has no words; a document without id
     neither removes words nor loses any; rows with one id do not remove words
-    from each other; other columns are not read; an empty table gives no rows.
+    from each other; ids may be of any type that has an order; a kept column
+    named like a made one gives way to it; other columns are not read; an empty
+    table gives no rows.
     """
-    keep = tuple(dict.fromkeys([*keep, "doc_id"]))
+    keep = tuple(c for c in kernel.kept_columns(keep, "n_words", "n_removed", "kept_sha256") if c != "text")
     text = kernel.text_column(docs, *keep)
-    shape = sketch.Shape.of(sketch.text_bytes(docs) // 120, ROOM, DEPTH)
-    packed = spark.sparkContext.broadcast(sketch.build(text, shape, _items))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in keep))
-    looked = kernel.write_table(spark, text.mapInArrow(_first_look(shape, packed, list(keep), with_text), f"{kept}, n_words long, _open boolean, kept_sha256 string, text string"))
-    open_ = looked.where("_open").withColumn("id", F.col("doc_id").cast("long"))
-    windows = open_.select("id", "text").mapInArrow(_windows(shape, packed), "h1 long, h2 long, id long")
-    # Partial minima are combined before the shuffle, so a passage that very many documents hold is a few rows.
-    first = windows.groupBy("h1", "h2").agg(F.min("id").alias("least"))
-    gone = windows.join(first, ["h1", "h2"]).where("id > least").groupBy("id").agg(F.collect_set("h1").alias("_gone"))
-    judged = open_.join(gone, "id", "left").select(*keep, "text", "_gone")
+    schema = lambda columns: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in columns))
+    looked = kernel.write_table(spark, text.mapInArrow(_first_look([*keep, "text"]), f"{schema([*keep, 'text'])}, _row long, n_words long, kept_sha256 string, _w1 long, _w2 long, _least array<long>"))
+    # Of documents with equal words only those with the smallest id go on; the others lose all words.
+    whole = looked.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW))
+    copied = whole.groupBy("_w1", "_w2").agg(F.min("doc_id").alias("_first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    copied = kernel.write_table(spark, copied)
+    later = kernel.write_table(spark, whole.select("_row", "doc_id", "_w1", "_w2").join(copied, ["_w1", "_w2"]).where("doc_id > _first").select("_row"))
+    each = whole.select("_row", F.size("_least").cast("long").alias("k"), "_least").join(later, "_row", "left_anti")
+    items = each.agg(F.sum("k")).first()[0] or 0
+    maybe = repeated(each.select("_row", F.explode("_least").alias("least")), items).groupBy("_row").agg(F.collect_set("least").alias("_maybe"))
+    told = maybe.withColumn("_copy", F.lit(False)).unionByName(later.select("_row", F.array().cast("array<long>").alias("_maybe"), F.lit(True).alias("_copy")))
+    body = F.col("text") if with_text else F.when(F.size("_maybe") > 0, F.col("text"))
+    # Texts move once, to their lists of minimizers that may repeat; without ``with_text`` only theirs stay.
+    dealt = looked.join(told, "_row", "left").select(*keep, "n_words", "kept_sha256", "_maybe", F.coalesce("_copy", F.lit(False)).alias("_copy"), body.alias("text"))
+    dealt = kernel.write_table(spark, dealt)
+    for table in (looked, copied, later):
+        kernel.drop_table(spark, table)
+    opened = dealt.where("size(_maybe) > 0")
+    windows = opened.select(F.col("doc_id").alias("id"), "text", "_maybe").mapInArrow(_windows, f"h1 long, h2 long, id {text.schema['doc_id'].dataType.simpleString()}")
+    # Minima combine before the shuffle and are a table before the join, so that a passage of very many documents is dealt out.
+    first = kernel.write_table(spark, windows.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last"))
+    gone = windows.join(first, ["h1", "h2"]).where("id > first").groupBy("id").agg(F.collect_set("h1").alias("_gone"))
+    gone = kernel.write_table(spark, gone)
+    kernel.drop_table(spark, first)
+    judged = opened.join(gone.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(*keep, "text", "_gone")
     columns = [*keep, "n_words", "n_removed", "kept_sha256"] + ["text"] * with_text
-    out = judged.mapInArrow(_remove(list(keep), with_text), f"{kept}, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text)
-    done = looked.where("NOT _open").withColumn("n_removed", F.lit(0).cast("long")).select(*columns)
-    return done.unionByName(out.select(*columns))
+    out = judged.mapInArrow(_remove(list(keep), with_text), f"{schema(keep)}, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text)
+    copy, none = F.col("_copy"), F.lit(hashlib.sha256(b"").hexdigest())
+    done = dealt.where("_maybe IS NULL OR size(_maybe) = 0").withColumns({"n_removed": F.when(copy, F.col("n_words")).otherwise(0), "kept_sha256": F.when(copy, none).otherwise(F.col("kept_sha256")), "text": F.when(~copy, F.col("text")).otherwise("")})
+    return done.select(*columns).unionByName(out.select(*columns))
