@@ -26,6 +26,8 @@ SEGMENT = 50
 FEATURES = 256
 RIDGE = 1.0
 BINS = 2000
+#: Partitions whose shares of the normal equations one task adds up.
+FAN = 16
 SEED = 20_240_609
 #: Standard deviations beyond which a statistic is cut off.
 REACH = 5.0
@@ -92,7 +94,7 @@ def _statistics(keep: list[str]):
                 values = statistics(column.slice(first, last - first))
                 rows = batch.slice(first, last - first)
                 at = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
-                yield pa.RecordBatch.from_arrays([*map(rows.column, keep), pa.ListArray.from_arrays(pa.array(at), pa.array(values.ravel()))], names=[*keep, "stats"])
+                yield pa.RecordBatch.from_arrays([*map(rows.column, keep), pa.ListArray.from_arrays(pa.array(at), pa.array(values.ravel()))], names=[*keep, "_stats"])
 
     return run
 
@@ -112,24 +114,34 @@ def _array(column: pa.Array) -> np.ndarray:
 
 
 def _normal_equations(mean: np.ndarray, scale: np.ndarray):
+    """A partition's share of the normal equations, one row of the matrix a row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((FEATURES + 1, FEATURES + 2))
+        total, some = np.zeros((FEATURES + 1, FEATURES + 2)), False
         for batch in batches:
             if batch.num_rows:
-                z = _expand(_array(batch.column("stats")), mean, scale)
+                z, some = _expand(_array(batch.column("stats")), mean, scale), True
                 total += z.T @ np.hstack([z, batch.column("label").to_numpy()[:, None]])
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+        if some:
+            at = np.arange(FEATURES + 2, dtype=np.int32) * (FEATURES + 2)
+            part = np.full(FEATURES + 1, TaskContext.get().partitionId())
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.arange(FEATURES + 1)), pa.ListArray.from_arrays(pa.array(at), pa.array(total.ravel()))], names=["part", "row", "sums"])
 
     return run
 
 
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: np.ndarray | None = None
-    for batch in batches:
-        for x in batch.column("sums").to_pylist():
-            total = np.frombuffer(x) + (0 if total is None else total)
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+def _add(key, frame):
+    import pandas as pd
+
+    return pd.DataFrame({"part": [key[0]], "row": [key[1]], "sums": [np.sum(frame["sums"].to_numpy())]})
+
+
+def tree_sum(shares: DataFrame, parts: int) -> DataFrame:
+    """Sum rows ``part, row, sums`` by ``row``, FAN partitions at a time, level by level."""
+    while parts > 1:
+        parts = -(-parts // FAN)
+        shares = shares.withColumn("part", F.floor(F.col("part") / FAN)).groupBy("part", "row").applyInPandas(_add, "part long, row long, sums array<double>")
+    return shares
 
 
 def isotonic(value: np.ndarray, hits: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,34 +177,27 @@ class Model:
 
 def _apply(keep: list[str], model: dict | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(**model) if model else None
         for batch in batches:
-            column = batch.column("text")
-            for first, last in kernel.chunks(column):
-                score = np.full(last - first, 0.5)
-                if model:
-                    m = Model(**model)
-                    value = _expand(statistics(column.slice(first, last - first)), m.mean, m.scale) @ m.weights
-                    score = np.interp(value, m.x, m.y)
-                rows = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([*map(rows.column, keep), pa.array(score)], names=[*keep, "score"])
+            if batch.num_rows:
+                score = np.interp(_expand(_array(batch.column("_stats")), m.mean, m.scale) @ m.weights, m.x, m.y) if m else np.full(batch.num_rows, 0.5)
+                yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(score)], names=[*keep, "score"])
 
     return run
 
 
 def fit(spark: SparkSession, train: DataFrame, labels: DataFrame, label: str) -> Model | None:
-    """The model of ``doc_id, text`` rows and their labels; None where there are not two classes."""
-    stats = kernel.materialize(spark, train.mapInArrow(_statistics(["doc_id"]), f"doc_id {train.schema['doc_id'].dataType.simpleString()}, stats array<double>"))
+    """The model of ``doc_id, stats`` rows and their labels; None where there are not two classes."""
     truth = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("double").alias("label"))
-    known = kernel.materialize(spark, stats.join(truth, "doc_id").select("stats", "label"))
+    known = kernel.materialize(spark, train.join(truth, "doc_id").select("stats", "label"))
     sums = known.agg(F.count("*"), F.sum("label"), *[f(F.col("stats")[i]) for i in range(STATISTICS) for f in (F.avg, F.stddev_pop)]).first()
     if not sums[0] or sums[1] in (0, sums[0]):
         return None
     mean, scale = np.array(sums[2::2]), np.array(sums[3::2])
     scale = np.where(scale > 1e-9, scale, 1.0)
-    part = known.mapInArrow(_normal_equations(mean, scale), "part long, sums binary")
-    branches = max(1, int(known.rdd.getNumPartitions() ** 0.5))
-    added = part.repartition(branches, "part").mapInArrow(_add, "part long, sums binary").coalesce(1).mapInArrow(_add, "part long, sums binary")
-    total = np.frombuffer(added.first().sums).reshape(FEATURES + 1, FEATURES + 2)
+    shares = known.mapInArrow(_normal_equations(mean, scale), "part long, row long, sums array<double>")
+    rows = tree_sum(shares, known.rdd.getNumPartitions()).orderBy("row").collect()  # FEATURES + 1 rows
+    total = np.array([r.sums for r in rows])
     ridge = np.full(FEATURES + 1, RIDGE)
     ridge[-1] = 0
     weights = np.linalg.solve(total[:, :-1] + np.diag(ridge), total[:, -1])
@@ -206,16 +211,18 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str
     """Score every whole text: ``keep``, ``held_out``, ``score``, ``predicted``.
 
     Labels are learnt from rows whose crc32 of the id, modulo ``modulus``, is
-    not ``held``; label, language, source and id are no inputs.  A null text
-    counts as empty and is scored like any other; a null id is never held out
-    and has no label; labels that are null are passed over; repeated rows are
-    scored each; other columns are not read; an empty table gives no rows.
-    With labels of one class or none to learn from, every score is 0.5.
+    not ``held``; label, language, source and id are no inputs.  Statistics
+    are taken of every text once, to a table, which is learnt from and scored.
+    A null text counts as empty and is scored like any other; a null id is
+    never held out and has no label; labels that are null are passed over;
+    repeated rows are scored each; a kept column named like a made one gives
+    way to it; other columns are not read; an empty table gives no rows.  With
+    labels of one class or none to learn from, every score is 0.5.
     """
-    marked = docs.withColumn("held_out", kernel.remainder("doc_id", modulus) == held)
-    model = fit(spark, kernel.text_column(marked.where("NOT held_out"), "doc_id"), labels, label)
-    columns = [*keep, "held_out"]
-    text = kernel.text_column(marked, *columns)
+    columns = [*kernel.kept_columns(keep, "held_out", "score", "predicted"), "held_out"]
+    text = kernel.text_column(docs.withColumn("held_out", kernel.remainder("doc_id", modulus) == held), *columns)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in columns))
-    scored = text.mapInArrow(_apply(columns, model and vars(model)), f"{kept}, score double")
+    table = kernel.write_table(spark, text.mapInArrow(_statistics(columns), f"{kept}, _stats array<double>"))
+    model = fit(spark, table.where("NOT held_out").select("doc_id", F.col("_stats").alias("stats")), labels, label)
+    scored = table.mapInArrow(_apply(columns, model and vars(model)), f"{kept}, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
