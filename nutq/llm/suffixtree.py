@@ -1,22 +1,25 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 Tokens are words, A-Z lower-cased, and one end for each text.  The root's
-distribution is add-one over the training tokens.  A context of up to
-``MOST_DEPTH`` words becomes a state if it occurs ``CONTEXT`` times and its
-next-token distribution diverges from that of its suffix.  A state lists the
+distribution is add-one over the training tokens.  A context that occurs
+``CONTEXT`` times becomes a state if its next-token distribution diverges from
+that of its suffix by ``EVIDENCE`` nats over all its occurrences.  The tree is
+grown word by word, beyond every context whose next tokens have that many nats
+of entropy left: beyond the others there is nothing to gain.  A state lists the
 next tokens that follow it ``LISTED`` times, smoothed with its suffix's
-distribution; all others share what is left, in proportion to the suffix's
-distribution, so every distribution sums to one.  A token is scored in the
-state of its longest retained suffix.
+distribution, which weighs as many tokens as different ones follow, and one; all
+others share what is left, in proportion to the suffix's distribution, so every
+distribution sums to one.  A token is scored in the state of its longest
+retained suffix.
 
 These counts are absolute, so the tree grows with the corpus.  It is a table: a
 *gram* is a context with its next token, and its log10 probability is that of
 its suffix plus a term of the context (``rest``: what it leaves to unlisted
 tokens), plus, if it is listed, a term of the gram (``gain``).  A gram is the
 context of the token after it, so a text's score is the sum of one number for
-each of its grams: an equi-join.  Bounded filters (a sketch, bit tables) only
-spare the shuffles grams that are surely absent, and the most frequent grams'
-numbers are broadcast; neither changes a result.
+each of its grams: an equi-join.  Bounded filters (bit tables) only spare the
+shuffles grams that are surely absent, and the most frequent grams' numbers are
+broadcast; neither changes a result.
 """
 
 from __future__ import annotations
@@ -30,20 +33,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kernel, sketch
+from . import kernel
 
-#: Words of the longest context.
+#: Words of the longest context; growth mostly ends before, where no context is retained.
 MOST_DEPTH = 6
 #: Least occurrences in training of a context, and of a listed continuation.
 CONTEXT = 4
 LISTED = 2
-#: Least divergence from the suffix's distribution, in nats for each occurrence.
-DIVERGENCE = 0.02
-#: Weight of the suffix's distribution in a state, in tokens.
-SMOOTHING = 20.0
+#: Least divergence from the suffix's distribution over all occurrences, and entropy left to longer contexts, in nats.
+EVIDENCE = 8.0
 #: Least share of the training tokens of a word and of a gram whose numbers are broadcast; all others are joined.
 NUMBERED = 2e-6
-HOT = 5e-8
+HOT = 2e-7
 #: Parts of the keys that are joined one after another, so that the disk holds the shuffle of one.
 SLICES = 4
 #: log2 of the bits of the largest bit table.
@@ -76,18 +77,18 @@ def places(first: np.ndarray) -> np.ndarray:
     return np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
 
 
-class Bits:
+def bits(keys: DataFrame) -> np.ndarray:
     """One bit for each of a table's keys; ``has`` is true of every key, and of few other values while the table is not full."""
+    size = min(MOST_BITS, max(16, int(8 * keys.count()).bit_length()))
+    words = np.zeros(1 << size - 6, np.int64)
+    one = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 58) as int))")
+    found = keys.select(F.col("key").bitwiseAND(len(words) - 1).alias("at"), one.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+    return words
 
-    def __init__(self, keys: DataFrame):
-        size = min(MOST_BITS, max(16, int(8 * keys.count()).bit_length()))
-        self.words = np.zeros(1 << size - 6, np.int64)
-        one = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 58) as int))")
-        found = keys.select(F.col("key").bitwiseAND(len(self.words) - 1).alias("at"), one.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
-        self.words[found.column("at").to_numpy()] = found.column("bits").to_numpy()
 
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        return (self.words.view(np.uint64)[(keys & np.uint64(len(self.words) - 1)).astype(np.int64)] >> (keys >> np.uint64(58)) & np.uint64(1)).astype(bool)
+def has(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return (words.view(np.uint64)[(keys & np.uint64(len(words) - 1)).astype(np.int64)] >> (keys >> np.uint64(58)) & np.uint64(1)).astype(bool)
 
 
 def _counted(held: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
@@ -116,97 +117,107 @@ def _counter(keys_of, names: tuple[str, ...] = ("key",)):
     return run
 
 
-def _pairs(column: pa.Array) -> Iterator[np.ndarray]:
-    for start, stop in kernel.chunks(column):
-        found, first = tokens(column.slice(start, stop - start))
-        yield longer(found)[places(first) >= 1]
+def _words_and_pairs(column: pa.Array) -> tuple[np.ndarray, ...]:
+    """All words, and all pairs of words with their contexts and suffixes; a word has none."""
+    found, first = tokens(column)
+    at = np.flatnonzero(places(first) >= 1)
+    none = np.zeros_like(found)
+    return tuple(map(np.concatenate, ((found, longer(found)[at]), (none, found[at - 1]), (none, found[at]))))
 
 
-def _grams(depth: int, contexts, listed, shape: sketch.Shape | None, packed):
-    """Grams of a context of so many words that may be listed, with their contexts and suffixes."""
+def _grams(depth: int, grown):
+    """Grams of a context of so many words whose suffix may be grown beyond, with their contexts and suffixes."""
 
     def run(column: pa.Array) -> tuple[np.ndarray, ...]:
-        found, first = tokens(column)
-        for _ in range(depth - 1):
-            found = longer(found)
+        suffix, first = tokens(column)
+        for _ in range(depth - 2):
+            suffix = longer(suffix)
         at = np.flatnonzero(places(first) >= depth)
-        at = at[contexts.value.has(found[at - 1])]
-        at = at[listed.value.has(found[at])]
-        key = longer(found)[at]
-        if shape:
-            often = sketch.levels(shape, packed.value, key) > 0
-            at, key = at[often], key[often]
-        return key, found[at - 1], found[at]
+        at = at[has(grown.value, suffix[at - 1])]
+        found = longer(suffix)
+        return longer(found)[at], found[at - 1], found[at]
 
     return run
 
 
 @dataclass
 class Model:
-    """Counts of all training tokens (key, n), the numbers of grams (key, n, gain, rest), kept states of each depth, tokens, distinct tokens."""
+    """Counts of all training tokens (key, n), the numbers of grams (key, n, gain, rest), how many states each depth has, tokens, distinct tokens."""
 
     vocabulary: DataFrame
     grams: DataFrame
-    states: list[DataFrame]
+    states: list[int]
     total: int
     distinct: int
 
 
-def _level(spark: SparkSession, text: DataFrame, depth: int, before: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
-    """(grams as key, n, log, gain; kept states as key, rest) of a depth, from the grams of the depth before as key, n, log."""
-    share = spark.sparkContext.broadcast
-    contexts, listed = share(Bits(before.where(F.col("n") >= CONTEXT))), share(Bits(before.where(F.col("n") >= LISTED)))
-    shape = sketch.Shape.of(total, 2) if depth == 1 else None
-    packed = share(sketch.build(text, shape, _pairs)) if shape else None
-    sent = text.mapInArrow(_counter(_grams(depth, contexts, listed, shape, packed), ("key", "context", "suffix")), "key long, context long, suffix long, n long")
-    counted = sent.groupBy("key").agg(F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix")).where(F.col("n") >= LISTED)
-    counted = kernel.write_table(spark, counted)
-    kernel.release(spark)
-    # A context's occurrences are those of the gram it is: each is followed by a token.
-    known = counted.join(before.where(F.col("n") >= CONTEXT).select(F.col("key").alias("context"), F.col("n").alias("all")), "context")
-    below = F.pow(F.lit(10.0), F.col("below"))
-    known = known.join(before.select(F.col("key").alias("suffix"), F.col("log").alias("below")), "suffix").withColumn("prob", (F.col("n") + SMOOTHING * below) / (F.col("all") + SMOOTHING))
-    known = kernel.write_table(spark, known.select("key", "context", "n", "below", "prob"))
-    kernel.drop_table(spark, counted)
-    sums = known.groupBy("context").agg(F.sum("prob").alias("mass"), F.sum(below).alias("mass_below"), F.sum(F.col("prob") * F.ln(F.col("prob") / below)).alias("listed"))
+_GRAM = "key long, context long, suffix long, n long"
+
+
+def _sum(sent: DataFrame) -> DataFrame:
+    return sent.groupBy("key").agg(F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix"))
+
+
+def _level(spark: SparkSession, counted: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of a depth: its listed grams (key, n, log, and gain where their context is a state), states (key, n, rest) and contexts to grow beyond (key)."""
+    # Contexts and suffixes are tables before they are joined, so that adaptive execution can split very frequent ones.
+    n = F.col("n")
+    contexts = counted.groupBy("context").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"), F.sum(n * F.ln(n)).alias("logs")).where(F.col("all") >= CONTEXT)
+    contexts = kernel.write_table(spark, contexts)
+    grown = kernel.write_table(spark, contexts.where(F.col("all") * F.ln("all") - F.col("logs") >= EVIDENCE).select(F.col("context").alias("key")))
+    below, weight = F.pow(F.lit(10.0), F.col("below")), F.col("kinds") + 1
+    known = counted.where(n >= LISTED).join(contexts.drop("logs"), "context")
+    known = known.join(before.select(F.col("key").alias("suffix"), F.col("log").alias("below")), "suffix").withColumn("prob", (n + weight * below) / (F.col("all") + weight))
+    known = kernel.write_table(spark, known.select("key", "context", "n", "all", "below", "prob"))
+    sums = known.groupBy("context").agg(F.max("all").alias("all"), F.sum("prob").alias("mass"), F.sum(below).alias("mass_below"), F.sum(F.col("prob") * F.ln(F.col("prob") / below)).alias("listed"))
     left, left_below = (F.greatest(1 - F.col(c), F.lit(1e-9)) for c in ("mass", "mass_below"))
-    states = sums.where(F.col("listed") + left * F.ln(left / left_below) >= DIVERGENCE).select(F.col("context").alias("key"), F.log10(left / left_below).alias("rest"))
+    diverges = F.col("all") * (F.col("listed") + left * F.ln(left / left_below)) >= EVIDENCE
+    states = sums.where(diverges).select(F.col("context").alias("key"), F.col("all").alias("n"), F.log10(left / left_below).alias("rest"))
     states = kernel.write_table(spark, states)
-    kept = known.join(states.withColumnRenamed("key", "context"), "context", "left")
+    kept = known.join(states.select(F.col("key").alias("context"), "rest"), "context", "left")
     log = F.coalesce(F.when(F.col("rest").isNotNull(), F.log10("prob")), F.col("below"))
     grams = kernel.write_table(spark, kept.select("key", "n", log.alias("log"), (F.log10("prob") - F.col("below") - F.col("rest")).alias("gain")))
-    kernel.drop_table(spark, known)
-    return grams, states
+    for done in (contexts, known):
+        kernel.drop_table(spark, done)
+    return grams, states, grown
 
 
 def model(spark: SparkSession, train: DataFrame, most_depth: int | None = None) -> Model:
     """The tree of a frame of texts, as tables, with contexts of up to ``most_depth`` words (``MOST_DEPTH``).
 
-    Depths are grown one by one.  A depth that counts no gram ends this: every
-    gram of the next one would extend one of its grams, so nothing is lost.
+    Depths are grown one by one; one beyond which there is no entropy left ends this.
     """
     text = train.select("text")
-    vocabulary = kernel.write_table(spark, text.mapInArrow(_counter(lambda c: (tokens(c)[0],)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    first = kernel.write_table(spark, _sum(text.mapInArrow(_counter(_words_and_pairs, ("key", "context", "suffix")), _GRAM)))
+    word = (F.col("context") == 0) & (F.col("suffix") == 0)
+    vocabulary = kernel.write_table(spark, first.where(word).select("key", "n"))
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    counted = first.where(~word)
     before = vocabulary.withColumn("log", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))))
-    zero, parts, states, levels = F.lit(0.0), [], [], []
+    zero, parts, states, levels, near = F.lit(0.0), [], [], [], None
     for depth in range(1, (most_depth or MOST_DEPTH) + 1):
-        grams, kept = _level(spark, text, depth, before, int(total))
+        if near:
+            counted = kernel.write_table(spark, _sum(text.mapInArrow(_counter(_grams(depth, near), ("key", "context", "suffix")), _GRAM)))
+            near.destroy()
+        grams, kept, grown = _level(spark, counted, before)
+        kernel.drop_table(spark, counted)
+        levels += [grams, kept, grown]
         states.append(kept)
-        levels.append(grams)
-        parts += [grams.where("gain IS NOT NULL").select("key", "n", "gain", zero.alias("rest")), before.join(kept, "key").select("key", "n", zero.alias("gain"), "rest")]
+        parts += [grams.where("gain IS NOT NULL").select("key", "n", "gain", zero.alias("rest")), kept.select("key", "n", zero.alias("gain"), "rest")]
         before = grams
-        if grams.isEmpty():
+        if grown.isEmpty():
             break
-    every = parts[0]
-    for part in parts[1:]:
+        near = spark.sparkContext.broadcast(bits(grown))
+    every = spark.createDataFrame([], "key long, n long, gain double, rest double")
+    for part in parts:
         every = every.unionByName(part)
     # A gram's own row and its row as a context.
     grams = every.groupBy("key").agg(F.max("n").alias("n"), F.sum("gain").alias("gain"), F.sum("rest").alias("rest"))
     grams = kernel.write_table(spark, grams)
+    counts = [kept.count() for kept in states]
     for level in levels:
         kernel.drop_table(spark, level)
-    return Model(vocabulary, grams, states, int(total), int(distinct))
+    return Model(vocabulary, grams, counts, int(total), int(distinct))
 
 
 def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -255,7 +266,7 @@ def learn(spark: SparkSession, train: DataFrame) -> tuple[Tree, DataFrame, int,
     m = model(spark, train)
     words, root = _numbers(m.vocabulary, F.log10((F.col("n") + 1) / F.lit(float(m.total + m.distinct + 1))))
     (keys, gain), (_, rest) = (_numbers(m.grams, F.col(c)) for c in ("gain", "rest"))
-    return Tree(words, root, [np.ones(s.count(), bool) for s in m.states], keys, gain, rest), m.vocabulary, m.total, m.distinct
+    return Tree(words, root, [np.ones(n, bool) for n in m.states], keys, gain, rest), m.vocabulary, m.total, m.distinct
 
 
 def _scorer(words, hot, cold, depth: int, keep: list[str]):
@@ -277,7 +288,7 @@ def _scorer(words, hot, cold, depth: int, keep: list[str]):
                 for d in range(depth + 1):
                     grams = longer(grams) if d else grams
                     known = np.flatnonzero(place >= d)
-                    known = known[cold.value.has(grams[known])]
+                    known = known[has(cold.value, grams[known])]
                     there = _find(keys, grams[known])
                     above += np.bincount(doc[known], value[there], n)
                     docs.append(doc[known[there < 0]])
@@ -312,7 +323,7 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     share = spark.sparkContext.broadcast
     words = share(_numbers(m.vocabulary.where(F.col("n") >= max(2, NUMBERED * m.total)), prior(F.col("n"))))  # 1 / NUMBERED rows at most
     hot = share(_numbers(m.grams.where(F.col("n") >= HOT * m.total), value))
-    run = _scorer(words, hot, share(Bits(m.grams)), len(m.states), [*keep, "held_out"])
+    run = _scorer(words, hot, share(bits(m.grams)), len(m.states), [*keep, "held_out"])
     part = kernel.write_table(spark, text.mapInArrow(run, f"{kept}, _row long, n_tokens long, _base double, _model double, _rare array<long>, _grams array<long>"))
     rare = part.select("_row", F.explode("_rare").alias("key")).join(m.vocabulary, "key", "left")
     tail = rare.groupBy("_row").agg(F.sum(prior(F.coalesce("n", F.lit(0)))).alias("_tail"), F.count_if(F.col("n").isNull()).alias("_unknown"))
