@@ -75,9 +75,10 @@ def test_scores_equal_a_plain_tree(spark, table, monkeypatch):
 def test_tree_grows_with_the_corpus(spark, table):
     """Contexts of a few occurrences stay states, however much else a corpus holds."""
     few = table[:40] * 3
-    many = [(1000 + i, f"a{i} b{i} c{i} a{i} b{i} c{i} " * 4) for i in range(3000)]
+    # What follows b depends on the word before it: contexts of one and of two words that have evidence of their own.
+    many = [(1000 + i, f"a{i} b{i} c{i} x{i} b{i} d{i} " * 25) for i in range(6000)]
     size = []
-    for rows in (few, few + many[:1000], few + many):
+    for rows in (few, few + many[:2000], few + many):
         m = suffixtree.model(spark, spark.createDataFrame(rows, "doc_id long, text string"))
         size.append(m.states)
     assert all(size[2][d] - size[1][d] > 1.9 * (size[1][d] - size[0][d]) > 3000 for d in (0, 1))
