@@ -132,7 +132,11 @@ def build(text: DataFrame, shape: Shape, items: Callable[[pa.Array], Iterator[np
                     yield from touched.flush()
         yield from touched.flush()
 
-    sent = text.select("text").mapInArrow(run, "slice int, packed binary")
+    return merge(text.select("text").mapInArrow(run, "slice int, packed binary"), shape)
+
+
+def merge(sent: DataFrame, shape: Shape) -> np.ndarray:
+    """The packed levels of the counters that tasks have sent, slice by slice."""
     merged = sent.groupBy("slice").applyInPandas(_merger(shape), "slice int, levels binary")
     out = np.zeros(max(1, shape.width * shape.depth * shape.bits // 8), np.uint8)
     step = SLICE * shape.bits // 8

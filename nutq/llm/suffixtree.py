@@ -5,7 +5,8 @@ distribution is add-one over the training tokens.  A context that occurs
 ``CONTEXT`` times becomes a state if its next-token distribution diverges from
 that of its suffix by ``EVIDENCE`` nats over all its occurrences.  The tree is
 grown word by word, beyond every context whose next tokens have that many nats
-of entropy left: beyond the others there is nothing to gain.  A state lists the
+of entropy left: beyond the others there is nothing to gain.  (A longer context
+is looked at if that holds for all its parts but the first word.)  A state lists the
 next tokens that follow it ``LISTED`` times, smoothed with its suffix's
 distribution, which weighs as many tokens as different ones follow, and one; all
 others share what is left, in proportion to the suffix's distribution, so every
@@ -33,10 +34,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kernel
+from . import kernel, sketch
 
 #: Words of the longest context; growth mostly ends before, where no context is retained.
-MOST_DEPTH = 6
+MOST_DEPTH = 5
 #: Least occurrences in training of a context, and of a listed continuation.
 CONTEXT = 4
 LISTED = 2
@@ -117,25 +118,60 @@ def _counter(keys_of, names: tuple[str, ...] = ("key",)):
     return run
 
 
-def _words_and_pairs(column: pa.Array) -> tuple[np.ndarray, ...]:
-    """All words, and all pairs of words with their contexts and suffixes; a word has none."""
-    found, first = tokens(column)
-    at = np.flatnonzero(places(first) >= 1)
-    none = np.zeros_like(found)
-    return tuple(map(np.concatenate, ((found, longer(found)[at]), (none, found[at - 1]), (none, found[at]))))
+def _first_look(shape: sketch.Shape):
+    """key, n of the words, combined in the task, and its share of the sketch of all pairs of words."""
+    none = lambda n, kind: pa.nulls(n, kind)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, touched = [], 0, sketch.Touched(shape)
+
+        def flush():
+            if held:
+                words = _counted(held, ["key"])
+                yield pa.RecordBatch.from_arrays([*words.columns, none(words.num_rows, pa.int32()), none(words.num_rows, pa.binary())], names=_FIRST)
+            for part in touched.flush():
+                yield pa.RecordBatch.from_arrays([none(part.num_rows, pa.int64()), none(part.num_rows, pa.int64()), *part.columns], names=_FIRST)
+
+        for batch in batches:
+            column = batch.column("text")
+            for start, stop in kernel.chunks(column):
+                found, first = tokens(column.slice(start, stop - start))
+                held.append((found,))
+                touched.add(longer(found)[places(first) >= 1])
+                size += len(found)
+                if size > _FLUSH:
+                    yield from flush()
+                    held, size = [], 0
+        yield from flush()
+
+    return run
 
-def _grams(depth: int, grown):
-    """Grams of a context of so many words whose suffix may be grown beyond, with their contexts and suffixes."""
+
+_FIRST = ["key", "n", "slice", "packed"]
+
+
+def _grams(depth: int, contexts, listed, grown, shape: sketch.Shape | None, packed):
+    """Grams of a context of so many words that may be listed, with their contexts and suffixes.
+
+    The context occurs often enough, its suffix may be grown beyond, and the
+    gram's suffix is listed; pairs of words are looked up in the sketch.
+    """
 
     def run(column: pa.Array) -> tuple[np.ndarray, ...]:
-        suffix, first = tokens(column)
+        before, first = tokens(column)
         for _ in range(depth - 2):
-            suffix = longer(suffix)
+            before = longer(before)
+        found = longer(before) if depth > 1 else before
         at = np.flatnonzero(places(first) >= depth)
-        at = at[has(grown.value, suffix[at - 1])]
-        found = longer(suffix)
-        return longer(found)[at], found[at - 1], found[at]
+        at = at[has(contexts.value, found[at - 1])]
+        at = at[has(listed.value, found[at])]
+        if grown is not None:
+            at = at[has(grown.value, before[at - 1])]
+        key = longer(found)[at]
+        if shape:
+            often = sketch.levels(shape, packed.value, key) > 0
+            at, key = at[often], key[often]
+        return key, found[at - 1], found[at]
 
     return run
 
@@ -151,24 +187,24 @@ class Model:
     distinct: int
 
 
-_GRAM = "key long, context long, suffix long, n long"
-
+def _level(spark: SparkSession, sent: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of a depth: its listed grams (key, n, log, and gain where their context is a state), states (key, n, rest) and contexts to grow beyond (key).
 
-def _sum(sent: DataFrame) -> DataFrame:
-    return sent.groupBy("key").agg(F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix"))
-
-
-def _level(spark: SparkSession, counted: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of a depth: its listed grams (key, n, log, and gain where their context is a state), states (key, n, rest) and contexts to grow beyond (key)."""
-    # Contexts and suffixes are tables before they are joined, so that adaptive execution can split very frequent ones.
+    ``before`` has key, n, log of the depth before: a context's occurrences
+    are those of the gram that it is, each followed by a token.
+    """
     n = F.col("n")
-    contexts = counted.groupBy("context").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"), F.sum(n * F.ln(n)).alias("logs")).where(F.col("all") >= CONTEXT)
-    contexts = kernel.write_table(spark, contexts)
-    grown = kernel.write_table(spark, contexts.where(F.col("all") * F.ln("all") - F.col("logs") >= EVIDENCE).select(F.col("context").alias("key")))
-    below, weight = F.pow(F.lit(10.0), F.col("below")), F.col("kinds") + 1
-    known = counted.where(n >= LISTED).join(contexts.drop("logs"), "context")
-    known = known.join(before.select(F.col("key").alias("suffix"), F.col("log").alias("below")), "suffix").withColumn("prob", (n + weight * below) / (F.col("all") + weight))
-    known = kernel.write_table(spark, known.select("key", "context", "n", "all", "below", "prob"))
+    counted = sent.groupBy("key").agg(F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix")).where(n >= LISTED)
+    counted = kernel.write_table(spark, counted)
+    # Contexts and suffixes are tables before they are joined, so that adaptive execution can split very frequent ones.
+    sums = counted.groupBy("context").agg(F.sum("n").alias("told"), F.count("*").alias("kinds"), F.sum(n * F.ln(n)).alias("logs"))
+    contexts = sums.join(before.where(n >= CONTEXT).select(F.col("key").alias("context"), n.alias("all")), "context")
+    # What is not listed follows once.
+    contexts = kernel.write_table(spark, contexts.select("context", "all", (F.col("kinds") + F.col("all") - F.col("told") + 1).alias("weight"), (F.col("all") * F.ln("all") - F.col("logs")).alias("entropy")))
+    grown = kernel.write_table(spark, contexts.where(F.col("entropy") >= EVIDENCE).select(F.col("context").alias("key")))
+    below, weight = F.pow(F.lit(10.0), F.col("below")), F.col("weight")
+    known = counted.join(contexts.drop("entropy"), "context").join(before.select(F.col("key").alias("suffix"), F.col("log").alias("below")), "suffix")
+    known = kernel.write_table(spark, known.select("key", "context", "n", "all", "below", ((n + weight * below) / (F.col("all") + weight)).alias("prob")))
     sums = known.groupBy("context").agg(F.max("all").alias("all"), F.sum("prob").alias("mass"), F.sum(below).alias("mass_below"), F.sum(F.col("prob") * F.ln(F.col("prob") / below)).alias("listed"))
     left, left_below = (F.greatest(1 - F.col(c), F.lit(1e-9)) for c in ("mass", "mass_below"))
     diverges = F.col("all") * (F.col("listed") + left * F.ln(left / left_below)) >= EVIDENCE
@@ -177,7 +213,7 @@ def _level(spark: SparkSession, counted: DataFrame, before: DataFrame) -> tuple[
     kept = known.join(states.select(F.col("key").alias("context"), "rest"), "context", "left")
     log = F.coalesce(F.when(F.col("rest").isNotNull(), F.log10("prob")), F.col("below"))
     grams = kernel.write_table(spark, kept.select("key", "n", log.alias("log"), (F.log10("prob") - F.col("below") - F.col("rest")).alias("gain")))
-    for done in (contexts, known):
+    for done in (counted, contexts, known):
         kernel.drop_table(spark, done)
     return grams, states, grown
 
@@ -187,27 +223,28 @@ def model(spark: SparkSession, train: DataFrame, most_depth: int | None = None)
 
     Depths are grown one by one; one beyond which there is no entropy left ends this.
     """
-    text = train.select("text")
-    first = kernel.write_table(spark, _sum(text.mapInArrow(_counter(_words_and_pairs, ("key", "context", "suffix")), _GRAM)))
-    word = (F.col("context") == 0) & (F.col("suffix") == 0)
-    vocabulary = kernel.write_table(spark, first.where(word).select("key", "n"))
+    text, share = train.select("text"), spark.sparkContext.broadcast
+    shape = sketch.Shape.of(sketch.text_bytes(train) // 6, 2)
+    looked = kernel.write_table(spark, text.mapInArrow(_first_look(shape), "key long, n long, slice int, packed binary"))
+    vocabulary = kernel.write_table(spark, looked.where("key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n")))
+    packed = share(sketch.merge(looked.where("slice IS NOT NULL").select("slice", "packed"), shape))
+    kernel.drop_table(spark, looked)
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    counted = first.where(~word)
     before = vocabulary.withColumn("log", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))))
     zero, parts, states, levels, near = F.lit(0.0), [], [], [], None
     for depth in range(1, (most_depth or MOST_DEPTH) + 1):
-        if near:
-            counted = kernel.write_table(spark, _sum(text.mapInArrow(_counter(_grams(depth, near), ("key", "context", "suffix")), _GRAM)))
-            near.destroy()
-        grams, kept, grown = _level(spark, counted, before)
-        kernel.drop_table(spark, counted)
-        levels += [grams, kept, grown]
+        filters = [share(bits(before.where(F.col("n") >= least))) for least in (CONTEXT, LISTED)] + [near and share(bits(near))]
+        keys_of = _grams(depth, *filters, None if near else shape, packed)
+        sent = text.mapInArrow(_counter(keys_of, ("key", "context", "suffix")), "key long, context long, suffix long, n long")
+        grams, kept, near = _level(spark, sent, before)
+        for done in filter(None, filters):
+            done.unpersist()
+        levels += [grams, kept, near]
         states.append(kept)
         parts += [grams.where("gain IS NOT NULL").select("key", "n", "gain", zero.alias("rest")), kept.select("key", "n", zero.alias("gain"), "rest")]
         before = grams
-        if grown.isEmpty():
+        if near.isEmpty():
             break
-        near = spark.sparkContext.broadcast(bits(grown))
     every = spark.createDataFrame([], "key long, n long, gain double, rest double")
     for part in parts:
         every = every.unionByName(part)
