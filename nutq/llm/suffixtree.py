@@ -3,10 +3,7 @@
 Tokens are words, A-Z lower-cased, and one end for each text.  The root's
 distribution is add-one over the training tokens.  A context that occurs
 ``CONTEXT`` times becomes a state if its next-token distribution diverges from
-that of its suffix by ``EVIDENCE`` nats over all its occurrences.  The tree is
-grown word by word, beyond every context whose next tokens have that many nats
-of entropy left: beyond the others there is nothing to gain.  (A longer context
-is looked at if that holds for all its parts but the first word.)  A state lists the
+that of its suffix by ``EVIDENCE`` nats over all its occurrences.  A state lists the
 next tokens that follow it ``LISTED`` times, smoothed with its suffix's
 distribution, which weighs as many tokens as different ones follow, and one; all
 others share what is left, in proportion to the suffix's distribution, so every
@@ -36,12 +33,12 @@ from pyspark.sql import functions as F
 
 from . import kernel, sketch
 
-#: Words of the longest context; growth mostly ends before, where no context is retained.
+#: Words of the longest context.
 MOST_DEPTH = 5
 #: Least occurrences in training of a context, and of a listed continuation.
 CONTEXT = 4
 LISTED = 2
-#: Least divergence from the suffix's distribution over all occurrences, and entropy left to longer contexts, in nats.
+#: Least divergence from the suffix's distribution over all occurrences, in nats.
 EVIDENCE = 8.0
 #: Least share of the training tokens of a word and of a gram whose numbers are broadcast; all others are joined.
 NUMBERED = 2e-6
@@ -150,23 +147,20 @@ def _first_look(shape: sketch.Shape):
 _FIRST = ["key", "n", "slice", "packed"]
 
 
-def _grams(depth: int, contexts, listed, grown, shape: sketch.Shape | None, packed):
+def _grams(depth: int, contexts, listed, shape: sketch.Shape | None, packed):
     """Grams of a context of so many words that may be listed, with their contexts and suffixes.
 
-    The context occurs often enough, its suffix may be grown beyond, and the
-    gram's suffix is listed; pairs of words are looked up in the sketch.
+    The context occurs often enough, and the gram's suffix is listed; pairs of
+    words are looked up in the sketch.
     """
 
     def run(column: pa.Array) -> tuple[np.ndarray, ...]:
-        before, first = tokens(column)
-        for _ in range(depth - 2):
-            before = longer(before)
-        found = longer(before) if depth > 1 else before
+        found, first = tokens(column)
+        for _ in range(depth - 1):
+            found = longer(found)
         at = np.flatnonzero(places(first) >= depth)
         at = at[has(contexts.value, found[at - 1])]
         at = at[has(listed.value, found[at])]
-        if grown is not None:
-            at = at[has(grown.value, before[at - 1])]
         key = longer(found)[at]
         if shape:
             often = sketch.levels(shape, packed.value, key) > 0
@@ -187,8 +181,8 @@ class Model:
     distinct: int
 
 
-def _level(spark: SparkSession, sent: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of a depth: its listed grams (key, n, log, and gain where their context is a state), states (key, n, rest) and contexts to grow beyond (key).
+def _level(spark: SparkSession, sent: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of a depth: its listed grams (key, n, log, and gain where their context is a state) and states (key, n, rest).
 
     ``before`` has key, n, log of the depth before: a context's occurrences
     are those of the gram that it is, each followed by a token.
@@ -197,13 +191,12 @@ def _level(spark: SparkSession, sent: DataFrame, before: DataFrame) -> tuple[Dat
     counted = sent.groupBy("key").agg(F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix")).where(n >= LISTED)
     counted = kernel.write_table(spark, counted)
     # Contexts and suffixes are tables before they are joined, so that adaptive execution can split very frequent ones.
-    sums = counted.groupBy("context").agg(F.sum("n").alias("told"), F.count("*").alias("kinds"), F.sum(n * F.ln(n)).alias("logs"))
+    sums = counted.groupBy("context").agg(F.sum("n").alias("told"), F.count("*").alias("kinds"))
     contexts = sums.join(before.where(n >= CONTEXT).select(F.col("key").alias("context"), n.alias("all")), "context")
     # What is not listed follows once.
-    contexts = kernel.write_table(spark, contexts.select("context", "all", (F.col("kinds") + F.col("all") - F.col("told") + 1).alias("weight"), (F.col("all") * F.ln("all") - F.col("logs")).alias("entropy")))
-    grown = kernel.write_table(spark, contexts.where(F.col("entropy") >= EVIDENCE).select(F.col("context").alias("key")))
+    contexts = kernel.write_table(spark, contexts.select("context", "all", (F.col("kinds") + F.col("all") - F.col("told") + 1).alias("weight")))
     below, weight = F.pow(F.lit(10.0), F.col("below")), F.col("weight")
-    known = counted.join(contexts.drop("entropy"), "context").join(before.select(F.col("key").alias("suffix"), F.col("log").alias("below")), "suffix")
+    known = counted.join(contexts, "context").join(before.select(F.col("key").alias("suffix"), F.col("log").alias("below")), "suffix")
     known = kernel.write_table(spark, known.select("key", "context", "n", "all", "below", ((n + weight * below) / (F.col("all") + weight)).alias("prob")))
     sums = known.groupBy("context").agg(F.max("all").alias("all"), F.sum("prob").alias("mass"), F.sum(below).alias("mass_below"), F.sum(F.col("prob") * F.ln(F.col("prob") / below)).alias("listed"))
     left, left_below = (F.greatest(1 - F.col(c), F.lit(1e-9)) for c in ("mass", "mass_below"))
@@ -215,13 +208,14 @@ def _level(spark: SparkSession, sent: DataFrame, before: DataFrame) -> tuple[Dat
     grams = kernel.write_table(spark, kept.select("key", "n", log.alias("log"), (F.log10("prob") - F.col("below") - F.col("rest")).alias("gain")))
     for done in (counted, contexts, known):
         kernel.drop_table(spark, done)
-    return grams, states, grown
+    return grams, states
 
 
 def model(spark: SparkSession, train: DataFrame, most_depth: int | None = None) -> Model:
     """The tree of a frame of texts, as tables, with contexts of up to ``most_depth`` words (``MOST_DEPTH``).
 
-    Depths are grown one by one; one beyond which there is no entropy left ends this.
+    Depths are grown one by one.  A depth that lists no gram ends this: every
+    gram of the next one would extend one of its grams, so nothing is lost.
     """
     text, share = train.select("text"), spark.sparkContext.broadcast
     shape = sketch.Shape.of(sketch.text_bytes(train) // 6, 2)
@@ -231,19 +225,19 @@ def model(spark: SparkSession, train: DataFrame, most_depth: int | None = None)
     kernel.drop_table(spark, looked)
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     before = vocabulary.withColumn("log", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))))
-    zero, parts, states, levels, near = F.lit(0.0), [], [], [], None
+    zero, parts, states, levels = F.lit(0.0), [], [], []
     for depth in range(1, (most_depth or MOST_DEPTH) + 1):
-        filters = [share(bits(before.where(F.col("n") >= least))) for least in (CONTEXT, LISTED)] + [near and share(bits(near))]
-        keys_of = _grams(depth, *filters, None if near else shape, packed)
+        filters = [share(bits(before.where(F.col("n") >= least))) for least in (CONTEXT, LISTED)]
+        keys_of = _grams(depth, *filters, shape if depth == 1 else None, packed)
         sent = text.mapInArrow(_counter(keys_of, ("key", "context", "suffix")), "key long, context long, suffix long, n long")
-        grams, kept, near = _level(spark, sent, before)
-        for done in filter(None, filters):
+        grams, kept = _level(spark, sent, before)
+        for done in filters:
             done.unpersist()
-        levels += [grams, kept, near]
+        levels += [grams, kept]
         states.append(kept)
         parts += [grams.where("gain IS NOT NULL").select("key", "n", "gain", zero.alias("rest")), kept.select("key", "n", zero.alias("gain"), "rest")]
         before = grams
-        if near.isEmpty():
+        if grams.isEmpty():
             break
     every = spark.createDataFrame([], "key long, n long, gain double, rest double")
     for part in parts:

@@ -20,7 +20,7 @@ def plain_scores(rows, most_depth):
     train = [t for (i, _), t in zip(rows, texts, strict=True) if zlib.crc32(str(i).encode()) % 7 != 2]
     count = Counter(w for t in train for w in t)
     size = sum(count.values()) + len(count) + 1
-    states, looked, grown = {}, {()}, {()}
+    states = {}
 
     def prob(context, word, depth):
         for d in range(depth, 0, -1):
@@ -37,11 +37,8 @@ def plain_scores(rows, most_depth):
         for context, after in follow.items():
             n = sum(after.values())
             below = {w: prob(context, w, depth - 1) for w, k in after.items() if k >= suffixtree.LISTED}
-            if n < suffixtree.CONTEXT or not below or context[:-1] not in looked or context[1:] not in grown:
+            if n < suffixtree.CONTEXT or not below:
                 continue
-            looked.add(context)
-            if n * log(n) - sum(k * log(k) for k in after.values()) >= suffixtree.EVIDENCE:
-                grown.add(context)
             weight = len(after) + 1
             mine = {w: (after[w] + weight * b) / (n + weight) for w, b in below.items()}
             rest, rest_below = max(1 - sum(mine.values()), 1e-9), max(1 - sum(below.values()), 1e-9)
