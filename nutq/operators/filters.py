@@ -9,29 +9,50 @@ from ..config import ScoringConfig
 from ..functions import text as T
 
 
+#: Rows of one skeleton are dealt to so many tasks where they are named after their first.
+SALTS = 32
+
+
+def gate(verses: DataFrame, config: ScoringConfig) -> DataFrame:
+    """Add ``reason``: the first row-local filter that failed, or null."""
+    reason = F.when(~F.col("word_count").between(config.min_word_count, config.max_word_count), "word_count")
+    if config.require_full_diacritization:
+        reason = reason.when(~(T.diacritization_ratio(F.col("text")) >= config.diacritization_min_ratio), "not_fully_diacritized")
+    return verses.withColumn("reason", reason)
+
+
 def classify(verses: DataFrame, config: ScoringConfig | None = None) -> DataFrame:
     """Add ``reason``: null for rows that stay, else the first filter that failed.
 
     ``verses`` has ``ord`` (its place in the input), ``surah``, ``ayah``,
     ``text`` and ``word_count``.  Of rows with one skeleton the first in input
     order stays.  First rows are found by an aggregation, which combines before
-    the shuffle, so a skeleton that a third of all rows share is no hot task.
+    the shuffle; rows are named after them by skeleton and salt, so a skeleton
+    that a third of all rows share is no hot task.  Rows that failed before
+    take no part in either.
     """
     config = config or ScoringConfig()
-    reason = F.when(~F.col("word_count").between(config.min_word_count, config.max_word_count), "word_count")
-    if config.require_full_diacritization:
-        reason = reason.when(~(T.diacritization_ratio(F.col("text")) >= config.diacritization_min_ratio), "not_fully_diacritized")
-    df = verses.withColumn("reason", reason)
+    df = gate(verses, config)
     if not config.dedupe_semantic_duplicates:
         return df
-    # Rows that failed already have a key of their own, so they neither meet nor move as a group.
-    key = F.when(F.col("reason").isNull(), T.spaced_skeleton(F.col("text")))
-    df = df.withColumn("_key", key)
-    passed = df.where("reason IS NULL")
+    passed = df.where("reason IS NULL").withColumn("_key", T.spaced_skeleton(F.col("text")))
     first = passed.groupBy("_key").agg(F.count("*").alias("_n"), F.min(F.struct("ord", "surah", "ayah")).alias("_first")).where("_n > 1").drop("_n")
+    first = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     later = F.col("_first.ord") < F.col("ord")
     named = F.concat(F.lit("duplicate_of_"), F.col("_first.surah").cast("string"), F.lit(":"), F.col("_first.ayah").cast("string"))
-    return df.join(first, "_key", "left").withColumn("reason", F.coalesce("reason", F.when(later, named))).select(*verses.columns, "reason")
+    salted = passed.withColumn("_salt", F.pmod(F.xxhash64("ord"), F.lit(SALTS)).cast("int"))
+    judged = salted.join(first, ["_key", "_salt"], "left").withColumn("reason", F.when(later, named)).select(*verses.columns, "reason")
+    return df.where("reason IS NOT NULL").unionByName(judged)
+
+
+def kept_rows(verses: DataFrame, config: ScoringConfig | None = None) -> DataFrame:
+    """The rows that stay, in one pass: the first whole row of each skeleton, combined before the only shuffle."""
+    config = config or ScoringConfig()
+    passed = kept(gate(verses, config))
+    if not config.dedupe_semantic_duplicates:
+        return passed
+    row = F.struct("ord", *[c for c in verses.columns if c != "ord"])
+    return passed.groupBy(T.spaced_skeleton(F.col("text")).alias("_key")).agg(F.min(row).alias("_row")).select("_row.*").select(*verses.columns)
 
 
 def kept(classified: DataFrame) -> DataFrame:

@@ -26,9 +26,9 @@ def _occurrences(skeleton: Column, letters: str) -> Column:
 
 def base_score(skeleton: Column, config: ScoringConfig) -> Column:
     """Sum of the weights over all letters."""
-    total = F.lit(0)
-    for weight in sorted({config.weight_of(c) for c in C.BASE} - {0}):
-        total = total + F.lit(weight) * _occurrences(skeleton, "".join(c for c in C.BASE if config.weight_of(c) == weight))
+    total, weights = F.lit(0), config.weights
+    for weight in sorted(set(weights.values()) - {0}):
+        total = total + F.lit(weight) * _occurrences(skeleton, "".join(c for c in weights if weights[c] == weight))
     return total
 
 

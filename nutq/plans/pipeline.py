@@ -11,10 +11,9 @@ from ..operators.score import score
 
 
 def score_verses(verses: DataFrame, config: ScoringConfig | None = None) -> tuple[DataFrame, DataFrame]:
-    """(scored, dropped), both lazy and from one classified plan; both keep ``ord``."""
+    """(scored, dropped), both lazy; both keep ``ord``."""
     config = config or ScoringConfig()
-    classified = filters.classify(verses, config)
-    return score(filters.kept(classified), config), filters.dropped(classified)
+    return score(filters.kept_rows(verses, config), config), filters.dropped(filters.classify(verses, config))
 
 
 def ranked(scored: DataFrame, by: str = "raw", top: int | None = None) -> DataFrame:

@@ -55,7 +55,7 @@ def _scores(columns: str, config: ScoringConfig | None = None, kept: bool = Fals
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         verses = verse_view(spark, sf_dir)
         if kept:
-            verses = filters.kept(filters.classify(verses, config))
+            verses = filters.kept_rows(verses, config)
         return _longs(score(verses, config).select("surah", "ayah", *columns.split()))
 
     return run
@@ -74,7 +74,7 @@ def _classified(config: ScoringConfig | None, pick: Callable[[DataFrame], DataFr
 
 def _top(by: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        scored = score(filters.kept(filters.classify(verse_view(spark, sf_dir))))
+        scored = score(filters.kept_rows(verse_view(spark, sf_dir)))
         return _longs(ranked(scored, by, TOP).select("surah", "ayah", "text", "raw_score", "density_score"))
 
     return run
@@ -106,7 +106,7 @@ QUERIES = {
     "diacritization_ratio": _texts(marked=lambda t: T.marked(t).cast("long"), markable=lambda t: T.markable(t).cast("long"), ratio=lambda t: F.bround(T.diacritization_ratio(t), 6), full=lambda t: T.is_fully_diacritized(t, 0.7)),
     "diacritization_variants": _texts(True, marked=lambda t: T.marked(t).cast("long"), markable=lambda t: T.markable(t).cast("long")),
     "hard_filters": _classified(None, lambda df: df.select("surah", "ayah", "reason")),
-    "semantic_dedup": _classified(None, lambda df: filters.kept(df).select("surah", "ayah", "text", "word_count")),
+    "semantic_dedup": lambda spark, sf_dir: _longs(filters.kept_rows(verse_view(spark, sf_dir)).select("surah", "ayah", "text", "word_count")),
     "dropped_report": _classified(None, lambda df: filters.dropped(df).drop("ord")),
     "drop_reasons": _classified(None, filters.drop_reasons),
     "drop_summary": _classified(None, summary),
@@ -172,13 +172,10 @@ classified AS (SELECT g.*, coalesce(gated, CASE WHEN rn > 1 THEN 'duplicate_of_'
 
 
 def _score_sql(c: ScoringConfig) -> str:
-    letters = ", ".join(f"('{x}', {c.weight_of(x)}, {str(c.is_hard(x)).lower()})" for x in C.BASE)
+    letters = ", ".join(f"('{x}', {w}, {str(x in c.hard_letters).lower()})" for x, w in c.weights.items())
+    names = {"emphatic": ("emphatic", c.bonus_emphatic_pair), "same_group": ("same", c.bonus_same_group), "hard_adjacent": ("hard", c.bonus_hard_adjacent)}
     pairs = ", ".join(
-        f"('{a}', '{b}', '{rule}', {bonus})"
-        for a in C.BASE
-        for b in C.BASE
-        for rule, bonus in [("emphatic", c.bonus_emphatic_pair) if c.is_emphatic_pair(a, b) else ("same", c.bonus_same_group) if c.share_group(a, b) else ("hard", c.bonus_hard_adjacent) if c.is_hard(a) and c.is_hard(b) else ("", 0)]
-        if bonus
+        f"('{pair[0]}', '{pair[1]}', '{names[rule][0]}', {names[rule][1]})" for pair, rule in c.pair_rules.items() if names[rule][1]
     )
     t = int(c.enable_tajweed)
     across = "" if c.adjacency_across_words else "AND x.ti = x.nti"

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import charclasses as C
 from ..functions import text as T
@@ -21,6 +24,7 @@ OPENING_FORMULA = "بسم الله الرحمن الرحيم"
 #: Chapters whose first verse has no opening formula to strip.
 UNSTRIPPED_CHAPTERS = (1, 9)
 _VERSES = "array<struct<surah:string,ayah:string,text:string>>"
+_LINE = "struct<ord:bigint,surah:string,ayah:string,text:string>"
 #: Line ends as in Python's splitlines.
 _LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 
@@ -29,19 +33,31 @@ def with_word_count(verses: DataFrame) -> DataFrame:
     return verses.withColumn("word_count", T.word_count(F.col("text")))
 
 
+def _checked(rows: DataFrame) -> DataFrame:
+    """Verses of ``ord, col`` where ``col`` has surah, ayah and text as strings; one that lacks any is an error."""
+    need = lambda name: F.coalesce(F.col(f"col.{name}"), F.raise_error(F.lit(f"verse without {name}")).cast("string"))
+    return with_word_count(rows.select("ord", need("surah").cast("int").alias("surah"), need("ayah").cast("int").alias("ayah"), need("text").alias("text")))
+
+
 def load_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Verses of a corpus JSON: an object with ``verses``, or a bare array.
+    """Verses of a corpus JSON: an object with ``verses``, a bare array, or lines of verses with their ``ord``.
 
-    ``ord`` is the place in the array.  Ids may be quoted; a missing id or
-    text is an error.
+    ``ord`` is the place in the array, counted on over several files in the
+    order of their names.  Lines, as ``ingest`` writes them, are read in
+    pieces; an array is read by one task a file.  Ids may be quoted.  Text
+    that isn't JSON, JSON of another form, and a missing id or text are errors.
     """
-    file = spark.read.text(path, wholetext=True)
-    bare = F.from_json("value", _VERSES)
-    inner = F.from_json("value", f"struct<verses:{_VERSES}>")["verses"]
-    rows = file.select(F.posexplode(F.when(F.col("value").rlike(r"^\s*\["), bare).otherwise(inner)))
-    need = lambda name: F.coalesce(F.col(f"col.{name}"), F.raise_error(F.lit(f"verse without {name}")).cast("string"))
-    verses = rows.select(F.col("pos").cast("long").alias("ord"), need("surah").cast("int").alias("surah"), need("ayah").cast("int").alias("ayah"), need("text").alias("text"))
-    return with_word_count(verses)
+    strict = {"mode": "FAILFAST"}
+    if (head := spark.read.text(path).first()) and re.match(r'\{"ord":\d+,', head.value) and head.value.endswith("}"):
+        lines = spark.read.text(path).where("value != ''").select(F.from_json("value", _LINE, strict).alias("col"))
+        return _checked(lines.select("col.ord", "col"))
+    file = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    bare = F.from_json("value", _VERSES, strict)
+    inner = F.coalesce(F.from_json("value", f"struct<verses:{_VERSES}>", strict)["verses"], F.raise_error(F.lit("no verses in the corpus")).cast(_VERSES))
+    verses = file.select("file", F.when(F.col("value").rlike(r"^\s*\["), bare).otherwise(inner).alias("verses"))
+    # A row for each file of a corpus.
+    start = verses.select("file", (F.sum(F.size("verses")).over(W.orderBy("file").rowsBetween(W.unboundedPreceding, 0)) - F.size("verses")).alias("start"))
+    return _checked(verses.join(start, "file").select("start", F.posexplode("verses")).withColumn("ord", F.col("start") + F.col("pos")))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:

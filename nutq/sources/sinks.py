@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import ScoringConfig
 from ..operators.score import SCORED
@@ -42,13 +44,30 @@ def write_outputs(scored: DataFrame, dropped: DataFrame, config: ScoringConfig,
     return written
 
 
-def write_corpus(verses: DataFrame, script: str, out_dir: str, source: str = "", license: str = "", downloaded_at: str = "") -> dict:
-    """Write a parsed and stripped corpus as JSON and CSV, and its entry of the manifest."""
+#: Verses of a whole script; another number is reported.
+WHOLE_SCRIPT = 6236
+
+
+def write_corpus(verses: DataFrame, script: str, out_dir: str, source: str = "", license: str = "", downloaded_at: str = "", raw: str = "") -> dict:
+    """Write a parsed and stripped corpus as JSON lines and CSV, a copy of the raw text, and the manifest of all scripts in the folder.
+
+    The JSON lines carry ``ord``, so that ``load_corpus`` reads them back in
+    pieces.  Returns the script's entry; ``whole`` tells whether it has as many
+    verses as a whole script.
+    """
     if script not in SCRIPTS:
         raise ValueError(f"unknown script: {script!r}")
-    columns = verses.select("surah", "ayah", "text")
-    info = {"script": script, "description": SCRIPTS[script], "source": source, "license": license, "downloaded_at": downloaded_at}
-    info |= {"json": _write(columns, f"{out_dir}/{script}.json", "json"), "csv": _write(columns, f"{out_dir}/{script}.csv", "csv")}
-    info |= {"verse_count": verses.count(), "basmala_stripped": verses.where("stripped").count() if "stripped" in verses.columns else 0}
-    _note(verses.sparkSession, info, f"{out_dir}/{script}.manifest")
+    spark = verses.sparkSession
+    columns = verses.select("ord", F.col("surah").cast("string").alias("surah"), F.col("ayah").cast("string").alias("ayah"), "text")
+    info = {"script": script, "description": SCRIPTS[script], "source": source, "license": license, "downloaded_at": downloaded_at or datetime.now(timezone.utc).isoformat(timespec="seconds")}
+    if raw:
+        info["raw"] = f"{out_dir}/{script}.txt"
+        spark.read.text(raw).write.mode("overwrite").text(info["raw"])
+    info |= {"json": _write(columns, f"{out_dir}/{script}.json", "json"), "csv": _write(columns.drop("ord"), f"{out_dir}/{script}.csv", "csv")}
+    stripped = F.count_if("stripped") if "stripped" in verses.columns else F.lit(0)
+    info["verse_count"], info["basmala_stripped"] = verses.agg(F.count("*"), stripped).first()
+    info["whole"] = info["verse_count"] == WHOLE_SCRIPT
+    _note(spark, info, f"{out_dir}/{script}.manifest")
+    entries = [json.loads(r.value) for r in spark.read.text(f"{out_dir}/*.manifest").collect()]  # one for each script
+    _note(spark, {"scripts": {e["script"]: e for e in entries}}, f"{out_dir}/manifest.json")
     return info

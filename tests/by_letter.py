@@ -46,31 +46,32 @@ def key(text):
 def score(text, word_count, config):
     words = [clusters(w) for w in text.split()]
     letters = [x for w in words for x, _ in w]
-    hard = [x for x in letters if config.is_hard(x)]
+    hard_one = lambda x: config.letter_weights.get(x, 0) >= config.hard_threshold
+    hard = [x for x in letters if hard_one(x)]
     pairs = [(a[0], b[0]) for w in words for a, b in zip(w, w[1:], strict=False)]
     if config.adjacency_across_words:
         full = [w for w in words if w]
         pairs += [(a[-1][0], b[0][0]) for a, b in zip(full, full[1:], strict=False)]
     kinds = {"emphatic": 0, "same": 0, "hard": 0}
     for a, b in pairs:
-        if config.is_emphatic_pair(a, b):
+        if {a, b} in config.emphatic_pairs:
             kinds["emphatic"] += config.bonus_emphatic_pair != 0
-        elif config.share_group(a, b):
+        elif any({a, b} <= members for members in config.articulation_groups.values()):
             kinds["same"] += config.bonus_same_group != 0
-        elif config.is_hard(a) and config.is_hard(b):
+        elif hard_one(a) and hard_one(b):
             kinds["hard"] += config.bonus_hard_adjacent != 0
     shadda = madd = idgham = 0
     if config.enable_tajweed:
         for w in words:
             for i, (x, marks) in enumerate(w):
-                shadda += C.SHADDA in marks and config.is_hard(x)
+                shadda += C.SHADDA in marks and hard_one(x)
                 near = [w[j][0] for j in (i - 1, i + 1) if 0 <= j < len(w)]
-                madd += bool(marks & {C.MADDAH, C.DAGGER_ALEF}) and any(map(config.is_hard, near))
+                madd += bool(marks & {C.MADDAH, C.DAGGER_ALEF}) and any(map(hard_one, near))
         for a, b in zip(words, words[1:], strict=False):
             if a and b and b[0][0] != "ا":
                 tan = lambda k: any("ً" <= m <= "ٍ" for m in a[k][1])  # noqa: B023, E731
                 idgham += tan(-1) or (a[-1][0] in "اي" and len(a) > 1 and tan(-2)) or (a[-1][0] == "ن" and C.SUKUN in a[-1][1])
-    base = sum(map(config.weight_of, letters))
+    base = sum((config.letter_weights.get(x, 0) for x in letters))
     near = kinds["emphatic"] * config.bonus_emphatic_pair + kinds["same"] * config.bonus_same_group + kinds["hard"] * config.bonus_hard_adjacent
     marks = shadda * config.bonus_shadda_hard + madd * config.bonus_madd_guttural + idgham * config.bonus_idgham
     raw, size = base + near + marks, len(letters)

@@ -57,7 +57,7 @@ def test_ties_keep_input_order(spark):
 
 
 def test_empty_input(spark):
-    scored, dropped = score_verses(frame(spark, []).where("false") if False else corpus.with_word_count(spark.createDataFrame([], "ord long, surah int, ayah int, text string")))
+    scored, dropped = score_verses(corpus.with_word_count(spark.createDataFrame([], "ord long, surah int, ayah int, text string")))
     assert scored.count() == dropped.count() == 0
 
 
@@ -69,7 +69,8 @@ def test_config_round_trip(tmp_path):
     with pytest.raises(ValueError, match="Unknown config key"):
         ScoringConfig.from_dict({"weight_of": 1})
     assert ScoringConfig.from_dict({"letter_weights": {"ض": 5}}).hard_letters == "ض"
-    assert ScoringConfig().share_group("ب", "م") == "labial"
+    rules = ScoringConfig().pair_rules
+    assert (rules["بم"], rules["طت"], rules["تط"], rules["خط"], rules.get("بت")) == ("same_group", "emphatic", "emphatic", "hard_adjacent", None)
 
 
 def test_raw_lines(spark, tmp_path):
@@ -97,6 +98,15 @@ def test_corpus_json(spark, tmp_path):
     (tmp_path / "bad.json").write_text('[{"surah": 1, "text": "x"}]', encoding="utf-8")
     with pytest.raises(Exception, match="without ayah"):
         corpus.load_corpus(spark, str(tmp_path / "bad.json")).collect()
+    for text in ('[{"surah": 1, "ayah":', '{"other": []}'):
+        (tmp_path / "bad.json").write_text(text, encoding="utf-8")
+        with pytest.raises(Exception, match="MALFORMED|no verses"):
+            corpus.load_corpus(spark, str(tmp_path / "bad.json")).collect()
+    many = tmp_path / "many"
+    many.mkdir()
+    for name in "ab":
+        (many / f"{name}.json").write_text(json.dumps(body), encoding="utf-8")
+    assert [r.ord for r in corpus.load_corpus(spark, str(many)).orderBy("ord").collect()] == [0, 1, 2, 3]
 
 
 def test_cli_writes_everything(spark, tmp_path, capsys):
@@ -106,7 +116,8 @@ def test_cli_writes_everything(spark, tmp_path, capsys):
     assert cli.main(["--corpus", str(path), "--out-dir", str(tmp_path / "out"), "--formats", "csv,json,parquet,xml", "--top", "1"]) == 0
     assert sorted(os.listdir(tmp_path / "out")) == ["ayah_scores.csv", "ayah_scores.json", "ayah_scores.parquet", "dropped_ayahs.csv", "scoring_config.json"]
     said = capsys.readouterr().out
-    assert "kept (scored)   : 1" in said and "'duplicate': 1" in said
+    found = dict(line.rsplit(None, 1) for line in said.splitlines() if line.startswith(("verses", "dropped")))
+    assert found["verses kept"] == "1" and found["dropped by duplicate"] == "1"
     again = spark.read.csv(str(tmp_path / "out/ayah_scores.csv"), header=True)
     assert len(again.columns) == 19 and again.count() == 1
     with pytest.raises(SystemExit, match="Corpus not found"):
@@ -124,7 +135,13 @@ def test_ingest(spark, tmp_path):
     path = tmp_path / "raw.txt"
     path.write_text("2|1|بسم الله الرحمن الرحيم الم\n2|2|ذلك\n", encoding="utf-8")
     info = cli.ingest(spark, str(path), "simple-clean", str(tmp_path / "out"))
-    assert (info["verse_count"], info["basmala_stripped"]) == (2, 1)
+    assert (info["verse_count"], info["basmala_stripped"], info["whole"]) == (2, 1, False)
+    back = corpus.load_corpus(spark, info["json"]).orderBy("ord").collect()
+    assert [(r.ord, r.surah, r.ayah, r.text) for r in back] == [(0, 2, 1, "الم"), (1, 2, 2, "ذلك")]
+    assert cli.main(["ingest", "--raw", str(path), "--script", "simple", "--out-dir", str(tmp_path / "out"), "--license", "L"]) == 0
+    manifest = json.loads(spark.read.text(str(tmp_path / "out/manifest.json")).first().value)
+    assert set(manifest["scripts"]) == {"simple", "simple-clean"} and manifest["scripts"]["simple"]["license"] == "L"
+    assert spark.read.text(info["raw"]).count() == 2
     with pytest.raises(ValueError):
         sinks.write_corpus(spark.range(1), "other", str(tmp_path))
 
@@ -143,6 +160,29 @@ def test_stream_scores_like_a_batch(spark, tmp_path):
     assert spark.table("scored").count() == 3
 
 
+def test_kept_rows_are_those_without_a_reason(spark, sf_dir):
+    from nutq.queries import verse_view
+
+    df = verse_view(spark, sf_dir)
+    want = {r.ord for r in filters.kept(filters.classify(df)).select("ord").collect()}
+    assert want == {r.ord for r in filters.kept_rows(df).select("ord").collect()} != set()
+
+
+def test_a_skeleton_of_most_rows_is_dealt_out(spark):
+    """Rows of one skeleton meet in no task, where they are named after their first."""
+    rows = spark.range(4000).select(F.col("id").alias("ord"), F.lit(1).alias("surah"), F.col("id").cast("int").alias("ayah"), F.lit("طَتَ بَ نَ").alias("text"))
+    for name, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.shuffle.partitions", "16"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(name, value)
+    try:
+        out = filters.classify(corpus.with_word_count(rows)).where("reason LIKE 'dup%'")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == 3999 and max(sizes) < 4000 * 5 / 16
+
+
 def test_duplicates_are_combined_before_the_shuffle(spark, sf_dir):
     from nutq.queries import verse_view
 
