@@ -72,5 +72,31 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank
 """
 
 
+_WORD = r"[^\x20\x09-\x0D]+"
+#: Every pair of documents that share a shingle, then what is reachable by links.
+OP4_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+g AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda p: array_to_string(w[p:p + 4], ' '))) END AS s FROM d),
+e AS (SELECT r, len(s) AS n, unnest(s) AS x FROM g),
+k AS (SELECT a.r AS a, b.r AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS nab FROM e a JOIN e b ON a.x = b.x AND a.r <> b.r GROUP BY ALL),
+l AS (SELECT a, b FROM k WHERE 100 * nab >= 80 * (na + nb - nab)),
+c(r, o) AS (SELECT r, r FROM g UNION SELECT c.r, l.b FROM c JOIN l ON c.o = l.a)
+SELECT g.doc_id, any_value(len(g.s)) AS n_shingles, min(o.doc_id) AS component_id FROM g JOIN c ON g.r = c.r JOIN g o ON c.o = o.r GROUP BY g.r, g.doc_id
+"""
+#: Every window of every document, and each word that one of them covers.
+OP6_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+h AS (SELECT r, doc_id, list_transform(range(1, len(w) - 48), lambda p: md5(array_to_string(w[p:p + 49], ' '))) AS h FROM d WHERE len(w) >= 50),
+v AS (SELECT r, doc_id, unnest(h) AS h, unnest(range(1, len(h) + 1)) AS p FROM h),
+f AS (SELECT h, min(doc_id) AS least FROM v GROUP BY h),
+b AS (SELECT DISTINCT r, p FROM v JOIN f USING (h) WHERE doc_id > least),
+x AS (SELECT DISTINCT r, unnest(range(p, p + 50)) AS i FROM b),
+t AS (SELECT r, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (SELECT r, count(*) AS n, string_agg(t, ' ' ORDER BY i) AS kept FROM t ANTI JOIN x USING (r, i) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_topk": OP7_SQL}
+    return {"op4_jaccard": OP4_SQL, "op6_substrings": OP6_SQL, "op7_topk": OP7_SQL}
