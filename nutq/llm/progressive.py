@@ -594,25 +594,37 @@ def features(planes: list[np.ndarray]) -> str:
     return f"{width}x{height} " + " ".join(text)
 
 
+def _read_files(files: list[bytes | None]) -> list[tuple[bytes, list[np.ndarray]] | str]:
+    """(payload, RGB planes) of each file, or why it can't be read; where one of many can't, each is read for itself."""
+    if files == [None]:
+        return ["no file"]
+    try:
+        images = [parse(f) for f in files]
+        coef = coefficients(images)
+        return list(zip([payload(i, c) for i, c in zip(images, coef, strict=True)], tensors(images, coef), strict=True))
+    except Exception as e:  # a damaged file may fail anywhere in its bits
+        return [x for f in files for x in _read_files([f])] if len(files) > 1 else [f"{type(e).__name__}: {e}"]
+
+
 def _load(keep: list[str], with_tensor: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             media = batch.column("media")
-            size = np.cumsum(pc.binary_length(media).to_numpy(zero_copy_only=False))
+            size = np.cumsum(pc.fill_null(pc.binary_length(media), 0).to_numpy(zero_copy_only=False))
             cut = np.searchsorted(size, np.arange(2 * CHUNK_BYTES, size[-1] if len(size) else 0, 2 * CHUNK_BYTES))
             cut = np.unique(np.concatenate([[0], cut, [len(media)]])).tolist()
             for first, last in zip(cut, cut[1:], strict=False):
                 files = media.slice(first, last - first).to_pylist()
-                images = [parse(f) for f in files]
-                coef = coefficients(images)
-                data = [payload(i, c) for i, c in zip(images, coef, strict=True)]
-                full = tensors(images, coef)
+                found = _read_files(files)
+                good = [None if isinstance(x, str) else x for x in found]
+                of = lambda f, kind: pa.array([None if x is None else f(*x) for x in good], kind)  # noqa: B023, E731
+                stored = lambda f, kind: pa.array([None if x is None else f(x) for x in files], kind)  # noqa: B023, E731
                 rows = batch.slice(first, last - first)
-                cols = [*map(rows.column, keep), pa.array([len(d) for d in data], pa.int64()), pa.array([hashlib.sha256(d).hexdigest() for d in data])]
-                cols += [pa.array([zlib.crc32(d[-BLOCK:]) for d in data], pa.int64()), pa.array([len(f) for f in files], pa.int64()), pa.array([hashlib.sha256(f).hexdigest() for f in files]), pa.array([features(t) for t in full])]
-                names = [*keep, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+                cols = [*map(rows.column, keep), of(lambda d, t: len(d), pa.int64()), of(lambda d, t: hashlib.sha256(d).hexdigest(), pa.string()), of(lambda d, t: zlib.crc32(d[-BLOCK:]), pa.int64())]
+                cols += [stored(len, pa.int64()), stored(lambda f: hashlib.sha256(f).hexdigest(), pa.string()), of(lambda d, t: features(t), pa.string()), pa.array([x if isinstance(x, str) else None for x in found], pa.string())]
+                names = [*keep, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "reason"]
                 if with_tensor:
-                    cols += [pa.array([[*t[0].shape, 3] for t in full], pa.list_(pa.int32())), pa.array([np.stack(t, axis=-1).tobytes() for t in full], pa.binary()), pa.array(data, pa.binary())]
+                    cols += [of(lambda d, t: [*t[0].shape, 3], pa.list_(pa.int32())), of(lambda d, t: np.stack(t, axis=-1).tobytes(), pa.binary()), of(lambda d, t: d, pa.binary())]
                     names += ["shape", "rgb", "payload"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
@@ -620,7 +632,13 @@ def _load(keep: list[str], with_tensor: bool):
 
 
 def load_media(media: DataFrame, keep: tuple[str, ...] = ("doc_id", "n_bytes"), with_tensor: bool = False) -> DataFrame:
-    """Read stored files back: payload digests and image features; with ``with_tensor`` the RGB tensor and payload too."""
+    """Read stored files back: payload digests and image features; with ``with_tensor`` the RGB tensor and payload too.
+
+    A null file, one that is damaged, of another kind, of sides that aren't
+    whole units, or without a payload gives nulls and a ``reason``; its own
+    size and digest stay.  Repeated rows are read each; a table without rows
+    gives none; other columns are not read.
+    """
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (media.schema[c] for c in keep))
-    schema = f"{kept}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    schema = f"{kept}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, reason string"
     return media.select(*keep, "media").mapInArrow(_load(list(keep), with_tensor), schema + ", shape array<int>, rgb binary, payload binary" * with_tensor)

@@ -43,7 +43,7 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_progressive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progressive.load_media(progressive.store(load(spark, sf_dir, "documents")))
+    return progressive.load_media(progressive.store(load(spark, sf_dir, "documents"))).drop("reason")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,8 @@ LOOKALIKES = str.maketrans("аеорсухіјѕԁһӏтмнкгвьαοερτυ
 SIGNS = str.maketrans("013457@$!", "oieastasi")
 _SIGN = re.compile("[013457@$!]")
 _LOOKALIKE = re.compile("[" + "".join(map(chr, LOOKALIKES)) + "！-～]")
+#: Signs that show nothing or sit on a letter: they part no word.
+_INVISIBLE = re.compile("[\u00ad\u0300-\u036f\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]")
 _ODD_BREAK = re.compile("[\u00a0-\u00bf\u2000-\u206f\u3000-\u303f]")
 _WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
 _ALNUM = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -47,6 +49,7 @@ def fold(text: str) -> str:
     """Words in lower case with one space around each."""
     text = text.lower()
     if not text.isascii():
+        text = _INVISIBLE.sub("", text)
         if _LOOKALIKE.search(text):
             text = text.translate(_WIDE).lower().translate(LOOKALIKES)
         text = _ODD_BREAK.sub(" ", text)
@@ -175,7 +178,7 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str =
     rows are scored each; other columns are not read; an empty table gives no
     rows.  With nothing to learn from, every score is 0.
     """
-    held_out = kernel.remainder("doc_id", modulus) == held
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 53)) < int((1 << 53) * min(1, FIT_ROWS / max(n, 1)))
     truth = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out).select("doc_id", F.col(label).cast("int").alias("label"))
     n = truth.count()
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1, FIT_ROWS / max(n, 1)))

@@ -97,6 +97,7 @@ def test_mixed_texts_hold_the_words_taken(spark, docs):
 
 def test_folding():
     assert toxicity.fold("1d10t! Wоrthless, st@ck 100% ＩＤＩＯＴ don’t!!") == " idiot worthless stack 100 idiot don t "
+    assert toxicity.fold("id\u200biot i\u00addiot i\u0301diot") == " idiot idiot idiot "
 
 
 def test_toxicity_learns_words_beginnings_and_exceptions(spark, empty, labels):
@@ -309,6 +310,15 @@ def test_media_round_trip(docs, rows, empty):
     assert len(full.rgb) == np.prod(full.shape) and hashlib.sha256(full.payload).hexdigest() == full.payload_sha256
 
 
+def test_media_that_cannot_be_read_gives_a_reason(spark, docs):
+    good = bytes(progressive.store(docs.where("doc_id = 3")).first().media)
+    files = [good, None, b"", b"no image", good[: len(good) // 2], good]
+    df = spark.createDataFrame([(i, 1, f) for i, f in enumerate(files)], "doc_id long, n_bytes long, media binary").coalesce(1)
+    got = sorted(progressive.load_media(df).collect())
+    assert [r.reason is None for r in got] == [True, False, False, False, False, True]
+    assert got[0].payload_sha256 == got[5].payload_sha256 and got[3].media_bytes == 8 and got[1].media_bytes is None
+
+
 def test_coefficients_survive_any_bytes():
     rng = np.random.default_rng(6)
     data = [bytes(64), b"\x01" * 64, bytes([0] * 63 + [1]), b"\xff" * 640, *[rng.choice([0, 0, 0, 0, 1, 2, 255], 64 * n).astype(np.uint8).tobytes() for n in (1, 7, 40)], rng.integers(0, 256, 64 * 33).astype(np.uint8).tobytes()]
