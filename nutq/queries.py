@@ -81,10 +81,11 @@ def _top(by: str):
 
 
 def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw corpus lines made of the verse view; every fifth is malformed or a comment."""
-    v = verse_view(spark, sf_dir)
-    line = F.when(F.col("ord") % 5 == 3, F.concat(F.lit("# "), "text")).when(F.col("ord") % 5 == 4, F.concat_ws("|", F.lit("x"), F.col("ayah").cast("string"), "text"))
-    return v.select("ord", line.otherwise(F.concat_ws("|", F.col("surah").cast("string"), F.col("ayah").cast("string"), F.concat(F.lit(" "), "text", F.lit("|z ")))).alias("value"))
+    """Raw corpus lines made of the verse view: every verse as a valid line, and after it lines to skip."""
+    surah, ayah = F.col("surah").cast("string"), F.col("ayah").cast("string")
+    valid = F.concat_ws("|", surah, ayah, F.concat(F.lit(" "), "text", F.lit("|z ")))
+    skipped = [F.concat(F.lit("# "), valid), F.concat_ws("|", F.lit("x"), ayah, "text"), F.concat_ws("|", surah, ayah), F.lit("")]
+    return verse_view(spark, sf_dir).select("ord", F.explode(F.array(valid, *skipped)).alias("value"))
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +251,7 @@ ORACLE = {
     "zero_bonus": _scored_sql(" ".join(SCORED[4:]), NO_BONUS),
     "topk_raw": _scored_sql("text raw_score density_score", None, True, f"ORDER BY raw_score DESC, density_score DESC, ord LIMIT {TOP}"),
     "topk_density": _scored_sql("text raw_score density_score", None, True, f"ORDER BY density_score DESC, raw_score DESC, ord LIMIT {TOP}"),
-    "parse_lines": f"WITH {_view_sql()} SELECT CAST(ord AS BIGINT) AS ord, {_IDS}, regexp_replace(' ' || text || '|z ', '^{_WS}|{_WS}$', '', 'g') AS text FROM verses WHERE ord % 5 < 3",
+    "parse_lines": f"WITH {_view_sql()} SELECT CAST(ord AS BIGINT) AS ord, {_IDS}, regexp_replace(' ' || text || '|z ', '^{_WS}|{_WS}$', '', 'g') AS text FROM verses",
     "strip_opening": f"""WITH {_view_sql()}, led AS (SELECT ord, surah % 40 AS surah, ayah, {_LED} AS text FROM verses),{_chars_sql("led")},
 hits AS (SELECT ord FROM base WHERE ayah = 1 AND surah NOT IN (1, 9) AND word_count > 4 AND array_to_string(string_split(key, ' ')[1:4], '') = 'بسماللهالرحمنالرحيم')
 SELECT CAST(led.ord AS BIGINT) AS ord, {_IDS}, CASE WHEN h.ord IS NOT NULL THEN array_to_string(t[5:], ' ') ELSE text END AS text, h.ord IS NOT NULL AS stripped FROM led LEFT JOIN hits h ON led.ord = h.ord JOIN toks ON led.ord = toks.ord""",
