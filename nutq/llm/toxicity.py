@@ -176,13 +176,13 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str =
     hash of the id.  Equal texts count once while learning.  A null text counts
     as empty; a null id has no label; null labels are passed over; repeated
     rows are scored each; other columns are not read; an empty table gives no
-    rows.  With nothing to learn from, every score is 0.
+    rows.  Without labels of both classes to learn from, every score is 0.
     """
     held_out = kernel.remainder("doc_id", modulus) == held
     truth = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out).select("doc_id", F.col(label).cast("int").alias("label"))
     n = truth.count()
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 53)) < int((1 << 53) * min(1, FIT_ROWS / max(n, 1)))
-    drawn = truth.where(share)  # about FIT_ROWS rows of 12 bytes
+    drawn = truth.where(share).distinct()  # about FIT_ROWS ids, however often a label is repeated
     known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id").dropDuplicates(["text", "label"])
     sample = kernel.materialize(spark, known.select("text", "label"))
     classes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -202,4 +202,6 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str =
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (docs.schema[c] for c in keep))
     text = kernel.text_column(docs.withColumn("held_out", held_out), *keep, "held_out")
     scored = text.mapInArrow(_values([*keep, "held_out"], lexicon, exceptions, curve), f"{kept}, held_out boolean, score double")
+    if not (toxic and clean):
+        scored = scored.withColumn("score", F.lit(0.0))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -117,7 +117,9 @@ def test_toxicity_learns_words_beginnings_and_exceptions(spark, empty, labels):
     assert sum(a == b for a, b in held) / len(held) > 0.95
     assert got[9000].predicted == 1
     assert toxicity.score(spark, empty, labels).collect() == []
-    assert {r.predicted for r in toxicity.score(spark, df.limit(3), labels.limit(0)).collect()} == {0}
+    assert {(r.predicted, r.score) for r in toxicity.score(spark, df.limit(3), labels.limit(0)).collect()} == {(0, 0.0)}
+    again = {r.doc_id: r.score for r in toxicity.score(spark, df, known.unionByName(known)).collect()}
+    assert again == pytest.approx({i: r.score for i, r in got.items()})  # repeated labels change nothing
 
 
 def test_toxicity_takes_any_row(spark, docs, rows, labels):
