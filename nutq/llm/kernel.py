@@ -23,6 +23,8 @@ BATCH_ROWS = 1000
 _BYTE_MULTIPLIER = 0x9E3779B97F4A7C15
 _WORD_MULTIPLIERS = (0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 _MASK = (1 << 64) - 1
+#: Fixed values of the 64-bit hash that Spark's ``xxhash64`` computes.
+_XXHASH_PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,6 +36,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def xxhash64(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64(a, b)`` of two columns of longs, given and returned as unsigned ones."""
+    one, two, three, four, five = (np.uint64(x) for x in _XXHASH_PRIMES)
+    turn = lambda x, k: x << np.uint64(k) | x >> np.uint64(64 - k)
+    out = np.uint64(42)
+    with np.errstate(over="ignore"):
+        for column in (a, b):
+            out = out + five + np.uint64(8) ^ turn(column * two, 31) * one
+            out = turn(out, 27) * one + four
+            out = (out ^ out >> np.uint64(33)) * two
+            out = (out ^ out >> np.uint64(29)) * three
+            out = out ^ out >> np.uint64(32)
+    return out
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
     full = np.full(n, base, np.uint64)

@@ -15,9 +15,11 @@ These counts are absolute, so the tree grows with the corpus.  It is a table: a
 its suffix plus a term of the context (``rest``: what it leaves to unlisted
 tokens), plus, if it is listed, a term of the gram (``gain``).  A gram is the
 context of the token after it, so a text's score is the sum of one number for
-each of its grams: an equi-join.  Bounded filters (bit tables) only spare the
-shuffles grams that are surely absent, and the most frequent grams' numbers are
-broadcast; neither changes a result.
+each of its grams: an equi-join.  A gram's key is a hash of two others, its context and its
+suffix, so only these two are shuffled.  Bounded filters (bit tables, and
+sketches of pairs and of triples of words) only spare the shuffles grams that
+are surely absent or surely occur once, and the most frequent grams' numbers
+are broadcast; neither changes a result.
 """
 
 from __future__ import annotations
@@ -45,6 +47,8 @@ NUMBERED = 2e-6
 HOT = 2e-7
 #: Parts of the keys that are joined one after another, so that the disk holds the shuffle of one.
 SLICES = 4
+#: Grams of so many words and one more are looked up in a sketch before they are shuffled: of these, most occur once.
+SKETCHED = 2
 #: log2 of the bits of the largest bit table.
 MOST_BITS = 28
 END = np.uint64(0xE7D5_0F1E_55ED_C0DE)
@@ -65,8 +69,7 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def longer(grams: np.ndarray) -> np.ndarray:
     """Grams of one more word, by the places where they end: of the gram that ends one token before, and the one that ends here."""
     out = np.zeros_like(grams)
-    with np.errstate(over="ignore"):
-        out[1:] = kernel.mix(grams[:-1] * np.uint64(kernel._WORD_MULTIPLIERS[0]) + grams[1:] * np.uint64(kernel._WORD_MULTIPLIERS[1]))
+    out[1:] = kernel.xxhash64(grams[:-1], grams[1:])
     return out
 
 
@@ -76,27 +79,29 @@ def places(first: np.ndarray) -> np.ndarray:
 
 
 def bits(keys: DataFrame) -> np.ndarray:
-    """One bit for each of a table's keys; ``has`` is true of every key, and of few other values while the table is not full."""
-    size = min(MOST_BITS, max(16, int(8 * keys.count()).bit_length()))
+    """Two bits of one word for each of a table's keys; ``has`` is true of every key, and of few other values while the table is not full."""
+    size = min(MOST_BITS, max(16, int(12 * keys.count()).bit_length()))
     words = np.zeros(1 << size - 6, np.int64)
-    one = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 58) as int))")
+    one = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 58) as int)) | shiftleft(1L, cast(shiftrightunsigned(key, 52) & 63 as int))")
     found = keys.select(F.col("key").bitwiseAND(len(words) - 1).alias("at"), one.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     words[found.column("at").to_numpy()] = found.column("bits").to_numpy()
     return words
 
 
 def has(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return (words.view(np.uint64)[(keys & np.uint64(len(words) - 1)).astype(np.int64)] >> (keys >> np.uint64(58)) & np.uint64(1)).astype(bool)
+    word = words.view(np.uint64)[(keys & np.uint64(len(words) - 1)).astype(np.int64)]
+    return (word >> (keys >> np.uint64(58)) & word >> (keys >> np.uint64(52) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _counted(held: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
+def _counted(held: list[tuple[np.ndarray, ...]], names: tuple[str, ...]) -> pa.RecordBatch:
+    """The last columns of equal rows, by the first one, and how many rows there are."""
     columns = [np.concatenate(x) for x in zip(*held, strict=True)]
     _, at, count = np.unique(columns[0], return_index=True, return_counts=True)
-    return pa.RecordBatch.from_arrays([*[pa.array(c[at].view(np.int64)) for c in columns], pa.array(count.astype(np.int64))], names=[*names, "n"])
+    return pa.RecordBatch.from_arrays([*[pa.array(c[at].view(np.int64)) for c in columns[-len(names) :]], pa.array(count.astype(np.int64))], names=[*names, "n"])
 
 
-def _counter(keys_of, names: tuple[str, ...] = ("key",)):
-    """Sends the keys of every chunk (and what goes with each) and n, combined in the task."""
+def _counter(keys_of):
+    """Sends context, suffix and n of the grams of every chunk, combined in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -107,10 +112,10 @@ def _counter(keys_of, names: tuple[str, ...] = ("key",)):
                 held.append(found)
                 size += len(found[0])
                 if size > _FLUSH:
-                    yield _counted(held, names)
+                    yield _counted(held, ("context", "suffix"))
                     held, size = [], 0
         if size:
-            yield _counted(held, names)
+            yield _counted(held, ("context", "suffix"))
 
     return run
 
@@ -124,7 +129,7 @@ def _first_look(shape: sketch.Shape):
 
         def flush():
             if held:
-                words = _counted(held, ["key"])
+                words = _counted(held, ("key",))
                 yield pa.RecordBatch.from_arrays([*words.columns, none(words.num_rows, pa.int32()), none(words.num_rows, pa.binary())], names=_FIRST)
             for part in touched.flush():
                 yield pa.RecordBatch.from_arrays([none(part.num_rows, pa.int64()), none(part.num_rows, pa.int64()), *part.columns], names=_FIRST)
@@ -150,8 +155,8 @@ _FIRST = ["key", "n", "slice", "packed"]
 def _grams(depth: int, contexts, listed, shape: sketch.Shape | None, packed):
     """Grams of a context of so many words that may be listed, with their contexts and suffixes.
 
-    The context occurs often enough, and the gram's suffix is listed; pairs of
-    words are looked up in the sketch.
+    The context occurs often enough, and the gram's suffix is listed; the gram
+    is looked up in the sketch, if there is one.
     """
 
     def run(column: pa.Array) -> tuple[np.ndarray, ...]:
@@ -170,6 +175,14 @@ def _grams(depth: int, contexts, listed, shape: sketch.Shape | None, packed):
     return run
 
 
+def _sketch(spark: SparkSession, text: DataFrame, before: DataFrame, keys_of):
+    """Shape and broadcast sketch of the grams that these filters leave."""
+    shape = sketch.Shape.of(before.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], 2)
+    every = sketch.build(text, shape, lambda column: (keys_of(column.slice(a, b - a))[0] for a, b in kernel.chunks(column)))
+    kernel.release(spark)
+    return shape, spark.sparkContext.broadcast(every)
+
+
 @dataclass
 class Model:
     """Counts of all training tokens (key, n), the numbers of grams (key, n, gain, rest), how many states each depth has, tokens, distinct tokens."""
@@ -188,8 +201,7 @@ def _level(spark: SparkSession, sent: DataFrame, before: DataFrame) -> tuple[Dat
     are those of the gram that it is, each followed by a token.
     """
     n = F.col("n")
-    counted = sent.groupBy("key").agg(F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix")).where(n >= LISTED)
-    counted = kernel.write_table(spark, counted)
+    counted = kernel.write_table(spark, sent.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(n >= LISTED))
     # Contexts and suffixes are tables before they are joined, so that adaptive execution can split very frequent ones.
     sums = counted.groupBy("context").agg(F.sum("n").alias("told"), F.count("*").alias("kinds"))
     contexts = sums.join(before.where(n >= CONTEXT).select(F.col("key").alias("context"), n.alias("all")), "context")
@@ -197,7 +209,7 @@ def _level(spark: SparkSession, sent: DataFrame, before: DataFrame) -> tuple[Dat
     contexts = kernel.write_table(spark, contexts.select("context", "all", (F.col("kinds") + F.col("all") - F.col("told") + 1).alias("weight")))
     below, weight = F.pow(F.lit(10.0), F.col("below")), F.col("weight")
     known = counted.join(contexts, "context").join(before.select(F.col("key").alias("suffix"), F.col("log").alias("below")), "suffix")
-    known = kernel.write_table(spark, known.select("key", "context", "n", "all", "below", ((n + weight * below) / (F.col("all") + weight)).alias("prob")))
+    known = kernel.write_table(spark, known.select(F.xxhash64("context", "suffix").alias("key"), "context", "n", "all", "below", ((n + weight * below) / (F.col("all") + weight)).alias("prob")))
     sums = known.groupBy("context").agg(F.max("all").alias("all"), F.sum("prob").alias("mass"), F.sum(below).alias("mass_below"), F.sum(F.col("prob") * F.ln(F.col("prob") / below)).alias("listed"))
     left, left_below = (F.greatest(1 - F.col(c), F.lit(1e-9)) for c in ("mass", "mass_below"))
     diverges = F.col("all") * (F.col("listed") + left * F.ln(left / left_below)) >= EVIDENCE
@@ -228,10 +240,12 @@ def model(spark: SparkSession, train: DataFrame, most_depth: int | None = None)
     zero, parts, states, levels = F.lit(0.0), [], [], []
     for depth in range(1, (most_depth or MOST_DEPTH) + 1):
         filters = [share(bits(before.where(F.col("n") >= least))) for least in (CONTEXT, LISTED)]
-        keys_of = _grams(depth, *filters, shape if depth == 1 else None, packed)
-        sent = text.mapInArrow(_counter(keys_of, ("key", "context", "suffix")), "key long, context long, suffix long, n long")
+        if 1 < depth <= SKETCHED:
+            shape, packed = _sketch(spark, text, before, _grams(depth, *filters, None, None))
+        keys_of = _grams(depth, *filters, shape if depth <= SKETCHED else None, packed)
+        sent = text.mapInArrow(_counter(keys_of), "context long, suffix long, n long")
         grams, kept = _level(spark, sent, before)
-        for done in filters:
+        for done in [*filters, packed][: 2 + (depth <= SKETCHED)]:
             done.unpersist()
         levels += [grams, kept]
         states.append(kept)

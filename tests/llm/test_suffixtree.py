@@ -7,7 +7,7 @@ from math import log, log10
 import numpy as np
 import pytest
 
-from nutq.llm import suffixtree
+from nutq.llm import kernel, suffixtree
 
 from . import brute
 
@@ -94,3 +94,18 @@ def test_long_contexts_become_states(spark):
     assert [got[i] for i, _ in rows] == pytest.approx(want, rel=1e-9)
     two, _ = plain_scores(rows, 2)
     assert sum(got.values()) > 0.9 * sum(two)
+
+
+def test_gram_keys_are_spark_hashes(spark):
+    """What tasks call a gram and what Spark computes of its two parts are the same number."""
+    parts = np.random.default_rng(13).integers(-(1 << 63), (1 << 63) - 1, (100, 2))
+    parts[:2] = [[0, 0], [-1, 1]]
+    got = spark.createDataFrame(parts.tolist(), "a long, b long").selectExpr("a", "b", "xxhash64(a, b) AS h").toPandas()
+    assert (kernel.xxhash64(got.a.to_numpy().view(np.uint64), got.b.to_numpy().view(np.uint64)).view(np.int64) == got.h).all()
+
+
+def test_bit_tables_hold_every_key(spark):
+    keys = np.random.default_rng(14).integers(-(1 << 63), (1 << 63) - 1, 20_000)
+    table = suffixtree.bits(spark.createDataFrame([(int(k),) for k in keys[:10_000]], "key long"))
+    there = suffixtree.has(table, keys.view(np.uint64))
+    assert there[:10_000].all() and there[10_000:].mean() < 0.06
