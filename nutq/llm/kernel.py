@@ -22,7 +22,6 @@ CHUNK_BYTES = 1 << 20
 BATCH_ROWS = 1000
 _BYTE_MULTIPLIER = 0x9E3779B97F4A7C15
 _WORD_MULTIPLIERS = (0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
-_MASK = (1 << 64) - 1
 #: Fixed values of the 64-bit hash that Spark's ``xxhash64`` computes.
 _XXHASH_PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 

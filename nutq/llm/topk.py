@@ -1,8 +1,9 @@
 """Exact top-k inner-product search by Fagin's threshold algorithm.
 
-Vectors are dealt into blocks.  A task joins a block of candidates with a block
-of queries: it sorts the candidates once for each dimension, and every query
-reads these lists in step, from the end that its component favours.  A vector
+Vectors are dealt into blocks.  A block of candidates is shuffled once, and the
+blocks of queries (the stated 1 of 50 rows) come to it one after another.  Its
+task sorts it once for each dimension, whatever the number of queries, and every
+query reads these lists in step, from the end that its component favours.  A vector
 met for the first time is scored in full.  The values at the present depth
 bound the score of every vector not met yet; when the bound cannot beat the
 kth best score, the query is done with the block.  The best of all blocks are
@@ -72,15 +73,22 @@ def _pack(frame: pd.DataFrame) -> pd.DataFrame:
 
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
         for batch in batches:
-            for x in batch.to_pylist():
+            for i in range(batch.num_rows):
+                x = {c: batch.column(c)[i].as_py() for c in ("c", "dim", "q_rows", "q_ids", "q_values")}
                 dim = x["dim"]
-                rows, ids, queries, query_ids = (np.frombuffer(x[c], np.int64) for c in ("rows", "ids", "q_rows", "q_ids"))
-                vectors, wanted = (np.frombuffer(x[c]).reshape(-1, dim) for c in ("values", "q_values"))
-                if dim and dim * np.abs(vectors).max() * np.abs(wanted).max() < 1 << 24:
-                    vectors, wanted = vectors.astype(np.float32), wanted.astype(np.float32)  # sums stay exact
-                order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
-                place = {r: i for i, r in enumerate(rows.tolist())}
+                if block != (x["c"], dim):  # its rows follow each other
+                    block = (x["c"], dim)
+                    rows, ids = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in ("rows", "ids"))
+                    exact = np.frombuffer(batch.column("values")[i].as_py()).reshape(-1, dim)
+                    order = np.ascontiguousarray(np.argsort(exact, axis=0, kind="stable").T)
+                    short, largest = exact.astype(np.float32), np.abs(exact).max()
+                    place = {r: i for i, r in enumerate(rows.tolist())}
+                queries, query_ids = (np.frombuffer(x[c], np.int64) for c in ("q_rows", "q_ids"))
+                vectors, wanted = exact, np.frombuffer(x["q_values"]).reshape(-1, dim)
+                if dim * largest * np.abs(wanted).max() < 1 << 24:
+                    vectors, wanted = short, wanted.astype(np.float32)  # sums stay exact
                 out = []
                 for q, (row, query) in enumerate(zip(queries.tolist(), wanted, strict=True)):
                     best, score = threshold_search(vectors, ids, order, query, k, place.get(row, -1))
@@ -112,11 +120,11 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = 5, every: int = 50,
         dealt = df.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(count)).cast("int"))
         return dealt.groupBy("block", "dim").applyInPandas(_pack, "block int, dim int, rows binary, ids binary, values binary")
 
-    # The stated queries against all rows, block by block: each pair of blocks has a key of its own.
-    candidates = blocks(table, n_c).withColumnRenamed("block", "c").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
-    queries = blocks(table.where(F.col("vec_id") % every == 0), n_q).select(F.col("block").alias("q"), "dim", F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
+    # The stated queries against all rows, block by block: only query blocks are sent more than once.
+    candidates = blocks(table, n_c).withColumnRenamed("block", "c")
+    queries = blocks(table.where(F.col("vec_id") % every == 0), n_q).select("dim", F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
     queries = queries.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))))
-    pairs = candidates.hint("merge").join(queries, ["c", "q", "dim"])
+    pairs = candidates.hint("merge").join(queries, ["c", "dim"])
     found = pairs.mapInArrow(_search(k), "q_row long, query_id long, vec_id long, score long")
     best = W.partitionBy("q_row").orderBy(F.desc("score"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -259,7 +259,7 @@ def test_sketch_never_underestimates(spark):
 # 7 ---------------------------------------------------------------------------
 
 
-def test_topk_equals_brute_force(spark):
+def test_topk_equals_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(2)
     data = [(i, [float(x) for x in rng.normal(0, 0.2, 6)]) for i in range(400)]
     data += [(400 + i, data[50][1]) for i in range(40)] + [(50, data[50][1]), (900, [0.0] * 6), (901, [1.0] * 3), (950, [0.5, -0.5, 0.25])]
@@ -272,6 +272,9 @@ def test_topk_equals_brute_force(spark):
             best = sorted((-int(x @ y), c) for b, (c, y) in enumerate(good) if a != b and len(x) == len(y))[:5]
             want += [(q, k, c, -s) for k, (s, c) in enumerate(best, 1)]
     assert sorted(tuple(r) for r in topk.search(spark, df).collect()) == sorted(want)
+    monkeypatch.setattr(topk, "CANDIDATES", 40)  # many blocks of both sides
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    assert sorted(tuple(r) for r in topk.search(spark, df).collect()) == sorted(want)
     assert topk.search(spark, df.limit(0)).collect() == []
 
 
