@@ -10,6 +10,7 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -175,11 +176,16 @@ def remainder(column: str, divisor: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Whole texts are long, so batches of them are short."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def text_column(df: DataFrame, *keep: str) -> DataFrame:
-    """Only the columns named and ``text``, nulls as empty; whole texts are long, so batches of them are short."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if conf.get(name) == "10000":
-        conf.set(name, BATCH_ROWS)
+    """Only the columns named and ``text``, nulls as empty, in short batches."""
+    short_batches(df.sparkSession)
     return df.select(*[c for c in keep if c != "text"], F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
@@ -189,6 +195,19 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 #: Folders of the tables that operators wrote and that nobody has deleted yet.
 _tables: list[str] = []
+#: Of each scope that is open, the folders of the tables written in it.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scope() -> Iterator[list[str]]:
+    """The folders of the tables that are written while it is open, so that their owner can delete them and no others."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.remove(made)
 
 
 def kept_columns(keep: tuple[str, ...], *made: str) -> tuple[str, ...]:
@@ -196,12 +215,17 @@ def kept_columns(keep: tuple[str, ...], *made: str) -> tuple[str, ...]:
     return tuple(c for c in dict.fromkeys([*keep, "doc_id"]) if c not in made)
 
 
-def write_table(spark: SparkSession, df: DataFrame) -> DataFrame:
+def shared_root(spark: SparkSession) -> str:
+    """The folder that all executors share."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+
+
+def write_table(spark: SparkSession, df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write a frame as Parquet in the shared folder, and read it back: lineage is cut, columns are read singly."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-    path = f"{root}/nutq-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _tables.append(path)
+    path = f"{shared_root(spark)}/nutq-{uuid.uuid4().hex}"
+    df.write.parquet(path, compression=compression)
+    for made in (_tables, *_scopes):
+        made.append(path)
     release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -218,13 +242,13 @@ def drop_table(spark: SparkSession, df: DataFrame) -> None:
         _delete(spark, path)
 
 
-def sweep(spark: SparkSession, docs: DataFrame) -> None:
-    """Delete the tables of all operators run so far but those that ``docs`` reads.
+def sweep(spark: SparkSession, made: list[str], docs: DataFrame) -> None:
+    """Delete the tables of a scope but those that ``docs`` reads.
 
     For a chain of stages whose results are written one by one: what a stage
     has left is of no use once its result is a table.
     """
     read = docs.inputFiles()
-    for path in [p for p in _tables if not any(p in file for file in read)]:
+    for path in [p for p in made if p in _tables and not any(p in file for file in read)]:
         _delete(spark, path)
     release(spark)
