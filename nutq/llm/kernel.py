@@ -207,7 +207,7 @@ def scope() -> Iterator[list[str]]:
     try:
         yield made
     finally:
-        _scopes.remove(made)
+        _scopes.pop()
 
 
 def kept_columns(keep: tuple[str, ...], *made: str) -> tuple[str, ...]:
