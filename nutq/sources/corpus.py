@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import re
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import charclasses as C
 from ..functions import text as T
+from .json_array import read_elements
+from .lines import numbered_lines
 
 # The script names and the opening formula.
 SCRIPTS = {
@@ -23,10 +24,8 @@ SCRIPTS = {
 OPENING_FORMULA = "بسم الله الرحمن الرحيم"
 #: Chapters whose first verse has no opening formula to strip.
 UNSTRIPPED_CHAPTERS = (1, 9)
-_VERSES = "array<struct<surah:string,ayah:string,text:string>>"
+_VERSE = "struct<surah:string,ayah:string,text:string>"
 _LINE = "struct<ord:bigint,surah:string,ayah:string,text:string>"
-#: Line ends as in Python's splitlines.
-_LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 
 
 def with_word_count(verses: DataFrame) -> DataFrame:
@@ -39,25 +38,29 @@ def _checked(rows: DataFrame) -> DataFrame:
     return with_word_count(rows.select("ord", need("surah").cast("int").alias("surah"), need("ayah").cast("int").alias("ayah"), need("text").alias("text")))
 
 
+def _is_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a corpus is lines of verses: its first object, told from the beginning of a file, has its place in it."""
+    head = "".join(r.value + "}" for r in spark.read.text(path, lineSep="}").take(64))
+    try:
+        first, _ = json.JSONDecoder().raw_decode(head.lstrip("\ufeff \t\r\n"))
+    except ValueError:
+        return False
+    return isinstance(first, dict) and "ord" in first and "verses" not in first
+
+
 def load_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Verses of a corpus JSON: an object with ``verses``, a bare array, or lines of verses with their ``ord``.
 
     ``ord`` is the place in the array, counted on over several files in the
-    order of their names.  Lines, as ``ingest`` writes them, are read in
-    pieces; an array is read by one task a file.  Ids may be quoted.  Text
-    that isn't JSON, JSON of another form, and a missing id or text are errors.
+    order of their names.  Every form is read in byte ranges, so a file of any
+    size is read by many tasks.  Ids may be quoted.  Text that isn't JSON, JSON
+    of another form, and a missing id or text are errors.
     """
     strict = {"mode": "FAILFAST"}
-    if (head := spark.read.text(path).first()) and re.match(r'\{"ord":\d+,', head.value) and head.value.endswith("}"):
-        lines = spark.read.text(path).where("value != ''").select(F.from_json("value", _LINE, strict).alias("col"))
+    if _is_lines(spark, path):
+        lines = spark.read.text(path).where("trim(value) != ''").select(F.from_json("value", _LINE, strict).alias("col"))
         return _checked(lines.select("col.ord", "col"))
-    file = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    bare = F.from_json("value", _VERSES, strict)
-    inner = F.coalesce(F.from_json("value", f"struct<verses:{_VERSES}>", strict)["verses"], F.raise_error(F.lit("no verses in the corpus")).cast(_VERSES))
-    verses = file.select("file", F.when(F.col("value").rlike(r"^\s*\["), bare).otherwise(inner).alias("verses"))
-    # A row for each file of a corpus.
-    start = verses.select("file", (F.sum(F.size("verses")).over(W.orderBy("file").rowsBetween(W.unboundedPreceding, 0)) - F.size("verses")).alias("start"))
-    return _checked(verses.join(start, "file").select("start", F.posexplode("verses")).withColumn("ord", F.col("start") + F.col("pos")))
+    return _checked(read_elements(spark, path).select("ord", F.from_json("value", _VERSE, strict).alias("col")))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -69,9 +72,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Verses of a raw text file, numbered by line."""
-    file = spark.read.text(path, wholetext=True)
-    return parse_lines(file.select(F.posexplode(F.split("value", _LINE_END)).alias("ord", "value")).withColumn("ord", F.col("ord").cast("long")))
+    """Verses of raw text files, numbered by line, read in byte ranges."""
+    return parse_lines(numbered_lines(spark, path))
 
 
 def strip_opening(verses: DataFrame) -> DataFrame:
@@ -87,7 +89,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Verses of a Parquet table with ``surah``, ``ayah``, ``text`` and, where there is one, ``ord``."""
     df = spark.read.parquet(path)
     if "ord" not in df.columns:
-        df = df.withColumn("ord", F.col("surah").cast("long") * 100_000 + F.col("ayah"))
+        df = df.withColumn("ord", F.col("surah").cast("long") * (1 << 32) + F.col("ayah"))  # no two pairs of 32-bit numbers share one
     return with_word_count(df.select(F.col("ord").cast("long"), F.col("surah").cast("int"), F.col("ayah").cast("int"), "text"))
 
 
