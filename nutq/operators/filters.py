@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ScoringConfig
@@ -63,6 +63,16 @@ def dropped(classified: DataFrame) -> DataFrame:
     return classified.where("reason IS NOT NULL").select("ord", "surah", "ayah", "text", "reason")
 
 
+def stage(reason: Column) -> Column:
+    """The number of the filter that gave a reason: filters judge one after another what those before left."""
+    return F.when(reason == "word_count", 1).when(reason == "not_fully_diacritized", 2).otherwise(3)
+
+
+def in_stage_order(drops: DataFrame) -> DataFrame:
+    """Dropped rows in the order in which three passes over the input drop them."""
+    return drops.orderBy(stage(F.col("reason")), "ord")
+
+
 def drop_reasons(classified: DataFrame) -> DataFrame:
     """How many rows each reason dropped; duplicates are one reason."""
     folded = F.when(F.col("reason").startswith("duplicate"), "duplicate").otherwise(F.col("reason"))

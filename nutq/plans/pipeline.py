@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..config import ScoringConfig
 from ..operators import filters
 from ..operators.score import score
+from ..sources.shared import checkpointed
 
 
 def score_verses(verses: DataFrame, config: ScoringConfig | None = None) -> tuple[DataFrame, DataFrame]:
@@ -25,6 +27,22 @@ def ranked(scored: DataFrame, by: str = "raw", top: int | None = None) -> DataFr
     return out if top is None else out.limit(top)
 
 
+def with_ranks(scored: DataFrame, by: str = "raw") -> DataFrame:
+    """Add ``rank``, the place of every row in the ranking, from 1 and without gaps.
+
+    Rows are sorted in range partitions, once, in the shared folder; a row's rank
+    is its place in its partition and the sizes of those before, so no task
+    sees more than its range.
+    """
+    placed = checkpointed(ranked(scored, by).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33).alias("_part")
+    sizes = placed.groupBy(part).agg(F.count("*").alias("_n"))
+    # One row for each partition of the sort.
+    before = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
+    rank = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn("rank", rank).drop("_part", "_at", "_n", "_before")
+
+
 def summary(classified: DataFrame) -> DataFrame:
     """One row: total, kept and dropped."""
     return classified.agg(F.count("*").alias("total"), F.count_if(F.col("reason").isNull()).alias("kept"), F.count_if(F.col("reason").isNotNull()).alias("dropped"))

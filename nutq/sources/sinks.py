@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import ScoringConfig
 from ..operators.score import SCORED
 from .corpus import SCRIPTS
+from .exact import write_file
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -31,15 +32,17 @@ def _note(spark: SparkSession, value: dict, path: str) -> str:
     return path
 
 
-def write_outputs(scored: DataFrame, dropped: DataFrame, config: ScoringConfig, out_dir: str, formats: list[str] | None = None, stem: str = "ayah_scores") -> list[str]:
+def write_outputs(scored: DataFrame, dropped: DataFrame, config: ScoringConfig, out_dir: str, formats: list[str] | None = None, stem: str = "ayah_scores", single_files: bool = False) -> list[str]:
     """Write each output as a folder of part files, in parallel; the paths written.
 
-    Unknown formats are passed over.  Dropped rows and the configuration are
-    written even when nothing was kept.
+    With ``single_files`` CSV and JSON are one file each, as Python's ``csv``
+    and ``json`` write them.  Unknown formats are passed over.  Dropped rows
+    and the configuration are written even when nothing was kept.
     """
     spark = scored.sparkSession
-    written = [_write(scored.select(*SCORED), f"{out_dir}/{stem}.{kind}", kind) for kind in FORMATS if kind in (formats or ["csv", "json"])]
-    written.append(_write(dropped.select("surah", "ayah", "text", "reason"), f"{out_dir}/dropped_ayahs.csv", "csv"))
+    write = lambda df, path, kind: write_file(df, path, kind) if single_files and kind != "parquet" else _write(df, path, kind)
+    written = [write(scored.select(*SCORED), f"{out_dir}/{stem}.{kind}", kind) for kind in FORMATS if kind in (formats or ["csv", "json"])]
+    written.append(write(dropped.select("surah", "ayah", "text", "reason"), f"{out_dir}/dropped_ayahs.csv", "csv"))
     written.append(_note(spark, config.to_json_dict(), f"{out_dir}/scoring_config.json"))
     return written
 
