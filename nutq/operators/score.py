@@ -67,37 +67,96 @@ def density(score: Column, size: Column) -> Column:
     return F.coalesce(F.bround(F.try_divide(score.cast("double"), size.cast("double")), 6), F.lit(0.0))
 
 
+def encoded_columns(text: Column) -> tuple[Column, Column]:
+    """The two strings that all rules are counted on: letters with their marks, and letters alone."""
+    encoded = T.encoded(text)
+    return encoded, F.regexp_replace(encoded, f"[{C.SCORED_MARKS}]", "")
+
+
+def _counts(encoded: Column, skeleton: Column, config: ScoringConfig) -> dict[str, Column]:
+    """What is counted on the strings; ``_same_group`` leaves out emphatic pairs."""
+    pairs = adjacency_counts(skeleton, config)
+    marks = tajweed_counts(encoded, config) if config.enable_tajweed else dict.fromkeys(("shadda_hard", "madd_guttural", "idgham"), F.lit(0))
+    return {
+        "letter_count": F.length(F.translate(skeleton, " ", "")),
+        "base_score": base_score(skeleton, config),
+        "hard_letter_count": _occurrences(skeleton, config.hard_letters) if config.hard_letters else F.lit(0),
+        "distinct_hard_letters": distinct_hard_letters(skeleton, config),
+        "hard_adjacent_count": pairs["hard_adjacent"],
+        "emphatic_pair_count": pairs["emphatic"],
+        "_same_group": pairs["same_group"],
+        "shadda_hard_count": marks["shadda_hard"],
+        "madd_guttural_count": marks["madd_guttural"],
+        "idgham_count": marks["idgham"],
+    }
+
+
+def _bonuses(of: dict[str, Column], config: ScoringConfig) -> dict[str, Column]:
+    emphatic, same, near = of["emphatic_pair_count"], of["_same_group"], of["hard_adjacent_count"]
+    return {
+        "same_group_count": same + emphatic,
+        "adjacency_bonus": emphatic * config.bonus_emphatic_pair + same * config.bonus_same_group + near * config.bonus_hard_adjacent,
+        "tajweed_bonus": of["shadda_hard_count"] * config.bonus_shadda_hard + of["madd_guttural_count"] * config.bonus_madd_guttural + of["idgham_count"] * config.bonus_idgham,
+    }
+
+
+def _densities(raw: Column, letters: Column, words: Column, config: ScoringConfig) -> dict[str, Column]:
+    return {"density_score": density(raw, letters if config.density_basis == "letter" else words), "density_per_letter": density(raw, letters)}
+
+
+def score_columns(encoded: Column, skeleton: Column, words: Column, config: ScoringConfig) -> dict[str, Column]:
+    """Every score as one expression."""
+    of = _counts(encoded, skeleton, config)
+    of |= _bonuses(of, config)
+    of["raw_score"] = of["base_score"] + of["adjacency_bonus"] + of["tajweed_bonus"]
+    of |= _densities(of["raw_score"], of["letter_count"], words, config)
+    return {name: of[name] for name in SCORED if name in of}
+
+
+def _encode(verses: DataFrame) -> DataFrame:
+    return verses.withColumn("_encoded", T.encoded(F.col("text"))).withColumn("_skeleton", F.regexp_replace("_encoded", f"[{C.SCORED_MARKS}]", ""))
+
+
+def _score_encoded(df: DataFrame, config: ScoringConfig) -> DataFrame:
+    """Add the scores step by step, so that each is computed once."""
+    counts = _counts(F.col("_encoded"), F.col("_skeleton"), config)
+    df = df.withColumns(counts).withColumns(_bonuses({name: F.col(name) for name in counts}, config))
+    df = df.withColumn("raw_score", F.col("base_score") + F.col("adjacency_bonus") + F.col("tajweed_bonus"))
+    return df.withColumns(_densities(F.col("raw_score"), F.col("letter_count"), F.col("word_count"), config))
+
+
 def score(verses: DataFrame, config: ScoringConfig | None = None) -> DataFrame:
     """Add every score to verses that have ``text`` and ``word_count``; row-local, other columns stay."""
-    config = config or ScoringConfig()
-    encoded = verses.withColumn("_encoded", T.encoded(F.col("text")))
-    df = encoded.withColumn("_skeleton", F.regexp_replace("_encoded", f"[{C.SCORED_MARKS}]", ""))
-    skeleton = F.col("_skeleton")
-    pairs = adjacency_counts(skeleton, config)
-    marks = tajweed_counts(F.col("_encoded"), config) if config.enable_tajweed else dict.fromkeys(("shadda_hard", "madd_guttural", "idgham"), F.lit(0))
-    df = df.withColumns(
-        {
-            "letter_count": F.length(F.translate(skeleton, " ", "")),
-            "base_score": base_score(skeleton, config),
-            "hard_letter_count": _occurrences(skeleton, config.hard_letters) if config.hard_letters else F.lit(0),
-            "distinct_hard_letters": distinct_hard_letters(skeleton, config),
-            "hard_adjacent_count": pairs["hard_adjacent"],
-            "emphatic_pair_count": pairs["emphatic"],
-            "_same_group": pairs["same_group"],
-            "shadda_hard_count": marks["shadda_hard"],
-            "madd_guttural_count": marks["madd_guttural"],
-            "idgham_count": marks["idgham"],
-        }
-    )
-    emphatic, same, near = F.col("emphatic_pair_count"), F.col("_same_group"), F.col("hard_adjacent_count")
-    df = df.withColumns(
-        {
-            "same_group_count": same + emphatic,
-            "adjacency_bonus": emphatic * config.bonus_emphatic_pair + same * config.bonus_same_group + near * config.bonus_hard_adjacent,
-            "tajweed_bonus": F.col("shadda_hard_count") * config.bonus_shadda_hard + F.col("madd_guttural_count") * config.bonus_madd_guttural + F.col("idgham_count") * config.bonus_idgham,
-        }
-    ).withColumn("raw_score", F.col("base_score") + F.col("adjacency_bonus") + F.col("tajweed_bonus"))
-    raw, by_letter = F.col("raw_score"), F.col("letter_count")
-    df = df.withColumns({"density_score": density(raw, by_letter if config.density_basis == "letter" else F.col("word_count")), "density_per_letter": density(raw, by_letter)})
+    df = _score_encoded(_encode(verses), config or ScoringConfig())
     rest = [c for c in verses.columns if c not in SCORED]
     return df.select(*rest, *SCORED)
+
+
+def score_many(verses: DataFrame, configs: dict[str, ScoringConfig]) -> DataFrame:
+    """The kept and scored rows of several configurations in one pass: a ``config`` column, then those of ``score``.
+
+    The text is read, encoded and judged by its ratio once; a row becomes one
+    row for each configuration whose filters it passes, and first rows of a
+    skeleton are found for all configurations in one shuffle.  ``verses`` has
+    ``ord``.
+    """
+    df = _encode(verses).withColumns({"_ratio": T.diacritization_ratio(F.col("text")), "_key": T.spaced_skeleton(F.col("text"))})
+    own = [c for c in df.columns if c not in SCORED or c in ("surah", "ayah", "text", "word_count")]
+    scores = [c for c in SCORED if c not in own]
+    kinds = None
+    for i, (name, config) in enumerate(configs.items()):
+        passes = F.col("word_count").between(config.min_word_count, config.max_word_count)
+        if config.require_full_diacritization:
+            passes &= F.col("_ratio") >= config.diacritization_min_ratio
+        key = F.col("_key") if config.dedupe_semantic_duplicates else F.concat(F.lit("\0"), F.col("ord").cast("string"))
+        scored = _score_encoded(df, config)
+        kinds = kinds or {c: scored.schema[c].dataType for c in scores}
+        # Weights and bonuses may be whole in one configuration and not in another.
+        cast = lambda c: F.col(c).cast("double") if c not in ("letter_count", "distinct_hard_letters") and not c.endswith("_count") else F.col(c)
+        made = F.struct(F.lit(name).alias("config"), key.alias("_unique"), *[cast(c).alias(c) for c in scores])
+        df = scored.withColumn(f"_made{i}", F.when(passes, made)).select(*df.columns, f"_made{i}")
+    rows = df.select(*[c for c in own if not c.startswith("_")], F.explode(F.array_compact(F.array(*[f"_made{i}" for i in range(len(configs))]))).alias("_m")).select("*", "_m.*").drop("_m")
+    whole = F.struct("ord", *[c for c in rows.columns if c not in ("ord", "_unique", "config")])
+    first = rows.groupBy("config", "_unique").agg(F.min(whole).alias("_row")).select("config", "_row.*")
+    rest = [c for c in verses.columns if c not in SCORED]
+    return first.select("config", *rest, *SCORED)
