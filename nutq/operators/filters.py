@@ -35,14 +35,23 @@ def classify(verses: DataFrame, config: ScoringConfig | None = None) -> DataFram
     df = gate(verses, config)
     if not config.dedupe_semantic_duplicates:
         return df
-    passed = df.where("reason IS NULL").withColumn("_key", T.spaced_skeleton(F.col("text")))
+    passed = keyed(df)
     first = passed.groupBy("_key").agg(F.count("*").alias("_n"), F.min(F.struct("ord", "surah", "ayah")).alias("_first")).where("_n > 1").drop("_n")
+    return named_after(df, passed, first, verses.columns)
+
+
+def keyed(gated: DataFrame) -> DataFrame:
+    """The rows that passed, with their skeleton as ``_key``."""
+    return gated.where("reason IS NULL").withColumn("_key", T.spaced_skeleton(F.col("text")))
+
+
+def named_after(gated: DataFrame, passed: DataFrame, first: DataFrame, columns: list[str]) -> DataFrame:
+    """All rows with their reasons; a passed one that isn't the first row of ``first`` (``_key, _first``) is named after it."""
     first = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    later = F.col("_first.ord") < F.col("ord")
     named = F.concat(F.lit("duplicate_of_"), F.col("_first.surah").cast("string"), F.lit(":"), F.col("_first.ayah").cast("string"))
     salted = passed.withColumn("_salt", F.pmod(F.xxhash64("ord"), F.lit(SALTS)).cast("int"))
-    judged = salted.join(first, ["_key", "_salt"], "left").withColumn("reason", F.when(later, named)).select(*verses.columns, "reason")
-    return df.where("reason IS NOT NULL").unionByName(judged)
+    judged = salted.join(first, ["_key", "_salt"], "left").withColumn("reason", F.when(F.col("_first.ord") < F.col("ord"), named)).select(*columns, "reason")
+    return gated.where("reason IS NOT NULL").unionByName(judged)
 
 
 def kept_rows(verses: DataFrame, config: ScoringConfig | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import shared_root
+from .shared import replace_file, shared_root
 
 
 def _csv_lines(rows: list[list]) -> list[str]:
@@ -76,8 +76,6 @@ def write_file(ordered: DataFrame, path: str, kind: str) -> str:
             out.write(bytearray(b"\n]"))
     finally:
         out.close()
-    system.delete(target, True)
-    if not system.rename(beside, target):
-        raise OSError(f"cannot rename {beside} to {target}")
+    replace_file(spark, beside.toString(), path)
     source.delete(folder, True)
     return path

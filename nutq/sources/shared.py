@@ -31,3 +31,33 @@ def by_split(rows: DataFrame, splits: DataFrame) -> DataFrame:
     if splits.count() <= MOST_SPLITS:
         return rows.join(F.broadcast(splits), ["file", "block"])
     return rows.join(splits, ["file", "block"]).repartition("file", "block").sortWithinPartitions("file", "block", "at")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) by which the JVM reaches a path."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Give a finished file the name of another, which it takes the place of in one step."""
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    how = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    how[0] = fs.Options.Rename.OVERWRITE
+    system, at = hadoop_path(spark, target)
+    if system.exists(at) and system.getFileStatus(at).isDirectory():
+        system.delete(at, True)
+    context = fs.FileContext.getFileContext(at.toUri() if at.toUri().getScheme() else spark.sparkContext._jvm.java.net.URI("file:///") if system.getScheme() == "file" else system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(system.makeQualified(fs.Path(source)), system.makeQualified(at), how)
+
+
+def write_text_file(spark: SparkSession, text: str, path: str) -> None:
+    """One small file, written beside its place first."""
+    beside = f"{path}.new"
+    system, at = hadoop_path(spark, beside)
+    out = system.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    replace_file(spark, beside, path)
