@@ -274,13 +274,15 @@ def read_elements(spark: SparkSession, path: str, key: str = "verses") -> DataFr
         mine = F.broadcast(mine)
     placed = lambda df: df.join(mine, ["file", "block", "array"]).withColumn("place", F.col("offset") + F.col("number"))
     parts = placed(small.where(F.col("kind") == _PART)).groupBy("file", "start", "place").agg(F.array_sort(F.collect_list(F.struct("block", "row", "piece", "text"))).alias("p"), F.max("closes").alias("closes"))
-    parts = parts.select("start", "place", F.array_join(F.transform("p", lambda x: x["text"]), "").alias("text"), "closes")
-    every = placed(wholes).select("start", "place", "text", "closes").unionByName(parts)
-    # Between elements there are commas, before the first and after the last there is nothing.
+    parts = checkpointed(parts.select("start", "place", F.array_join(F.transform("p", lambda x: x["text"]), "").alias("text"), "closes"))
+    blank = lambda c: F.trim(F.translate(c, "\t\r\n", "   "))
+    if parts.where(~F.col("closes") & (blank("text") != "")).head(1):
+        raise ValueError("MALFORMED corpus: the last element is no object or has no end")
+    # Rows are left out where the table is read, before anything else looks at them.
+    parts = checkpointed(parts.where("closes").drop("closes"))
+    every = placed(wholes).select("start", "place", "text").unionByName(parts)
+    # Between elements there are commas, before the first there is nothing.
     opens = F.instr("text", "{")
-    sep = F.when(F.col("closes"), F.substring("text", F.lit(1), opens - 1)).otherwise(F.col("text"))
-    good = F.trim(F.translate(sep, "\t\r\n", "   ")) == F.when(F.col("closes") & (F.col("place") > 0), ",").otherwise("")
-    body = F.substring("text", opens, F.length("text"))
-    text = F.when(good & F.col("closes"), body).when(~good, F.raise_error(F.lit("MALFORMED corpus: an element that is no object")).cast("string"))
-    return every.select((F.col("start") + F.col("place")).alias("ord"), text.alias("value")).where("value IS NOT NULL")
-
+    good = blank(F.substring("text", F.lit(1), opens - 1)) == F.when(F.col("place") > 0, ",").otherwise("")
+    text = F.when(good, F.substring("text", opens, F.length("text"))).otherwise(F.raise_error(F.lit("MALFORMED corpus: an element that is no object")).cast("string"))
+    return every.select((F.col("start") + F.col("place")).alias("ord"), text.alias("value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from ..config import ScoringConfig
 from ..operators.score import SCORED
 from .corpus import SCRIPTS
 from .exact import write_file
+from .shared import hadoop_path, write_text_file
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -74,3 +76,44 @@ def write_corpus(verses: DataFrame, script: str, out_dir: str, source: str = "",
     entries = [json.loads(r.value) for r in spark.read.text(f"{out_dir}/*.manifest").collect()]  # one for each script
     _note(spark, {"scripts": {e["script"]: e for e in entries}}, f"{out_dir}/manifest.json")
     return info
+
+
+def write_corpora(verses: DataFrame, raw: dict[str, str], out_dir: str, source: str = "", license: str = "", downloaded_at: str = "") -> dict:
+    """Write several scripts in one job, each with its raw copy, and the manifest of all scripts in the folder.
+
+    ``verses`` has ``script`` beside the columns of one corpus.  Every run writes
+    a folder of its own, dealt by script; the manifest, which says where each
+    script lies, is written last and takes the old one's place in one step.
+    So a run that is killed leaves the old manifest and all that it names as
+    they were.  Scripts that this run does not have keep their entries.
+    Returns the manifest.
+    """
+    if unknown := set(raw) - set(SCRIPTS):
+        raise ValueError(f"unknown script: {sorted(unknown)[0]!r}")
+    spark, run = verses.sparkSession, f"{out_dir}/run={uuid.uuid4().hex}"
+    stripped = F.count_if("stripped") if "stripped" in verses.columns else F.lit(0)
+    columns = ["script", "ord", F.col("surah").cast("string").alias("surah"), F.col("ayah").cast("string").alias("ayah"), "text"]
+    # Dealt by script and place, so that a script is neither one task nor a small file of every task.
+    dealt = verses.repartitionByRange("script", "ord")
+    dealt.select(*columns).write.partitionBy("script").json(f"{run}/json")
+    dealt.select(*columns).drop("ord").write.partitionBy("script").csv(f"{run}/csv", header=True, escape='"', emptyValue="")
+    for script, path in raw.items():
+        spark.read.text(path).write.text(f"{run}/raw/script={script}")
+    counts = {r.script: r for r in verses.groupBy("script").agg(F.count("*").alias("n"), stripped.alias("s")).collect()}  # one row a script
+    now = downloaded_at or datetime.now(timezone.utc).isoformat(timespec="seconds")
+    entries = {}
+    for script in raw:
+        n, s = (counts[script].n, counts[script].s) if script in counts else (0, 0)
+        where = {kind: f"{run}/{kind}/script={script}" for kind in ("json", "csv", "raw")}
+        entries[script] = {"script": script, "description": SCRIPTS[script], "license": license, "downloaded_at": now, **where, "verse_count": n, "basmala_stripped": s, "whole": n == WHOLE_SCRIPT}
+    manifest = {"source": source, "license": license, "downloaded_at": now, "scripts": read_manifest(spark, out_dir).get("scripts", {}) | entries}
+    write_text_file(spark, json.dumps(manifest, ensure_ascii=False, indent=2), f"{out_dir}/manifest.json")
+    return manifest
+
+
+def read_manifest(spark: SparkSession, out_dir: str) -> dict:
+    """The manifest of a folder; empty where there is none."""
+    system, at = hadoop_path(spark, f"{out_dir}/manifest.json")
+    if not system.exists(at):
+        return {}
+    return json.loads("\n".join(r.value for r in spark.read.text(f"{out_dir}/manifest.json", wholetext=True).collect()))  # one entry a script
