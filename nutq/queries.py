@@ -8,18 +8,25 @@ one row per character.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import ScoringConfig
 from .functions import charclasses as C
+from .functions import sql
 from .functions import text as T
-from .operators import filters
-from .operators.score import SCORED, score
-from .plans.pipeline import ranked, summary
+from .operators import filters, seen
+from .operators.score import SCORED, score, score_many
+from .plans.pipeline import ranked, summary, with_ranks
 from .sources import corpus
+from .sources.exact import write_file
+from .sources.shared import shared_root
+from .streaming.dedup import CHANGES, dedup_stream, settled
 
 LATIN = "abcdefghijklmnopqrstuvwxyz.,!?"
 ARABIC = "\u064e\u0628\u062b\u062f\u0650\u0636\u063a\u0647\u0652\u062c\u0642\u0644\u0645\u0646\u064f\u0635\u062d\u0631\u0633\u0637\u0651\u0638\u0648\u062e\u064a\u0632\u064b\u0653\u0670\u064d"
@@ -30,6 +37,9 @@ ARABIC_2 = ARABIC + (C.FOLD_FROM + C.TATWEEL) * 2 + "ءافك"
 TOP = 20
 CUSTOM = ScoringConfig.from_dict({"letter_weights": {"ض": 5, "ظ": 5, "ن": 1}, "hard_threshold": 1, "emphatic_pairs": [["ض", "ن"]], "articulation_groups": {"a": ["د", "ر"], "b": ["ر", "ن"]}, "min_word_count": 4, "max_word_count": 8, "adjacency_across_words": True})
 NO_BONUS = ScoringConfig.from_dict({"bonus_same_group": 0, "bonus_madd_guttural": 0, "bonus_emphatic_pair": 7})
+#: Configurations that are scored in one pass.
+MANY = {"default": ScoringConfig(), "custom": CUSTOM, "loose": replace(NO_BONUS, min_word_count=1, max_word_count=30, diacritization_min_ratio=0.3), "all": replace(ScoringConfig(), dedupe_semantic_duplicates=False, enable_tajweed=False, density_basis="letter")}
+MANY_COLUMNS = ["word_count", "letter_count", "base_score", "adjacency_bonus", "tajweed_bonus", "raw_score", "density_score"]
 LONG = {"casts": ["word_count", "letter_count", "base_score", "hard_letter_count", "adjacency_bonus", "hard_adjacent_count", "same_group_count", "emphatic_pair_count", "tajweed_bonus", "shadda_hard_count", "madd_guttural_count", "idgham_count", "raw_score", "surah", "ayah", "ord"]}
 
 
@@ -40,7 +50,10 @@ def _spread(df: DataFrame) -> DataFrame:
 
 
 def verse_view(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame:
-    docs = _spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return _verses(_spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), second)
+
+
+def _verses(docs: DataFrame, second: bool = False) -> DataFrame:
     line = docs.select("doc_id", F.posexplode(F.split("text" if second else F.lower("text"), "\n")).alias("pos", "line"))
     text = F.translate("line", LATIN_2, ARABIC_2) if second else F.translate("line", LATIN, ARABIC)
     verses = line.select((F.col("doc_id") * 100_000 + F.col("pos")).alias("ord"), F.col("doc_id").alias("surah"), (F.col("pos") + 1).cast("long").alias("ayah"), text.alias("text"))
@@ -98,6 +111,77 @@ def _opening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _longs(corpus.strip_opening(led).select("ord", "surah", "ayah", "text", "stripped"))
 
 
+def _new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_root(spark)}/nutq-{uuid.uuid4().hex}-{name}"
+
+
+def _corpus_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verses through one JSON array that is read in byte ranges."""
+    ordered = verse_view(spark, sf_dir).orderBy("ord").select("surah", "ayah", "text")
+    return _longs(corpus.load_corpus(spark, write_file(ordered, _new_path(spark, "corpus.json"), "json")))
+
+
+def _raw_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text files, with lines to skip, read in byte ranges and numbered over all of them."""
+    path = _new_path(spark, "raw")
+    _raw_lines(spark, sf_dir).withColumn("_place", F.monotonically_increasing_id()).orderBy("ord", "_place").select(F.translate("value", "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029", "")).write.text(path)
+    return _longs(corpus.read_lines(spark, path))
+
+
+def _csv_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of one CSV file as it stands on disk."""
+    ordered = verse_view(spark, sf_dir).orderBy("ord").select("surah", "ayah", "word_count", F.translate("text", "\r", "").alias("text"))
+    path = write_file(ordered, _new_path(spark, "verses.csv"), "csv")
+    return spark.read.text(path, lineSep="\r\n").select("value")
+
+
+def _ranked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _longs(with_ranks(score(verse_view(spark, sf_dir))).select("rank", "surah", "ayah", "raw_score", "density_score"))
+
+
+def _dropped_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drops = filters.dropped(filters.classify(verse_view(spark, sf_dir)))
+    return _longs(filters.in_stage_order(drops).select(filters.stage(F.col("reason")).cast("long").alias("stage"), "ord", "surah", "ayah", "reason"))
+
+
+def _letter_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every character of the texts and what it is."""
+    ch = verse_view(spark, sf_dir, True).select(F.explode(F.split("text", "")).alias("ch")).groupBy("ch").agg(F.count("*").alias("n")).where("ch <> ''")
+    return ch.select("ch", "n", T.is_mark(F.col("ch")).alias("mark"), T.is_base_letter(F.col("ch")).alias("base"), T.normalize_letter(F.col("ch")).alias("letter"))
+
+
+def _corpus_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _opening(spark, sf_dir).agg(F.count("*").alias("verse_count"), F.count_if("stripped").alias("basmala_stripped"))
+
+
+def _sql_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored table by SQL text over the library's SQL functions."""
+    sql.register(spark)
+    verse_view(spark, sf_dir).createOrReplaceTempView("nutq_verses")
+    return _longs(spark.sql(sql.scored_sql("nutq_verses")).select("surah", "ayah", *SCORED[2:]))
+
+
+def _many_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _longs(score_many(verse_view(spark, sf_dir), MANY).select("config", "surah", "ayah", *MANY_COLUMNS))
+
+
+def _dedup_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches in the order of the documents, each judged against the index of those before."""
+    verses, index = verse_view(spark, sf_dir), _new_path(spark, "index")
+    step = (verses.agg(F.max("surah")).first()[0] or 0) // 4 + 1
+    done = [seen.classify_batch(verses.where(F.floor(F.col("surah") / step) == i), index, i, buckets=16) for i in range(4)]
+    return _longs(reduce(DataFrame.unionByName, done).select("surah", "ayah", "reason"))
+
+
+def _dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept and dropped rows as the changes of a stream leave them."""
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    stream = _verses(spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]").select("doc_id", "text"))
+    out = _new_path(spark, "changes")
+    dedup_stream(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
+    return _longs(settled(spark.read.schema(CHANGES).parquet(out)).select("surah", "ayah", "reason"))
+
+
 QUERIES = {
     "word_count": _texts(word_count=T.word_count),
     "strip_marks": _texts(plain=T.strip_marks),
@@ -126,6 +210,18 @@ QUERIES = {
     "topk_density": _top("density"),
     "parse_lines": _parsed,
     "strip_opening": _opening,
+    "words": _texts(True, words=lambda t: F.array_join(T.words(t), "/"), letters=lambda t: F.array_join(T.base_letters(t), "/")),
+    "letter_classes": _letter_classes,
+    "corpus_counts": _corpus_counts,
+    "corpus_json": _corpus_json,
+    "raw_file": _raw_file,
+    "csv_file": _csv_file,
+    "ranked_rows": _ranked_rows,
+    "dropped_in_order": _dropped_in_order,
+    "sql_scored": _sql_scored,
+    "many_configs": _many_configs,
+    "dedup_batches": _dedup_batches,
+    "dedup_stream": _dedup_stream,
 }
 
 
@@ -169,7 +265,7 @@ def _classify_sql(c: ScoringConfig) -> str:
     return f"""
 gate AS (SELECT *, CASE WHEN word_count NOT BETWEEN {c.min_word_count} AND {c.max_word_count} THEN 'word_count' WHEN ratio < {c.diacritization_min_ratio} THEN 'not_fully_diacritized' END AS gated FROM base),
 dup AS (SELECT ord, row_number() OVER k AS rn, first(surah) OVER k AS s0, first(ayah) OVER k AS a0 FROM gate WHERE gated IS NULL WINDOW k AS (PARTITION BY key ORDER BY ord)),
-classified AS (SELECT g.*, coalesce(gated, CASE WHEN rn > 1 THEN 'duplicate_of_' || s0 || ':' || a0 END) AS reason FROM gate g LEFT JOIN dup ON g.ord = dup.ord)"""
+classified AS (SELECT g.*, coalesce(gated, CASE WHEN {str(c.dedupe_semantic_duplicates).lower()} AND rn > 1 THEN 'duplicate_of_' || s0 || ':' || a0 END) AS reason FROM gate g LEFT JOIN dup ON g.ord = dup.ord)"""
 
 
 def _score_sql(c: ScoringConfig) -> str:
@@ -258,6 +354,26 @@ SELECT CAST(led.ord AS BIGINT) AS ord, {_IDS}, CASE WHEN h.ord IS NOT NULL THEN
 }
 
 
+_ENDS = r"[\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
+_CSV_TEXT = "replace(text, chr(13), '')"
+ORACLE |= {
+    "words": f"WITH {_view_sql(True)},{_chars_sql()}, l AS (SELECT ord, string_agg(letter, '/' ORDER BY ti, ci) AS letters FROM cl GROUP BY ord) SELECT {_IDS}, array_to_string(t, '/') AS words, coalesce(letters, '') AS letters FROM verses JOIN toks ON verses.ord = toks.ord LEFT JOIN l ON verses.ord = l.ord",
+    "letter_classes": f"""WITH {_view_sql(True)}, c AS (SELECT unnest(string_split(text, '')) AS ch FROM verses WHERE text <> ''), g AS (SELECT ch, count(*) AS n, unicode(ch) AS cp, translate(ch, '{C.FOLD_FROM}', '{C.FOLD_TO}') AS norm FROM c GROUP BY ch)
+SELECT ch, n, cp BETWEEN 1611 AND 1631 OR cp = 1648 OR cp BETWEEN 1750 AND 1773 OR cp BETWEEN 2288 AND 2303 AS mark, strpos('{C.BASE}', ch) > 0 AS base, CASE WHEN strpos('{C.BASE}', norm) > 0 THEN norm END AS letter FROM g""",
+    "corpus_counts": f"SELECT count(*) AS verse_count, count(*) FILTER (stripped) AS basmala_stripped FROM ({ORACLE['strip_opening']})",
+    "corpus_json": f"WITH {_view_sql()},{_chars_sql()} SELECT row_number() OVER (ORDER BY ord) - 1 AS ord, {_IDS}, text, CAST(word_count AS BIGINT) AS word_count FROM base",
+    "raw_file": f"WITH {_view_sql()} SELECT (row_number() OVER (ORDER BY ord) - 1) * 5 AS ord, {_IDS}, regexp_replace(' ' || regexp_replace(text, '{_ENDS}', '', 'g') || '|z ', '^{_WS}|{_WS}$', '', 'g') AS text FROM verses",
+    "csv_file": f"""WITH {_view_sql()},{_chars_sql()} SELECT 'surah,ayah,word_count,text' AS value UNION ALL
+SELECT surah || ',' || ayah || ',' || word_count || ',' || CASE WHEN regexp_matches({_CSV_TEXT}, '[",]') THEN '"' || replace({_CSV_TEXT}, '"', '""') || '"' ELSE {_CSV_TEXT} END FROM base""",
+    "ranked_rows": f"SELECT row_number() OVER (ORDER BY raw_score DESC, density_score DESC, ord) AS rank, {_IDS}, raw_score, density_score FROM ({_scored_sql('raw_score density_score ord')})",
+    "dropped_in_order": _class_sql(f"SELECT CAST(CASE WHEN reason = 'word_count' THEN 1 WHEN reason = 'not_fully_diacritized' THEN 2 ELSE 3 END AS BIGINT) AS stage, CAST(ord AS BIGINT) AS ord, {_IDS}, reason FROM classified WHERE reason IS NOT NULL"),
+    "sql_scored": ORACLE["scored_table"],
+    "many_configs": " UNION ALL ".join(f"SELECT '{name}' AS config, surah, ayah, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' if c == 'density_score' else c for c in MANY_COLUMNS)} FROM ({_scored_sql(' '.join(MANY_COLUMNS), c, True)})" for name, c in MANY.items()),
+    "dedup_batches": _class_sql(f"SELECT {_IDS}, reason FROM classified"),
+    "dedup_stream": _class_sql(f"SELECT {_IDS}, reason FROM classified"),
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
