@@ -13,6 +13,7 @@ merged by rank.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,8 @@ from . import kernel
 SCALE = 256
 CANDIDATES = 4096
 QUERIES = 2048
+#: Candidates with a component from here on are scored in Python's integers.
+_LARGE = 1 << 22
 #: Depth of the first step into the lists; each next step doubles it.
 STEP = 16
 
@@ -71,28 +74,66 @@ def _pack(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(row | {"rows": [frame["row"].to_numpy(np.int64).tobytes()], "ids": [frame["vec_id"].to_numpy(np.int64).tobytes()], "values": [values.tobytes()]})
 
 
+def _exact_scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products in Python's integers; one beyond a long is the nearest long."""
+    whole = lambda x: np.array([int(v) for v in x.ravel()], object).reshape(x.shape)
+    limits = np.iinfo(np.int64)
+    return np.array([min(max(int(s), limits.min), limits.max) for s in whole(vectors) @ whole(query)], np.int64)
+
+
+@dataclass
+class _Block:
+    """Candidates of one dimension: those whose products a double holds, with their lists, and those with large components."""
+
+    rows: np.ndarray
+    ids: np.ndarray
+    vectors: np.ndarray
+
+    def __post_init__(self):
+        largest = np.abs(self.vectors).max(axis=1)
+        large = largest >= _LARGE
+        self.large = np.flatnonzero(large)
+        self.small = np.flatnonzero(~large)
+        self.most = largest[self.small].max(initial=0)
+        small = self.vectors[self.small]
+        self.order = np.ascontiguousarray(np.argsort(small, axis=0, kind="stable").T)
+        self.exact, self.short = small, small.astype(np.float32)
+        self.place = {r: i for i, r in enumerate(self.rows[self.small].tolist())}
+
+    def best(self, row: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best candidates."""
+        bound, found, scores = len(query) * self.most * np.abs(query).max(), [], []
+        fits = bound < 1 << 53
+        if fits and len(self.small):
+            vectors, wanted = (self.short, query.astype(np.float32)) if bound < 1 << 24 else (self.exact, query)  # sums stay exact
+            best, score = threshold_search(vectors, self.ids[self.small], self.order, wanted, k, self.place.get(row, -1))
+            found, scores = [self.ids[self.small[best]]], [score.astype(np.int64)]
+        rest = self.large if fits else np.arange(len(self.rows))
+        rest = rest[self.rows[rest] != row]
+        if len(rest):
+            found.append(self.ids[rest])
+            scores.append(_exact_scores(self.vectors[rest], query))
+        ids, score = np.concatenate([*found, np.empty(0, np.int64)]), np.concatenate([*scores, np.empty(0, np.int64)])
+        top = np.lexsort((ids, ~score))[:k]  # ~score falls as score grows, and never overflows
+        return ids[top], score[top]
+
+
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = None
+        at, block = None, None
         for batch in batches:
             for i in range(batch.num_rows):
                 x = {c: batch.column(c)[i].as_py() for c in ("c", "dim", "q_rows", "q_ids", "q_values")}
                 dim = x["dim"]
-                if block != (x["c"], dim):  # its rows follow each other
-                    block = (x["c"], dim)
+                if at != (x["c"], dim):  # its rows follow each other
+                    at = (x["c"], dim)
                     rows, ids = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in ("rows", "ids"))
-                    exact = np.frombuffer(batch.column("values")[i].as_py()).reshape(-1, dim)
-                    order = np.ascontiguousarray(np.argsort(exact, axis=0, kind="stable").T)
-                    short, largest = exact.astype(np.float32), np.abs(exact).max()
-                    place = {r: i for i, r in enumerate(rows.tolist())}
+                    block = _Block(rows, ids, np.frombuffer(batch.column("values")[i].as_py()).reshape(-1, dim))
                 queries, query_ids = (np.frombuffer(x[c], np.int64) for c in ("q_rows", "q_ids"))
-                vectors, wanted = exact, np.frombuffer(x["q_values"]).reshape(-1, dim)
-                if dim * largest * np.abs(wanted).max() < 1 << 24:
-                    vectors, wanted = short, wanted.astype(np.float32)  # sums stay exact
                 out = []
-                for q, (row, query) in enumerate(zip(queries.tolist(), wanted, strict=True)):
-                    best, score = threshold_search(vectors, ids, order, query, k, place.get(row, -1))
-                    out.append((np.full(len(best), row), np.full(len(best), query_ids[q]), ids[best], score))
+                for q, (row, query) in enumerate(zip(queries.tolist(), np.frombuffer(x["q_values"]).reshape(-1, dim), strict=True)):
+                    best, score = block.best(row, query, k)
+                    out.append((np.full(len(best), row), np.full(len(best), query_ids[q]), best, score))
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["q_row", "query_id", "vec_id", "score"])
 
@@ -107,9 +148,11 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = 5, every: int = 50,
     same dimension.  Vectors that are null, empty, or hold a null or non-finite
     component take no part, nor do rows without id; repeated rows are
     candidates of each other; other columns are not read; an empty table gives
-    no rows.  Scores are exact below 2 ** 53.
+    no rows.  Scores are exact for components of any size; one beyond a long
+    is the nearest long.
     """
-    whole = F.transform(embedding, lambda x: F.floor(x.cast("double") * SCALE).cast("double"))
+    scaled = F.transform(embedding, lambda x: x.cast("double") * SCALE)
+    whole = F.transform(scaled, lambda y: F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y))  # larger ones are whole
     fine = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = vectors.where(F.col(embedding).isNotNull() & (F.size(embedding) > 0) & fine & F.col(key).isNotNull())
     table = kernel.materialize(spark, good.select(F.col(key).cast("long").alias("vec_id"), whole.alias("v"), F.size(embedding).alias("dim")).withColumn("row", F.monotonically_increasing_id()))
