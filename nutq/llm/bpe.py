@@ -184,6 +184,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[st
     rows, other columns are not read, and an empty table gives an empty result.
     The work is row-local: no shuffle, and a lost task is simply run again.
     """
+    keep = kernel.without_made(keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids", "decoded"] * with_ids)
     kept = [docs.schema[c] for c in keep]
     text = kernel.text_column(docs, *keep)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["n_tokens long, ids_sha256 string, decoded_sha256 string"] + ["ids array<int>, decoded binary"] * with_ids)

@@ -210,9 +210,14 @@ def scope() -> Iterator[list[str]]:
         _scopes.pop()
 
 
+def without_made(keep: tuple[str, ...], *made: str) -> tuple[str, ...]:
+    """The columns to carry along, each once; one whose name the operator gives to a column of its own gives way to it."""
+    return tuple(c for c in dict.fromkeys(keep) if c not in made)
+
+
 def kept_columns(keep: tuple[str, ...], *made: str) -> tuple[str, ...]:
     """The columns to carry along, and the id; one whose name the operator gives to a column of its own gives way to it."""
-    return tuple(c for c in dict.fromkeys([*keep, "doc_id"]) if c not in made)
+    return without_made((*keep, "doc_id"), *made)
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -577,6 +577,7 @@ def store(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     A null or empty text is one block of zeros; repeated rows give equal
     files; other columns are not read; an empty table gives no rows.
     """
+    keep = kernel.without_made(keep, "n_bytes", "media")
     text = kernel.text_column(docs, *keep)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in keep))
     return text.mapInArrow(_store(list(keep)), f"{kept}, n_bytes long, media binary")
@@ -639,6 +640,7 @@ def load_media(media: DataFrame, keep: tuple[str, ...] = ("doc_id", "n_bytes"),
     size and digest stay.  Repeated rows are read each; a table without rows
     gives none; other columns are not read.
     """
+    keep = kernel.without_made(keep, "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "reason", "media", *["shape", "rgb", "payload"] * with_tensor)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (media.schema[c] for c in keep))
     schema = f"{kept}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, reason string"
     return media.select(*keep, "media").mapInArrow(_load(list(keep), with_tensor), schema + ", shape array<int>, rgb binary, payload binary" * with_tensor)

@@ -360,6 +360,7 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     scored each; other columns are not read; an empty table gives no rows.
     Words and grams are told apart by 64 bits of hash.
     """
+    keep = kernel.without_made(keep, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     text = kernel.text_column(docs.withColumn("held_out", kernel.remainder("doc_id", modulus) == held), *keep, "held_out")
     m = model(spark, text.where("NOT held_out"), most_depth)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in [*keep, "held_out"]))

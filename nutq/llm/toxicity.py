@@ -178,9 +178,10 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str =
     rows are scored each; other columns are not read; an empty table gives no
     rows.  Without labels of both classes to learn from, every score is 0.
     """
+    keep = kernel.without_made(keep, "held_out", "score", "predicted")
     held_out = kernel.remainder("doc_id", modulus) == held
     truth = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out).select("doc_id", F.col(label).cast("int").alias("label"))
-    n = truth.count()
+    n = truth.select("doc_id").distinct().count()
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 53)) < int((1 << 53) * min(1, FIT_ROWS / max(n, 1)))
     drawn = truth.where(share).distinct()  # about FIT_ROWS ids, however often a label is repeated
     known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id").dropDuplicates(["text", "label"])
