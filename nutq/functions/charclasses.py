@@ -22,5 +22,20 @@ SPACES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 #: Letters that a nasal ending merges into or is hidden before: all but alef.
 NASAL_FOLLOWERS = BASE.replace("ا", "")
 
+
+def ranges(letters: str) -> str:
+    """Letters as the inside of a character class, neighbours as ranges: its parts are tried one after another."""
+    runs: list[list[int]] = []
+    for code in sorted(set(map(ord, letters))):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in runs)
+
+
 LETTERS = BASE + FOLD_FROM
 VOWELLED = "".join(c for c in LETTERS if c not in VOWEL_CARRIERS)
+#: One white space, and one of all other characters: both decide about the script's own block first.
+SPACE = f"[[^\u0600-\u06ff]&&[{SPACES}]]"
+NO_SPACE = f"[\u0600-\u06ff[^{SPACES}]]"

@@ -17,7 +17,7 @@ def is_mark(ch: Column) -> Column:
 
 
 def is_base_letter(ch: Column) -> Column:
-    return ch.rlike(f"^[{C.BASE}]$")
+    return ch.rlike(f"^[{C.ranges(C.BASE)}]$")
 
 
 def normalize_letter(ch: Column) -> Column:
@@ -28,7 +28,7 @@ def normalize_letter(ch: Column) -> Column:
 
 def joined(text: Column) -> Column:
     """The words with single spaces between them."""
-    return F.trim(F.regexp_replace(text, f"[{C.SPACES}]+", " "))
+    return F.trim(F.regexp_replace(text, f"{C.SPACE}+", " "))
 
 
 def words(text: Column) -> Column:
@@ -37,8 +37,7 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    one = joined(text)
-    return F.when(one == "", 0).otherwise(F.length(one) - F.length(F.translate(one, " ", "")) + 1)
+    return _count(text, f"{C.NO_SPACE}+")
 
 
 def strip_marks(text: Column) -> Column:
@@ -46,16 +45,16 @@ def strip_marks(text: Column) -> Column:
 
 
 def base_skeleton(text: Column) -> Column:
-    return F.regexp_replace(F.translate(text, C.FOLD_FROM, C.FOLD_TO), f"[^{C.BASE}]", "")
+    return F.regexp_replace(F.translate(text, C.FOLD_FROM, C.FOLD_TO), f"[^{C.ranges(C.BASE)}]", "")
 
 
 def base_letters(text: Column) -> Column:
-    return F.regexp_extract_all(base_skeleton(text), F.lit(f"[{C.BASE}]"), 0)
+    return F.regexp_extract_all(base_skeleton(text), F.lit(f"[{C.ranges(C.BASE)}]"), 0)
 
 
 def spaced_skeleton(text: Column) -> Column:
     """Skeletons of the words, joined by a space; a word without letters stays as an empty one."""
-    return F.regexp_replace(F.translate(joined(text), C.FOLD_FROM, C.FOLD_TO), f"[^{C.BASE} ]", "")
+    return F.regexp_replace(F.translate(joined(text), C.FOLD_FROM, C.FOLD_TO), f"[^{C.ranges(C.BASE)} ]", "")
 
 
 def word_skeletons(text: Column) -> Column:
@@ -64,22 +63,27 @@ def word_skeletons(text: Column) -> Column:
 
 def encoded(text: Column, marks: str = C.SCORED_MARKS) -> Column:
     """Normalised letters, each followed by its marks; marks before a word's first letter are dropped."""
-    only = F.regexp_replace(F.translate(joined(text), C.FOLD_FROM, C.FOLD_TO), f"[^{C.BASE}{marks} ]", "")
+    only = F.regexp_replace(F.translate(joined(text), C.FOLD_FROM, C.FOLD_TO), f"[^{C.ranges(C.BASE)}{marks} ]", "")
     return F.regexp_replace(only, f"(^| )[{marks}]+", "$1")
 
 
 def letter_clusters(text: Column) -> Column:
     """Letters with the marks that follow them, as strings; the first character is the letter."""
-    return F.regexp_extract_all(encoded(text, C.MARKS), F.lit(f"[{C.BASE}][{C.MARKS}]*"), 0)
+    return F.regexp_extract_all(encoded(text, C.MARKS), F.lit(f"[{C.ranges(C.BASE)}][{C.MARKS}]*"), 0)
+
+
+def _vowelled(text: Column, then: str) -> Column:
+    """Letters that may carry a vowel sign, are followed by ``then``, and by another letter in their word."""
+    return _count(F.translate(text, C.TATWEEL, ""), f"[{C.ranges(C.VOWELLED)}]{then}(?={C.NO_SPACE}*[{C.ranges(C.LETTERS)}])")
 
 
 def markable(text: Column) -> Column:
     """Letters that should carry a mark: no vowel carrier, and another letter follows in the word."""
-    return _count(F.translate(joined(text), C.TATWEEL, ""), f"[{C.VOWELLED}](?=[^ ]*[{C.LETTERS}])")
+    return _vowelled(text, "")
 
 
 def marked(text: Column) -> Column:
-    return _count(F.translate(joined(text), C.TATWEEL, ""), f"[{C.VOWELLED}](?=[{C.MARKS}])(?=[^ ]*[{C.LETTERS}])")
+    return _vowelled(text, f"(?=[{C.MARKS}])")
 
 
 def diacritization_ratio(text: Column) -> Column:

@@ -61,7 +61,9 @@ def kept_rows(verses: DataFrame, config: ScoringConfig | None = None) -> DataFra
     if not config.dedupe_semantic_duplicates:
         return passed
     row = F.struct("ord", *[c for c in verses.columns if c != "ord"])
-    return passed.groupBy(T.spaced_skeleton(F.col("text")).alias("_key")).agg(F.min(row).alias("_row")).select("_row.*").select(*verses.columns)
+    keyed = passed.select(row.alias("_row"), T.spaced_skeleton(F.col("text")).alias("_key"))
+    # Rows with texts can only be combined in sorted order: a number in front of the skeleton makes that a sort of numbers.
+    return keyed.groupBy(F.xxhash64("_key"), "_key").agg(F.min("_row").alias("_row")).select("_row.*").select(*verses.columns)
 
 
 def kept(classified: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def base_score(skeleton: Column, config: ScoringConfig) -> Column:
 
 
 def distinct_hard_letters(skeleton: Column, config: ScoringConfig) -> Column:
-    hard = F.regexp_extract_all(skeleton, F.lit(f"[{config.hard_letters}]"), 0) if config.hard_letters else F.array().cast("array<string>")
+    hard = F.regexp_extract_all(skeleton, F.lit(f"[{C.ranges(config.hard_letters)}]"), 0) if config.hard_letters else F.array().cast("array<string>")
     return F.array_join(F.array_sort(F.array_distinct(hard)), ",")
 
 
@@ -52,14 +52,14 @@ def adjacency_counts(skeleton: Column, config: ScoringConfig) -> dict[str, Colum
 
 
 def tajweed_counts(encoded: Column, config: ScoringConfig) -> dict[str, Column]:
-    hard, letter, mark = config.hard_letters, C.BASE, C.SCORED_MARKS
+    hard, letter, mark = C.ranges(config.hard_letters), C.ranges(C.BASE), C.SCORED_MARKS
     # A letter with a lengthening mark becomes the letter and a plus sign.
     long = F.regexp_replace(encoded, f"([{letter}])[{mark}]*[{C.DAGGER_ALEF}{C.MADDAH}][{mark}]*", "$1+")
     long = F.regexp_replace(long, f"[{mark}]", "")
     return {
         "shadda_hard": _count(encoded, hard and f"[{hard}][{mark}]*?{C.SHADDA}"),
         "madd_guttural": _count(long, hard and f"(?<=[{hard}]\\+?)[{letter}]\\+|[{letter}]\\+(?=[{hard}])"),
-        "idgham": _count(encoded, f"(?:[{C.TANWEEN}][{mark}]*(?:[اي][{mark}]*)?|ن[{mark}]*{C.SUKUN}[{mark}]*) (?=[{C.NASAL_FOLLOWERS}])"),
+        "idgham": _count(encoded, f"(?:[{C.TANWEEN}][{mark}]*(?:[اي][{mark}]*)?|ن[{mark}]*{C.SUKUN}[{mark}]*) (?=[{C.ranges(C.NASAL_FOLLOWERS)}])"),
     }
 
 

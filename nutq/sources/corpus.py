@@ -79,7 +79,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def strip_opening(verses: DataFrame) -> DataFrame:
     """Take the opening formula off first verses; ``stripped`` says where."""
     found = T.words(F.col("text"))
-    skeleton = F.regexp_replace(F.translate(F.concat_ws("", F.slice(found, 1, 4)), C.FOLD_FROM, C.FOLD_TO), f"[^{C.BASE}]", "")
+    skeleton = F.regexp_replace(F.translate(F.concat_ws("", F.slice(found, 1, 4)), C.FOLD_FROM, C.FOLD_TO), f"[^{C.ranges(C.BASE)}]", "")
     hit = (F.col("ayah") == 1) & ~F.col("surah").isin(*UNSTRIPPED_CHAPTERS) & (F.size(found) > 4) & (skeleton == OPENING_FORMULA.replace(" ", ""))
     rest = F.concat_ws(" ", F.slice(found, F.lit(5), F.greatest(F.size(found) - 4, F.lit(0))))
     return verses.withColumn("stripped", hit).withColumn("text", F.when(F.col("stripped"), rest).otherwise(F.col("text")))
