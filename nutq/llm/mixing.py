@@ -33,7 +33,7 @@ SHARD_SLOTS = 256
 GROUP_SLOTS = 64 * SHARD_SLOTS
 #: About so many documents share a place bucket, and so many buckets a block of them.
 BUCKET_ROWS, BUCKET_BLOCK = 256, 1024
-#: The driver holds a row for each source, and a shard's draw goes over all of them.
+#: The driver holds a row for each source, and so does a task.
 MOST_SOURCES = 100_000
 SEED = 20_240_607
 WORD = r"[^\x20\x09-\x0D]+"
@@ -72,41 +72,89 @@ def permute(index: np.ndarray, n: np.ndarray, key: np.ndarray, rounds: int = 4)
     return out.astype(np.int64)
 
 
+def _log_factorials(x: np.ndarray) -> np.ndarray:
+    big = np.maximum(x, len(_SMALL) - 1).astype(float)
+    series = (big + 0.5) * np.log(big) - big + 0.5 * np.log(2 * np.pi) + 1 / (12 * big)
+    return np.where(x < len(_SMALL), _SMALL[np.minimum(x, len(_SMALL) - 1)], series)
+
+
+#: Logarithms of the first factorials.
+_SMALL = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 10_001)))])
+
+
+def _log_ratio(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """log(x! / y!); large factorials are subtracted term by term, so that their size costs no digits."""
+    apart, low = (x - y).astype(float), np.maximum(np.minimum(x, y), 1).astype(float)
+    a, b = np.maximum(x, 1).astype(float), np.maximum(y, 1).astype(float)
+    terms = (a + 0.5) * np.log1p(np.maximum(apart / b, -0.5)) + apart * (np.log(b) - 1) + (1 / a - 1 / b) / 12
+    return np.where((low >= len(_SMALL)) & (2 * apart > -b), terms, _log_factorials(x) - _log_factorials(y))
+
+
+def hypergeometric(rng: np.random.Generator, good: np.ndarray, bad: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many of ``n`` draws without replacement are good ones; element by element, and alike at every size.
+
+    Binomial draws are accepted by the ratio of the two distributions to its
+    largest value.  The ratio rises up to (n - 1) * good / (good + bad), then
+    falls.  As at most half of all are drawn (else the others are), about two
+    of three draws are accepted at worst.
+    """
+    every = good + bad
+    turned = 2 * n > every
+    m = np.where(turned, every - n, n)
+    out = np.where(good == 0, 0, np.where(bad == 0, m, 0))
+    todo = np.flatnonzero((good > 0) & (bad > 0) & (m > 0))
+    while len(todo):
+        g, b, k = good[todo], bad[todo], m[todo]
+        share = g / every[todo]
+        best = np.clip(np.floor(share * (k - 1)).astype(np.int64) + 1, np.maximum(0, k - b), np.minimum(k, g))
+        drawn = rng.binomial(k, share)
+        possible = (drawn <= g) & (k - drawn <= b)
+        x = np.where(possible, drawn, best)
+        log = _log_ratio(g - best, g - x) + _log_ratio(b - k + best, b - k + x) + (x - best) * (np.log(b) - np.log(g))
+        taken = possible & (np.log1p(-rng.random(len(x))) <= log)
+        out[todo[taken]] = drawn[taken]
+        todo = todo[~taken]
+    return np.where(turned, good - out, out)
+
+
 def split(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
     """How many of ``n`` slots, drawn without replacement, fall to each source that has ``left`` of them.
 
-    Beyond the generator's range of 10^9 the normal approximation is taken, whose error is far below one standard deviation there.
+    Sources are the leaves of a binary tree; all nodes of a level share out their draws at once.
     """
-    out, rest = np.zeros_like(left), int(left.sum())
-    for i, good in enumerate(left.tolist()):
-        bad = rest - good
-        low, high = max(0, n - bad), min(good, n)
-        if low == high:
-            out[i] = low
-        elif max(good, bad) < 10**9:
-            out[i] = rng.hypergeometric(good, bad, n)
-        else:
-            share = good / rest
-            out[i] = min(high, max(low, round(rng.normal(n * share, (n * share * (1 - share) * (rest - n) / (rest - 1)) ** 0.5))))
-        rest, n = bad, n - int(out[i])
-    return out
-
-
-def group_counts(slots: np.ndarray, groups: int, group: int) -> tuple[np.ndarray, np.ndarray]:
-    """(slots of each source, slots of it in earlier groups) of one group.
+    levels = [left]
+    while len(levels[-1]) > 1:
+        levels[-1] = np.append(levels[-1], np.zeros(len(levels[-1]) % 2, np.int64))
+        levels.append(levels[-1][::2] + levels[-1][1::2])
+    drawn = np.array([n], np.int64)
+    for level in reversed(levels[:-1]):
+        drawn = drawn[: len(level) // 2]  # without what was added to make the level even
+        first = hypergeometric(rng, level[::2], level[1::2], drawn)
+        drawn = np.stack([first, drawn - first], axis=1).ravel()
+    return drawn[: len(left)]
+
+
+def group_counts(slots: np.ndarray, groups: int, first: int, last: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(group, slots of each source, slots of it in earlier groups) of the groups from ``first`` to before ``last``.
 
     All slots are halved again and again; a half's draw depends on its place
-    only, so every task finds its own group's counts without the others'.
+    only, so every task finds its own groups' counts without the others', and
+    neighbours share the halves above them.
     """
-    total, left, before, low, high = int(slots.sum()), slots.copy(), np.zeros_like(slots), 0, groups
-    while high - low > 1:
+    total = int(slots.sum())
+
+    def walk(left: np.ndarray, before: np.ndarray, low: int, high: int):
+        if high <= first or low >= last:
+            return
+        if high - low == 1:
+            yield low, left, before
+            return
         middle = (low + high) // 2
         take = split(np.random.default_rng([SEED, low, high]), left, total * middle // groups - total * low // groups)
-        if group < middle:
-            left, high = take, middle
-        else:
-            left, before, low = left - take, before + take, middle
-    return left, before
+        yield from walk(take, before, low, middle)
+        yield from walk(left - take, before + take, middle, high)
+
+    yield from walk(slots, np.zeros_like(slots), 0, groups)
 
 
 def _draws(slots: list[int], blocks: list[int], groups: int):
@@ -115,8 +163,8 @@ def _draws(slots: list[int], blocks: list[int], groups: int):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for group in frame["id"].tolist():
-                left, at = group_counts(n_slots, groups, group)
+            ids = frame["id"]  # neighbours, as they come from one range
+            for group, left, at in group_counts(n_slots, groups, int(ids.min()), int(ids.max()) + 1):
                 rng, shard = np.random.default_rng([SEED, group]), 0
                 while left.sum():
                     take = split(rng, left, min(SHARD_SLOTS, int(left.sum())))
