@@ -56,7 +56,7 @@ def verse_view(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFr
 def _verses(docs: DataFrame, second: bool = False) -> DataFrame:
     line = docs.select("doc_id", F.posexplode(F.split("text" if second else F.lower("text"), "\n")).alias("pos", "line"))
     text = F.translate("line", LATIN_2, ARABIC_2) if second else F.translate("line", LATIN, ARABIC)
-    verses = line.select((F.col("doc_id") * 100_000 + F.col("pos")).alias("ord"), F.col("doc_id").alias("surah"), (F.col("pos") + 1).cast("long").alias("ayah"), text.alias("text"))
+    verses = line.select((F.shiftleft(F.col("doc_id"), 32) + F.col("pos")).alias("ord"), F.col("doc_id").alias("surah"), (F.col("pos") + 1).cast("long").alias("ayah"), text.alias("text"))
     return corpus.with_word_count(verses)
 
 
@@ -236,7 +236,7 @@ def _view_sql(second: bool = False) -> str:
     return f"""
 lines AS (SELECT doc_id, string_split({line}, chr(10)) AS l FROM documents),
 placed AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM lines),
-verses AS (SELECT doc_id * 100000 + pos AS ord, doc_id AS surah, pos + 1 AS ayah, translate(line, '{maps[0]}', '{maps[1]}') AS text FROM placed)"""
+verses AS (SELECT doc_id * 4294967296 + pos AS ord, doc_id AS surah, pos + 1 AS ayah, translate(line, '{maps[0]}', '{maps[1]}') AS text FROM placed)"""
 
 
 def _chars_sql(source: str = "verses") -> str:
