@@ -15,7 +15,9 @@ These counts are absolute, so the tree grows with the corpus.  It is a table: a
 its suffix plus a term of the context (``rest``: what it leaves to unlisted
 tokens), plus, if it is listed, a term of the gram (``gain``).  A gram is the
 context of the token after it, so a text's score is the sum of one number for
-each of its grams: an equi-join.  A gram's key is a hash of two others, its context and its
+each of its grams: an equi-join.  It is done by slices of the keys, with packed
+rows: a block of texts sends each slice its rare grams in order, the slice reads
+its part of the tree and then the blocks, and answers with one sum for each text.  A gram's key is a hash of two others, its context and its
 suffix, so only these two are shuffled.  Bounded filters (bit tables, and
 sketches of pairs and of triples of words) only spare the shuffles grams that
 are surely absent or surely occur once, and the most frequent grams' numbers
@@ -45,8 +47,9 @@ EVIDENCE = 8.0
 #: Least share of the training tokens of a word and of a gram whose numbers are broadcast; all others are joined.
 NUMBERED = 2e-6
 HOT = 2e-7
-#: Parts of the keys that are joined one after another, so that the disk holds the shuffle of one.
-SLICES = 4
+#: Keys of a packed row at most, and about how many of the tree's grams a task looks up in at once.
+PACKED = 1 << 12
+SLICE = 1 << 20
 #: Grams of so many words and one more are looked up in a sketch before they are shuffled: of these, most occur once.
 SKETCHED = 2
 #: log2 of the bits of the largest bit table.
@@ -314,39 +317,184 @@ def learn(spark: SparkSession, train: DataFrame) -> tuple[Tree, DataFrame, int,
     return Tree(words, root, [np.ones(n, bool) for n in m.states], keys, gain, rest), m.vocabulary, m.total, m.distinct
 
 
-def _scorer(words, hot, cold, depth: int, keep: list[str]):
+class _Index:
+    """Places of values in ascending keys that are spread evenly: a table by their first bits, then a few steps."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(1, len(keys).bit_length())
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        self.first = np.append(first, len(keys)).astype(np.int32)
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """Place of each value, or -1."""
+        bucket = (values >> self.shift).astype(np.int64)
+        at, end, out = self.first[bucket], self.first[bucket + 1], np.full(len(values), -1, np.int64)
+        left = np.flatnonzero(at < end)
+        at, end, values = at[left], end[left], values[left]
+        while len(left):
+            hit = self.keys[at] == values
+            out[left[hit]] = at[hit]
+            at = at + 1
+            on = ~hit & (at < end)
+            left, at, end, values = left[on], at[on], end[on], values[on]
+        return out
+
+
+#: Kinds of the rows that a slice of the keys gets, in the order in which it reads them: its part of the words' counts
+#: and of the tree, the rare words and grams of blocks of texts, and rows of texts, which pass through.
+_WORDS, _TREE, _RARE, _GRAMS, _TEXT = range(5)
+_PACK = ["_slice", "_kind", "_start", "_keys", "_data"]
+_PACK_SCHEMA = "_slice int, _kind int, _start long, _keys binary, _data binary"
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of numbers, all lowest ones first: the high ones of small numbers are zeros in a row, which a shuffle compresses."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _numbers_of(data: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _packs(kind: int, start: int, keys: np.ndarray, data: np.ndarray, bits: int) -> Iterator[list[pa.Array]]:
+    """Keys in order, as differences, with what belongs to each: rows of one slice (the first bits of the keys) and of ``PACKED`` keys at most."""
+    order = np.argsort(keys, kind="stable")
+    keys, data = keys[order], data[order]
+    slices = (keys >> np.uint64(64 - bits)).astype(np.int32)
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(slices)) + 1, [len(keys)]])
+    cuts = [(i, min(i + PACKED, b)) for a, b in zip(edges[:-1], edges[1:], strict=True) for i in range(a, b, PACKED)]
+    for first in range(0, len(cuts), 64):
+        some = cuts[first : first + 64]
+        yield [
+            pa.array(slices[[a for a, _ in some]]),
+            pa.array([kind] * len(some), pa.int32()),
+            pa.array([start] * len(some), pa.int64()),
+            pa.array([_planes(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in some], pa.binary()),
+            pa.array([_planes(data[a:b]) for a, b in some], pa.binary()),
+        ]
+
+
+def _table_packer(kind: int, bits: int):
+    """Packs a table of keys and numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush():
+            keys, values = (np.concatenate(x) for x in zip(*held, strict=True))
+            for columns in _packs(kind, 0, keys, values, bits):
+                yield pa.RecordBatch.from_arrays(columns, names=_PACK)
+
+        for batch in batches:
+            held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("value").to_numpy()))
+            size += batch.num_rows
+            if size > _FLUSH:
+                yield from flush()
+                held, size = [], 0
+        if size:
+            yield from flush()
+
+    return run
+
+
+def _scorer(words, hot, cold, depth: int, keep: list[str], bits: int):
+    """Sends a row for each text, scored as far as broadcast numbers go, and the rare words and grams of blocks of texts, packed."""
+    own = [*keep, "_row", "n_tokens", "_base", "_model"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (numbered, root), (keys, value) = words.value, hot.value
         root, value = np.append(root, 0.0), np.append(value, 0.0)  # the last is for what isn't found
-        at = TaskContext.get().partitionId() << 33
+        numbered, keys = _Index(numbered), _Index(keys)
+        at = begun = TaskContext.get().partitionId() << 33
+        held, size, kinds = {_RARE: [], _GRAMS: []}, 0, []
+
+        def flush():
+            for kind, found in held.items():
+                if found:
+                    for columns in _packs(kind, begun, *(np.concatenate(x) for x in zip(*found, strict=True)), bits):
+                        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(columns[0]), k) for k in kinds], *columns], names=[*own, *_PACK])
+                    found.clear()
+
         for batch in batches:
             column = batch.column("text")
+            kinds = [*(batch.column(c).type for c in keep), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             for start, stop in kernel.chunks(column):
                 found, first = tokens(column.slice(start, stop - start))
                 low, n = first[:-1], stop - start
-                ids = _find(numbered, found)
+                ids = numbered.find(found)
                 base = np.add.reduceat(root[ids], low)
-                rare = ids < 0
                 doc, place = np.repeat(np.arange(n), np.diff(first)), places(first)
-                above, docs, others = np.zeros(n), [], []
-                grams = found
+                row = (doc + (at - begun)).astype(np.uint32)
+                rare = ids < 0
+                held[_RARE].append((found[rare], row[rare]))
+                size += len(held[_RARE][-1][0])
+                above, grams = np.zeros(n), found
                 for d in range(depth + 1):
                     grams = longer(grams) if d else grams
                     known = np.flatnonzero(place >= d)
                     known = known[has(cold.value, grams[known])]
-                    there = _find(keys, grams[known])
+                    there = keys.find(grams[known])
                     above += np.bincount(doc[known], value[there], n)
-                    docs.append(doc[known[there < 0]])
-                    others.append(grams[known[there < 0]])
-                docs, others = np.concatenate(docs), np.concatenate(others)
-                others = others[np.argsort(docs, kind="stable")]
-                list_of = lambda counts, values: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values.view(np.int64)))
-                rows = batch.slice(start, n)
+                    other = known[there < 0]
+                    held[_GRAMS].append((grams[other], row[other]))
+                    size += len(other)
+                rows, ids = batch.slice(start, n), np.arange(at, at + n)
+                none = [pa.nulls(n, k) for k in (pa.int64(), pa.binary(), pa.binary())]
                 yield pa.RecordBatch.from_arrays(
-                    [*map(rows.column, keep), pa.array(np.arange(at, at + n)), pa.array(np.diff(first).astype(np.int64)), pa.array(base), pa.array(base + above), list_of(np.add.reduceat(rare.astype(np.int32), low), found[rare]), list_of(np.bincount(docs, minlength=n), others)],
-                    names=[*keep, "_row", "n_tokens", "_base", "_model", "_rare", "_grams"],
+                    [*map(rows.column, keep), pa.array(ids), pa.array(np.diff(first).astype(np.int64)), pa.array(base), pa.array(base + above), pa.array((ids % (1 << bits)).astype(np.int32)), pa.array(np.full(n, _TEXT, np.int32)), *none],
+                    names=[*own, *_PACK],
                 )
                 at += n
+                if size > _FLUSH:
+                    yield from flush()
+                    begun, size = at, 0
+        yield from flush()
+
+    return run
+
+
+def _answers(own: list[str], unseen: float):
+    """Reads slices one after another, each in the order of kinds; sends sums over what was looked up by text, and lets rows of texts pass."""
+    sums = {"_tail": pa.float64(), "_unknown": pa.int64(), "_above": pa.float64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, tables = None, {}
+
+        def table(kind):
+            """Keys in order and numbers of this slice, with one more number for what isn't there."""
+            parts = tables.get(kind, [])
+            if len(parts) != 1:
+                keys = np.concatenate([np.empty(0, np.uint64), *(k for k, _ in parts)])
+                order = np.argsort(keys)
+                tables[kind] = parts = [(keys[order], np.concatenate([np.empty(0), *(v for _, v in parts)])[order])]
+            return parts[0]
+
+        for batch in batches:
+            kinds = batch.column("_kind").to_numpy()
+            texts = batch.filter(pa.array(kinds == _TEXT))
+            if texts.num_rows:
+                yield pa.RecordBatch.from_arrays([*map(texts.column, own), *[pa.nulls(texts.num_rows, k) for k in sums.values()]], names=[*own, *sums])
+            slices, starts, packed, data = (batch.column(c) for c in ("_slice", "_start", "_keys", "_data"))
+            rows, tail, unknown, above = [], [], [], []
+            for i in np.flatnonzero(kinds != _TEXT):
+                if here != slices[i].as_py():
+                    here, tables = slices[i].as_py(), {}
+                keys, numbers = np.cumsum(_numbers_of(packed[i].as_py(), np.uint64)), data[i].as_py()
+                if kinds[i] in (_WORDS, _TREE):
+                    tables.setdefault(kinds[i], []).append((keys, _numbers_of(numbers, np.float64)))
+                    continue
+                known, value = table(_WORDS if kinds[i] == _RARE else _TREE)
+                at, none = _find(known, keys), np.zeros(len(keys))
+                value = np.append(value, unseen if kinds[i] == _RARE else 0.0)[at]
+                rows.append(_numbers_of(numbers, np.uint32) + np.int64(starts[i].as_py()))
+                for sent, what in ((tail, value if kinds[i] == _RARE else none), (unknown, at < 0 if kinds[i] == _RARE else none), (above, none if kinds[i] == _RARE else value)):
+                    sent.append(what)
+            if rows:
+                row, of = np.unique(np.concatenate(rows), return_inverse=True)
+                total = [np.bincount(of, np.concatenate(x)) for x in (tail, unknown, above)]
+                made = {"_row": pa.array(row), "_tail": pa.array(total[0]), "_unknown": pa.array(total[1].astype(np.int64)), "_above": pa.array(total[2])}
+                yield pa.RecordBatch.from_arrays([made[c] if c in made else pa.nulls(len(row), k) for c, k in [*((c, batch.column(c).type) for c in own), *sums.items()]], names=[*own, *sums])
 
     return run
 
@@ -367,20 +515,24 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     prior = lambda n: F.log10((n + 1) / F.lit(float(m.total + m.distinct + 1)))
     value = F.col("gain") + F.col("rest")
     share = spark.sparkContext.broadcast
-    words = share(_numbers(m.vocabulary.where(F.col("n") >= max(2, NUMBERED * m.total)), prior(F.col("n"))))  # 1 / NUMBERED rows at most
+    numbered = F.col("n") >= max(2, NUMBERED * m.total)
+    words = share(_numbers(m.vocabulary.where(numbered), prior(F.col("n"))))  # 1 / NUMBERED rows at most
     hot = share(_numbers(m.grams.where(F.col("n") >= HOT * m.total), value))
-    run = _scorer(words, hot, share(bits(m.grams)), len(m.states), [*keep, "held_out"])
-    part = kernel.write_table(spark, text.mapInArrow(run, f"{kept}, _row long, n_tokens long, _base double, _model double, _rare array<long>, _grams array<long>"))
-    rare = part.select("_row", F.explode("_rare").alias("key")).join(m.vocabulary, "key", "left")
-    tail = rare.groupBy("_row").agg(F.sum(prior(F.coalesce("n", F.lit(0)))).alias("_tail"), F.count_if(F.col("n").isNull()).alias("_unknown"))
-    others, above = m.grams.where(F.col("n") < HOT * m.total).select("key", value.alias("value")), None
-    for i in range(SLICES):
-        in_slice = lambda key: F.pmod(key, F.lit(SLICES)) == i  # noqa: B023, E731
-        joined = part.select("_row", F.explode(F.filter("_grams", in_slice)).alias("key")).join(others.where(in_slice(F.col("key"))), "key")
-        found = kernel.write_table(spark, joined.groupBy("_row").agg(F.sum("value").alias("value")))
-        above = found if above is None else above.unionByName(found)
-    above = above.groupBy("_row").agg(F.sum("value").alias("_above"))
-    whole = part.drop("_rare", "_grams").join(tail, "_row", "left").join(above, "_row", "left")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), m.grams.count() // SLICE)
+    slice_bits = (4 * parts).bit_length()
+    made = f"{kept}, _row long, n_tokens long, _base double, _model double"
+    own = [*keep, "held_out", "_row", "n_tokens", "_base", "_model"]
+    sent = text.mapInArrow(_scorer(words, hot, share(bits(m.grams)), len(m.states), [*keep, "held_out"], slice_bits), f"{made}, {_PACK_SCHEMA}")
+    told = m.vocabulary.where(~numbered).select("key", prior(F.col("n")).alias("value")), m.grams.where(F.col("n") < HOT * m.total).select("key", value.alias("value"))
+    for kind, table in zip((_WORDS, _TREE), told, strict=True):
+        sent = sent.unionByName(table.mapInArrow(_table_packer(kind, slice_bits), _PACK_SCHEMA), allowMissingColumns=True)
+    dealt = sent.repartition(parts, "_slice").sortWithinPartitions("_slice", "_kind")
+    unseen = -float(np.log10(m.total + m.distinct + 1))
+    found = kernel.write_table(spark, dealt.mapInArrow(_answers(own, unseen), f"{made}, _tail double, _unknown long, _above double"))
+    for done in (m.vocabulary, m.grams):
+        kernel.drop_table(spark, done)
+    asked = found.where("n_tokens IS NULL").groupBy("_row").agg(*[F.sum(c).alias(c) for c in ("_tail", "_unknown", "_above")])
+    whole = found.where("n_tokens IS NOT NULL").select(*own).join(asked, "_row", "left")
     zero = F.lit(0.0)
     base, over = F.coalesce("_tail", zero), F.coalesce("_above", zero)
     return whole.select(
