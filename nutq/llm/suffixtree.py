@@ -245,11 +245,11 @@ def model(spark: SparkSession, train: DataFrame, most_depth: int | None = None)
         filters = [share(bits(before.where(F.col("n") >= least))) for least in (CONTEXT, LISTED)]
         if 1 < depth <= SKETCHED:
             shape, packed = _sketch(spark, text, before, _grams(depth, *filters, None, None))
-        keys_of = _grams(depth, *filters, shape if depth <= SKETCHED else None, packed)
+        keys_of = _grams(depth, *filters, *((shape, packed) if depth <= SKETCHED else (None, None)))
         sent = text.mapInArrow(_counter(keys_of), "context long, suffix long, n long")
         grams, kept = _level(spark, sent, before)
         for done in [*filters, packed][: 2 + (depth <= SKETCHED)]:
-            done.unpersist()
+            done.destroy()  # with the driver's file
         levels += [grams, kept]
         states.append(kept)
         parts += [grams.where("gain IS NOT NULL").select("key", "n", "gain", zero.alias("rest")), kept.select("key", "n", zero.alias("gain"), "rest")]
@@ -522,7 +522,8 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     slice_bits = (4 * parts).bit_length()
     made = f"{kept}, _row long, n_tokens long, _base double, _model double"
     own = [*keep, "held_out", "_row", "n_tokens", "_base", "_model"]
-    sent = text.mapInArrow(_scorer(words, hot, share(bits(m.grams)), len(m.states), [*keep, "held_out"], slice_bits), f"{made}, {_PACK_SCHEMA}")
+    cold = share(bits(m.grams))
+    sent = text.mapInArrow(_scorer(words, hot, cold, len(m.states), [*keep, "held_out"], slice_bits), f"{made}, {_PACK_SCHEMA}")
     told = m.vocabulary.where(~numbered).select("key", prior(F.col("n")).alias("value")), m.grams.where(F.col("n") < HOT * m.total).select("key", value.alias("value"))
     for kind, table in zip((_WORDS, _TREE), told, strict=True):
         sent = sent.unionByName(table.mapInArrow(_table_packer(kind, slice_bits), _PACK_SCHEMA), allowMissingColumns=True)
@@ -531,6 +532,8 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     found = kernel.write_table(spark, dealt.mapInArrow(_answers(own, unseen), f"{made}, _tail double, _unknown long, _above double"))
     for done in (m.vocabulary, m.grams):
         kernel.drop_table(spark, done)
+    for done in (words, hot, cold):
+        done.destroy()
     asked = found.where("n_tokens IS NULL").groupBy("_row").agg(*[F.sum(c).alias(c) for c in ("_tail", "_unknown", "_above")])
     whole = found.where("n_tokens IS NOT NULL").select(*own).join(asked, "_row", "left")
     zero = F.lit(0.0)
