@@ -459,7 +459,18 @@ def _answers(own: list[str], unseen: float):
     sums = {"_tail": pa.float64(), "_unknown": pa.int64(), "_above": pa.float64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, tables = None, {}
+        here, tables, held, size = None, {}, [], 0
+
+        def summed(found):
+            """One entry for each text."""
+            row, of = np.unique(found[0], return_inverse=True)
+            return [row, *(np.bincount(of, x) for x in found[1:])]
+
+        def answer(found, batch):
+            row, tail, unknown, above = found
+            made = {"_row": pa.array(row), "_tail": pa.array(tail), "_unknown": pa.array(unknown.astype(np.int64)), "_above": pa.array(above)}
+            kinds = [*((c, batch.column(c).type) for c in own), *sums.items()]
+            return pa.RecordBatch.from_arrays([made[c] if c in made else pa.nulls(len(row), k) for c, k in kinds], names=[*own, *sums])
 
         def table(kind):
             """Keys in order and numbers of this slice, with one more number for what isn't there."""
@@ -491,10 +502,16 @@ def _answers(own: list[str], unseen: float):
                 for sent, what in ((tail, value if kinds[i] == _RARE else none), (unknown, at < 0 if kinds[i] == _RARE else none), (above, none if kinds[i] == _RARE else value)):
                     sent.append(what)
             if rows:
-                row, of = np.unique(np.concatenate(rows), return_inverse=True)
-                total = [np.bincount(of, np.concatenate(x)) for x in (tail, unknown, above)]
-                made = {"_row": pa.array(row), "_tail": pa.array(total[0]), "_unknown": pa.array(total[1].astype(np.int64)), "_above": pa.array(total[2])}
-                yield pa.RecordBatch.from_arrays([made[c] if c in made else pa.nulls(len(row), k) for c, k in [*((c, batch.column(c).type) for c in own), *sums.items()]], names=[*own, *sums])
+                held.append(summed([np.concatenate(x) for x in (rows, tail, unknown, above)]))
+                size += len(held[-1][0])
+            if size > _FLUSH:
+                held = [summed([np.concatenate(x) for x in zip(*held, strict=True)])]
+                size = len(held[0][0])
+                if size > _FLUSH // 2:
+                    yield answer(held.pop(), batch)
+                    size = 0
+        if held:
+            yield answer(summed([np.concatenate(x) for x in zip(*held, strict=True)]), batch)
 
     return run
 
@@ -511,6 +528,7 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     keep = kernel.without_made(keep, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     text = kernel.text_column(docs.withColumn("held_out", kernel.remainder("doc_id", modulus) == held), *keep, "held_out")
     m = model(spark, text.where("NOT held_out"), most_depth)
+    kernel.release(spark)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (text.schema[c] for c in [*keep, "held_out"]))
     prior = lambda n: F.log10((n + 1) / F.lit(float(m.total + m.distinct + 1)))
     value = F.col("gain") + F.col("rest")
