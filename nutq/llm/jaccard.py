@@ -16,8 +16,11 @@ forms components.  Then all
 remaining pairs of *different* components that share enough prefix shingles
 are verified, so no link between components is lost; of a pair, what both share
 with the centre of the larger component bounds what they share with each
-other, and pairs that cannot reach the threshold are left out.  Verification
-computes the exact intersection of both sets.
+other, and pairs that cannot reach the threshold are left out.  In long
+lists, where nearly all members share most shingles, pairs meet by what tells
+both from the centre instead: a link needs a least overlap of these
+differences, so they have prefixes of their own.  Verification computes the
+exact intersection of both sets.
 """
 
 from __future__ import annotations
@@ -49,6 +52,10 @@ _SEEDS = (np.uint64(0x51ED270B0929F8C1), np.uint64(0x2545F4914F6CDD1D))
 HUB_ROUNDS = 3
 #: Pairs of different components, for each posting entry, that end these rounds.
 PAIRS_PER_POSTING = 100
+#: Members of a posting list beyond which its pairs are found by what tells them from its centre.
+LONG_LIST = 16
+#: Words of 64 bits that say which shingles such a difference has.
+SIGNATURE = 8
 
 
 def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -135,6 +142,18 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "n_a", "n_b")), pa.array(both, pa.int64())], names=["a", "b", "n_a", "n_b", "common"])
 
 
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles that only one of the sets x and y of each row has."""
+    for batch in batches:
+        found, first = [], 0
+        for i, pair in enumerate(zip(batch.column("x"), batch.column("y"), strict=True), 1):
+            found.append(np.setxor1d(*(np.frombuffer(v.as_buffer(), np.uint64) for v in pair), assume_unique=True))
+            if i == batch.num_rows or sum(map(len, found)) > kernel.CHUNK_BYTES // 8:
+                row = pa.array(np.repeat(np.arange(first, i), [len(x) for x in found]))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("node", "hub_root")), pa.array(np.concatenate(found).view(np.int64))], names=["node", "hub_root", "token"])
+                found, first = [], i
+
+
 def _with_ends(df: DataFrame, nodes: DataFrame, column: Column, *more: str) -> DataFrame:
     for end, name in (("a", "x"), ("b", "y")):
         df = df.join(nodes.select(F.col("node").alias(end), column.alias(name), *[F.col(c).alias(f"{c}_{end}") for c in more]), end)
@@ -154,7 +173,7 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     merged = F.size("x") - F.size(F.array_distinct("x"))  # of one prefix, by chance
     enough = F.size(F.array_intersect("x", "y")) + merged >= F.least("matches_a", "matches_b")
     likely = _with_ends(pairs.select("a", "b"), nodes, head, "matches").where(enough)
-    return shared(likely, nodes).where(100 * F.col("common") >= NEAR * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
+    return shared(likely, nodes).where(_links("n_a", "n_b", "common")).select("a", "b")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -193,6 +212,62 @@ def _postings(nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rooted.select("node", "root", "n_shingles", "own", F.explode("head").alias("e"), last.alias("last")).select("node", "root", "n_shingles", "own", "e.place", "e.token", "last").where("place <= last").drop("last")
 
 
+def _links(a: str, b: str, common: str) -> Column:
+    """Sizes of two sets and of what they share that reach the threshold."""
+    return 100 * F.col(common) >= NEAR * (F.col(a) + F.col(b) - F.col(common))
+
+
+def _beside_centre() -> Column:
+    """The most that two sets share whose parts in a centre are known: inside of the centre, and outside of it."""
+    outside = F.least(*[F.greatest(F.col(f"n_shingles_{s}") - F.col(f"own_{s}") - F.col(f"common_{s}"), F.lit(0)) for s in "ab"])
+    return F.least("common_a", "common_b") + F.when(F.col("common_a").isNotNull() & F.col("common_b").isNotNull(), outside)
+
+
+def _apart(spark: SparkSession, opened: DataFrame, measured: DataFrame, nodes: DataFrame) -> DataFrame:
+    """What tells the members of long lists from their list's centre: a row for each shingle that only one of both has, rarest first, as far as linked members must share one.
+
+    Of two sets whose differences from the centre have d and e shingles and o
+    in common, d + e - 2 o shingles are in one set only, and a link allows
+    (100 - NEAR) / (100 + NEAR) of both sizes.  So o is bounded from below:
+    a prefix of each difference holds the first shingle they share.  ``far``
+    and ``near`` are its last places for partners that the centre does not
+    link, and for others; of a pair, one at least is not linked with it.
+    """
+    fits = 100 * (F.col("n_shingles") - F.col("own")) >= NEAR * F.col("n_shingles")
+    member = opened.where(fits).select("node", "root", "hub_root", "n_shingles", "own").distinct().join(measured, ["node", "hub_root"])
+    member = member.withColumn("inside", F.col("linked") | (F.col("root") == F.col("hub_root"))).withColumn("delta", F.col("n_shingles") + F.col("n_centre") - 2 * F.col("common"))
+    known = ("node", "root", "hub_root", "n_shingles", "own", "common", "inside", "n_centre", "delta")
+    member = kernel.materialize(spark, member.where("delta > 0").select(*known, "centre"))
+    ends = _with_ends(member.select(F.col("node").alias("a"), F.col("centre").alias("b"), "hub_root"), nodes, F.col("shingles"))
+    each = kernel.write_table(spark, ends.select(F.col("a").alias("node"), "hub_root", "x", "y").mapInArrow(_differences, "node long, hub_root long, token long"))
+    often = each.groupBy("hub_root", "token").agg(F.count("*").alias("n")).where("n > 1")
+    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(token, 58) as int))")
+    signature = [F.bit_or(F.when(F.col("token").bitwiseAND(SIGNATURE - 1) == k, bit).otherwise(F.lit(0))).alias(f"bits{k}") for k in range(SIGNATURE)]
+    # Those that nothing else of the list has come first and are only counted.
+    rest = each.join(often, ["hub_root", "token"]).groupBy("node", "hub_root").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("rest"), *signature)
+    bits = [f"bits{k}" for k in range(SIGNATURE)]
+    placed = member.join(rest, ["node", "hub_root"]).select(*known, F.size("rest").alias("kin"), *bits, F.posexplode("rest").alias("at", "e"))
+    span = 100 + NEAR
+    least = F.greatest(F.lit(1), F.ceil(F.col("delta") - F.col("n_shingles") * (100 - NEAR) / NEAR))
+    # Of a partner that is not linked with the centre the difference has a least size, too.
+    beyond = F.floor((span * F.col("delta") + (100 - NEAR) * (F.col("n_centre") - F.col("n_shingles"))) / (2 * span)) + 1
+    placed = placed.select(*known, "kin", *bits, (F.col("delta") - F.col("kin") + F.col("at")).alias("place"), F.col("e.token").alias("token"), (F.col("delta") - least).alias("near"), (F.col("delta") - F.greatest(least, beyond)).alias("far"))
+    return placed.where(F.col("place") <= F.when(F.col("inside"), F.col("far")).otherwise(F.col("near"))).drop("n_centre")
+
+
+def _alike(apart: DataFrame) -> DataFrame:
+    """Pairs of different components whose differences from one centre share enough."""
+    names = ("node", "root", "n_shingles", "own", "common", "inside", "delta", "place", "near", "far", "kin", *[f"bits{k}" for k in range(SIGNATURE)])
+    one, two = (apart.select("hub_root", "token", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
+    within = [F.col(f"place_{s}") <= F.when(F.col(f"inside_{t}"), F.col(f"near_{s}")).otherwise(F.col(f"far_{s}")) for s, t in ("ab", "ba")]
+    # A bit that only one side has is a shingle, at least, that the other lacks.
+    lacks = [sum(F.bit_count(F.col(f"bits{k}_{s}").bitwiseAND(F.bitwise_not(f"bits{k}_{t}"))) for k in range(SIGNATURE)) for s, t in ("ab", "ba")]
+    most = F.least(*[F.col(f"delta_{s}") - F.col(f"place_{s}") for s in "ab"], *[F.col(f"kin_{s}") - lack for s, lack in zip("ab", lacks, strict=True)])
+    enough = 2 * (100 + NEAR) * most >= (100 + NEAR) * (F.col("delta_a") + F.col("delta_b")) - (100 - NEAR) * (F.col("n_shingles_a") + F.col("n_shingles_b"))
+    meets = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & ~(F.col("inside_a") & F.col("inside_b")) & within[0] & within[1] & enough & _close("n_shingles_a", "n_shingles_b", _beside_centre())
+    return one.join(two, (one.hub_root == two.hub_root) & (one.token == two.token) & meets).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def links(spark: SparkSession, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links, components) of distinct sets with their prefixes; links connect whatever is connected."""
     # Own shingles come first in the order and are shared with nothing, so they bound what a set can share.
@@ -220,26 +295,28 @@ def links(spark: SparkSession, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         last = left
     # Every pair of different components that may reach the threshold, at a shingle that may be their first common one.
     hub = F.struct("own", F.xxhash64("node").alias("h"), F.col("root").alias("hub_root"))
-    lists = labelled.groupBy("token").agg(F.min(hub)["hub_root"].alias("hub_root"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token", "hub_root")
+    lists = labelled.groupBy("token").agg(F.min(hub)["hub_root"].alias("hub_root"), F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high").select("token", "hub_root", "members")
     lists = kernel.write_table(spark, lists)
     opened = kernel.write_table(spark, labelled.join(lists, "token"))
-    # What each member of a list shares with the centre of the list's large component bounds what two members share.
-    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    # What each member of a list shares with the centre of the list's large component bounds what two members share; a long list has a centre anyway.
+    of_lists = opened.where(F.col("members") > LONG_LIST).select(F.col("hub_root").alias("node"), F.col("hub_root").alias("root"))
+    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root")).unionByName(of_lists).distinct()
     centre = members.join(nodes.select("node", "own"), "node").groupBy("root").agg(F.min(F.struct("own", F.xxhash64("node").alias("h"), F.col("node").alias("centre")))["centre"].alias("b"))
     seen = opened.select(F.col("node").alias("a"), F.col("hub_root").alias("root")).distinct().join(centre, "root")
-    measured = shared(seen.select("a", "b"), nodes).select("a", "b", "common").distinct()
-    measured = kernel.materialize(spark, seen.join(measured, ["a", "b"]).select(F.col("a").alias("node"), F.col("root").alias("hub_root"), "common"))
-    known = kernel.write_table(spark, opened.join(measured, ["node", "hub_root"], "left"))
-    one, two = (known.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "hub_root", "n_shingles", "own", "place", "common")]) for s in "ab")
+    measured = shared(seen.select("a", "b"), nodes).distinct()
+    measured = kernel.materialize(spark, seen.join(measured, ["a", "b"]).select(F.col("a").alias("node"), F.col("root").alias("hub_root"), F.col("b").alias("centre"), F.col("n_b").alias("n_centre"), "common", _links("n_a", "n_b", "common").alias("linked")))
+    known = kernel.write_table(spark, opened.join(measured.drop("centre", "n_centre", "linked"), ["node", "hub_root"], "left"))
+    one, two = (known.where(F.col("members") <= LONG_LIST).select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "hub_root", "n_shingles", "own", "place", "common")]) for s in "ab")
     # Nothing before the first common shingle is shared; lists of later ones may lose the pair.
     most = F.least(*[F.col(f"n_shingles_{s}") - F.col(f"own_{s}") - F.col(f"place_{s}") for s in "ab"])
-    # Shared inside the centre, and outside of it.
-    outside = F.least(*[F.greatest(F.col(f"n_shingles_{s}") - F.col(f"own_{s}") - F.col(f"common_{s}"), F.lit(0)) for s in "ab"])
-    most = F.least(most, F.least("common_a", "common_b") + F.when(F.col("common_a").isNotNull() & F.col("common_b").isNotNull(), outside))
+    most = F.least(most, _beside_centre())
     meets = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("hub_root_a")) | (F.col("node_a") < F.col("node_b"))) & _close("n_shingles_a", "n_shingles_b", most)
-    near = one.where("root_a <> hub_root_a").join(two, (one.token == two.token) & meets).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    near = one.where("root_a <> hub_root_a").join(two, (one.token == two.token) & meets).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    apart = kernel.write_table(spark, _apart(spark, opened.where(F.col("members") > LONG_LIST), measured, nodes))
+    near = near.unionByName(_alike(apart)).distinct()
+    found = found.unionByName(measured.where("linked AND node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")))
     found = found.unionByName(kernel.materialize(spark, verified(near, nodes)))
-    for table in (lists, opened, known):
+    for table in (lists, opened, known, apart):
         kernel.drop_table(spark, table)
     return found, components(spark, found)
 
