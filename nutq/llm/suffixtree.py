@@ -345,6 +345,9 @@ class _Index:
 #: and of the tree, the rare words and grams of blocks of texts, and rows of texts, which pass through.
 _WORDS, _TREE, _RARE, _GRAMS, _TEXT = range(5)
 _PACK = ["_slice", "_kind", "_start", "_keys", "_data"]
+#: Texts of a part, whose answers are packed in a row of each task, as a power of 2, and the columns of such rows.
+PART_BITS = 12
+_SUMS = ["_part", "_rows", "_tail", "_unknown", "_above"]
 _PACK_SCHEMA = "_slice int, _kind int, _start long, _keys binary, _data binary"
 
 
@@ -455,8 +458,7 @@ def _scorer(words, hot, cold, depth: int, keep: list[str], bits: int):
 
 
 def _answers(own: list[str], unseen: float):
-    """Reads slices one after another, each in the order of kinds; sends sums over what was looked up by text, and lets rows of texts pass."""
-    sums = {"_tail": pa.float64(), "_unknown": pa.int64(), "_above": pa.float64()}
+    """Reads slices one after another, each in the order of kinds; sends sums over what was looked up by text, packed by parts of the texts, and lets rows of texts pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, tables, held, size = None, {}, [], 0
@@ -468,9 +470,12 @@ def _answers(own: list[str], unseen: float):
 
         def answer(found, batch):
             row, tail, unknown, above = found
-            made = {"_row": pa.array(row), "_tail": pa.array(tail), "_unknown": pa.array(unknown.astype(np.int64)), "_above": pa.array(above)}
-            kinds = [*((c, batch.column(c).type) for c in own), *sums.items()]
-            return pa.RecordBatch.from_arrays([made[c] if c in made else pa.nulls(len(row), k) for c, k in kinds], names=[*own, *sums])
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(row >> PART_BITS)) + 1, [len(row)]])
+            cuts = list(zip(edges[:-1], edges[1:], strict=True))
+            for first in range(0, len(cuts), 64):
+                some = cuts[first : first + 64]
+                packed = [pa.array([x[i:j].tobytes() for i, j in some], pa.binary()) for x in ((row & (1 << PART_BITS) - 1).astype(np.uint16), tail, unknown.astype(np.uint32), above)]
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(some), batch.column(c).type) for c in own], pa.array(row[[i for i, _ in some]] >> PART_BITS), *packed], names=[*own, *_SUMS])
 
         def table(kind):
             """Keys in order and numbers of this slice, with one more number for what isn't there."""
@@ -485,7 +490,8 @@ def _answers(own: list[str], unseen: float):
             kinds = batch.column("_kind").to_numpy()
             texts = batch.filter(pa.array(kinds == _TEXT))
             if texts.num_rows:
-                yield pa.RecordBatch.from_arrays([*map(texts.column, own), *[pa.nulls(texts.num_rows, k) for k in sums.values()]], names=[*own, *sums])
+                part = pa.array(texts.column("_row").to_numpy() >> PART_BITS)
+                yield pa.RecordBatch.from_arrays([*map(texts.column, own), part, *[pa.nulls(texts.num_rows, pa.binary())] * 4], names=[*own, *_SUMS])
             slices, starts, packed, data = (batch.column(c) for c in ("_slice", "_start", "_keys", "_data"))
             rows, tail, unknown, above = [], [], [], []
             for i in np.flatnonzero(kinds != _TEXT):
@@ -508,10 +514,35 @@ def _answers(own: list[str], unseen: float):
                 held = [summed([np.concatenate(x) for x in zip(*held, strict=True)])]
                 size = len(held[0][0])
                 if size > _FLUSH // 2:
-                    yield answer(held.pop(), batch)
+                    yield from answer(held.pop(), batch)
                     size = 0
         if held:
-            yield answer(summed([np.concatenate(x) for x in zip(*held, strict=True)]), batch)
+            yield from answer(summed([np.concatenate(x) for x in zip(*held, strict=True)]), batch)
+
+    return run
+
+
+def _totals(own: list[str]):
+    """Adds what all slices answer to each part of the texts, and then completes the rows of its texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, sums = None, np.zeros((3, 1 << PART_BITS))
+        for batch in batches:
+            part, is_text = batch.column("_part").to_numpy(), batch.column("n_tokens").is_valid().to_numpy(zero_copy_only=False)
+            rows, *packed = (batch.column(c) for c in _SUMS[1:])
+            edges = np.concatenate([[0], np.flatnonzero((np.diff(part) != 0) | (np.diff(is_text) != 0)) + 1, [len(part)]])
+            for first, last in zip(edges[:-1], edges[1:], strict=True):
+                if part[first] != here:
+                    here, sums[:] = part[first], 0
+                if is_text[first]:
+                    texts = batch.slice(first, last - first)
+                    tail, unknown, above = sums[:, texts.column("_row").to_numpy() & (1 << PART_BITS) - 1]
+                    yield pa.RecordBatch.from_arrays([*map(texts.column, own), pa.array(tail), pa.array(unknown.astype(np.int64)), pa.array(above)], names=[*own, *_SUMS[2:]])
+                    continue
+                for i in range(first, last):
+                    at = np.frombuffer(rows[i].as_buffer(), np.uint16)
+                    for total, data, kind in zip(sums, packed, (np.float64, np.uint32, np.float64), strict=True):
+                        total[at] += np.frombuffer(data[i].as_py(), kind)
 
     return run
 
@@ -547,15 +578,13 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
         sent = sent.unionByName(table.mapInArrow(_table_packer(kind, slice_bits), _PACK_SCHEMA), allowMissingColumns=True)
     dealt = sent.repartition(parts, "_slice").sortWithinPartitions("_slice", "_kind")
     unseen = -float(np.log10(m.total + m.distinct + 1))
-    found = kernel.write_table(spark, dealt.mapInArrow(_answers(own, unseen), f"{made}, _tail double, _unknown long, _above double"))
+    found = kernel.write_table(spark, dealt.mapInArrow(_answers(own, unseen), f"{made}, _part long, _rows binary, _tail binary, _unknown binary, _above binary"))
     for done in (m.vocabulary, m.grams):
         kernel.drop_table(spark, done)
     for done in (words, hot, cold):
         done.destroy()
-    asked = found.where("n_tokens IS NULL").groupBy("_row").agg(*[F.sum(c).alias(c) for c in ("_tail", "_unknown", "_above")])
-    whole = found.where("n_tokens IS NOT NULL").select(*own).join(asked, "_row", "left")
-    zero = F.lit(0.0)
-    base, over = F.coalesce("_tail", zero), F.coalesce("_above", zero)
+    parted = found.repartition(parts, "_part").sortWithinPartitions("_part", F.col("n_tokens").isNotNull())
+    whole = parted.mapInArrow(_totals(own), f"{made}, _tail double, _unknown long, _above double")
     return whole.select(
-        *keep, "held_out", "n_tokens", (F.col("n_tokens") - F.coalesce("_unknown", F.lit(0))).alias("n_known"), F.lit(m.total).cast("long").alias("train_tokens"), (F.col("_base") + base).alias("base_score"), (F.col("_model") + base + over).alias("score")
+        *keep, "held_out", "n_tokens", (F.col("n_tokens") - F.col("_unknown")).alias("n_known"), F.lit(m.total).cast("long").alias("train_tokens"), (F.col("_base") + F.col("_tail")).alias("base_score"), (F.col("_model") + F.col("_tail") + F.col("_above")).alias("score")
     )

@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 from math import log, log10
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from nutq.llm import kernel, suffixtree
@@ -109,3 +111,28 @@ def test_bit_tables_hold_every_key(spark):
     table = suffixtree.bits(spark.createDataFrame([(int(k),) for k in keys[:10_000]], "key long"))
     there = suffixtree.has(table, keys.view(np.uint64))
     assert there[:10_000].all() and there[10_000:].mean() < 0.06
+
+
+def test_answers_of_a_slice_are_packed():
+    """A task answers with a row for each part of the texts, not for each text, and the sums come out the same."""
+    rng = np.random.default_rng(15)
+    own = ["_row", "n_tokens"]
+    kinds = {**dict.fromkeys(own, pa.int64()), "_slice": pa.int32(), "_kind": pa.int32(), "_start": pa.int64(), "_keys": pa.binary(), "_data": pa.binary()}
+    keys = np.unique(rng.integers(1, 1 << 60, 500).astype(np.uint64))
+    value, n, start = rng.random(len(keys)), 9000, 3 << 33
+    asked, row = rng.integers(0, len(keys), 40_000), rng.integers(0, n, 40_000).astype(np.uint32)
+    batches = []
+    for kind, of, data in ((suffixtree._TREE, keys, value), (suffixtree._GRAMS, keys[asked], row)):
+        for columns in suffixtree._packs(kind, start, of, data, 1):
+            batches.append(pa.RecordBatch.from_arrays([*[pa.nulls(len(columns[0]), pa.int64())] * 2, *columns], names=list(kinds)))
+    ids = np.arange(start, start + n)
+    text = {"_row": ids, "n_tokens": np.ones(n, np.int64), "_slice": np.zeros(n, np.int32), "_kind": np.full(n, suffixtree._TEXT, np.int32)}
+    batches.append(pa.RecordBatch.from_arrays([pa.array(text[c], k) if c in text else pa.nulls(n, k) for c, k in kinds.items()], names=list(kinds)))
+    made = pa.Table.from_batches(suffixtree._answers(own, -1.0)(iter(batches)))
+    answers, texts = (made.filter(x) for x in (pc.is_null(made["n_tokens"]), pc.is_valid(made["n_tokens"])))
+    assert len(answers) <= 4 and len(texts) == n
+    dealt = pa.concat_tables([answers, texts]).sort_by("_part").to_pandas().assign(text=lambda x: x.n_tokens.notna()).sort_values(["_part", "text"], kind="stable").drop(columns="text")
+    found = pa.Table.from_batches(suffixtree._totals(own)(iter(pa.Table.from_pandas(dealt, made.schema, preserve_index=False).combine_chunks().to_batches())))
+    assert found["_row"].to_numpy().tolist() == ids.tolist()
+    assert found["_above"].to_numpy() == pytest.approx(np.bincount(row, value[asked], n))
+    assert not found["_unknown"].to_numpy().any()
