@@ -39,23 +39,69 @@ def mix(x: np.ndarray) -> np.ndarray:
 def xxhash64(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Spark's ``xxhash64(a, b)`` of two columns of longs, given and returned as unsigned ones."""
     one, two, three, four, five = (np.uint64(x) for x in _XXHASH_PRIMES)
-    turn = lambda x, k: x << np.uint64(k) | x >> np.uint64(64 - k)
-    out = np.uint64(42)
+    out, part, high = np.full(len(a), 42, np.uint64), np.empty(len(a), np.uint64), np.empty(len(a), np.uint64)
+
+    def turn(x: np.ndarray, k: int) -> None:
+        np.right_shift(x, np.uint64(64 - k), out=high)
+        np.left_shift(x, np.uint64(k), out=x)
+        np.bitwise_or(x, high, out=x)
+
+    def fold(k: int) -> None:
+        np.right_shift(out, np.uint64(k), out=high)
+        np.bitwise_xor(out, high, out=out)
+
     with np.errstate(over="ignore"):
         for column in (a, b):
-            out = out + five + np.uint64(8) ^ turn(column * two, 31) * one
-            out = turn(out, 27) * one + four
-            out = (out ^ out >> np.uint64(33)) * two
-            out = (out ^ out >> np.uint64(29)) * three
-            out = out ^ out >> np.uint64(32)
+            np.multiply(column, two, out=part)
+            turn(part, 31)
+            part *= one
+            out += five + np.uint64(8)
+            out ^= part
+            turn(out, 27)
+            out *= one
+            out += four
+            fold(33)
+            out *= two
+            fold(29)
+            out *= three
+            fold(32)
     return out
 
 
+#: Powers that chunks of the usual size need, by base; they are the same for each chunk.
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    full = np.full(n, base, np.uint64)
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; not to be written to."""
+    most = CHUNK_BYTES + 2
+    if n <= most and base in _powers:
+        return _powers[base][:n]
+    full = np.full(max(n, most), base, np.uint64)
     full[:1] = 1
-    return np.multiply.accumulate(full)
+    full = np.multiply.accumulate(full)
+    if len(full) == most:
+        full.flags.writeable = False
+        _powers[base] = full
+    return full[:n]
+
+
+def ascending(keys: np.ndarray) -> np.ndarray:
+    """The stable order of unsigned 64-bit hashes: their first bits are sorted together with the places, many times faster than an argsort."""
+    mask = np.uint64((1 << max(1, len(keys) - 1).bit_length()) - 1)
+    order = np.sort(keys & ~mask | np.arange(len(keys), dtype=np.uint64)) & mask
+    order = order.astype(np.int64)
+    found, done = keys[order], 0
+    for i in np.flatnonzero(found[1:] < found[:-1]):  # different hashes with the same first bits
+        if i >= done:
+            begin, done = (int(np.searchsorted(found & ~mask, found[i] & ~mask, side=side)) for side in ("left", "right"))
+            order[begin:done] = order[begin:done][np.argsort(found[begin:done], kind="stable")]
+    return order
+
+
+def starts(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, np.int64)
 
 
 def inverse(base: int) -> int:
@@ -112,12 +158,14 @@ def words(column: pa.Array, lower: bool = False) -> Words:
     is_end = inside[:-1] & (~inside[1:] | edge)
     start = np.flatnonzero(is_start[:n]) if n else np.empty(0, np.int64)
     end = np.flatnonzero(is_end)
-    doc = np.searchsorted(at, start, side="right") - 1
     first = np.searchsorted(start, at)
+    doc = np.repeat(np.arange(len(at) - 1), np.diff(first))
     with np.errstate(over="ignore"):
         table = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_WORD_MULTIPLIERS[1]))
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(table[raw] * powers(_BYTE_MULTIPLIER, n), out=sums[1:])
+        values = table[raw]
+        values *= powers(_BYTE_MULTIPLIER, n)
+        np.cumsum(values, out=sums[1:])
         value = (sums[end] - sums[start]) * powers(inverse(_BYTE_MULTIPLIER), n + 1)[start]
         value = mix(value ^ (end - start).astype(np.uint64))
     return Words(raw, start, end, doc, first, value)
@@ -183,6 +231,19 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
+@contextmanager
+def long_batches(spark: SparkSession) -> Iterator[None]:
+    """Tables of numbers have short rows, so batches of them are long; for jobs that read no texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if before == str(BATCH_ROWS):
+        spark.conf.set(name, 10_000)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_column(df: DataFrame, *keep: str) -> DataFrame:
     """Only the columns named and ``text``, nulls as empty, in short batches."""
     short_batches(df.sparkSession)

@@ -47,13 +47,19 @@ EVIDENCE = 8.0
 #: Least share of the training tokens of a word and of a gram whose numbers are broadcast; all others are joined.
 NUMBERED = 2e-6
 HOT = 2e-7
+#: Least share of the training tokens of a context or suffix whose grams are not all dealt to one slice.
+ALONE = 1e-4
 #: Keys of a packed row at most, and about how many of the tree's grams a task looks up in at once.
 PACKED = 1 << 12
 SLICE = 1 << 20
 #: Grams of so many words and one more are looked up in a sketch before they are shuffled: of these, most occur once.
 SKETCHED = 2
+#: Deeper grams are found in passes over the texts for so many depths each.
+TOGETHER = 3
 #: log2 of the bits of the largest bit table.
 MOST_BITS = 28
+#: Words of it that one task merges.
+BIT_SLICE = 1 << 15
 END = np.uint64(0xE7D5_0F1E_55ED_C0DE)
 _FLUSH = 2_000_000
 
@@ -81,13 +87,34 @@ def places(first: np.ndarray) -> np.ndarray:
     return np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
 
 
-def bits(keys: DataFrame) -> np.ndarray:
+def bits(keys: DataFrame, count: int | None = None) -> np.ndarray:
     """Two bits of one word for each of a table's keys; ``has`` is true of every key, and of few other values while the table is not full."""
-    size = min(MOST_BITS, max(16, int(12 * keys.count()).bit_length()))
-    words = np.zeros(1 << size - 6, np.int64)
-    one = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 58) as int)) | shiftleft(1L, cast(shiftrightunsigned(key, 52) & 63 as int))")
-    found = keys.select(F.col("key").bitwiseAND(len(words) - 1).alias("at"), one.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
-    words[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+    size = 1 << min(MOST_BITS, max(16, int(12 * (keys.count() if count is None else count)).bit_length())) - 6
+    step = min(size, BIT_SLICE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(size, np.uint64)
+        for batch in batches:
+            key = batch.column("key").to_numpy().view(np.uint64)
+            word = np.uint64(1) << (key >> np.uint64(58)) | np.uint64(1) << (key >> np.uint64(52) & np.uint64(63))
+            np.bitwise_or.at(own, (key & np.uint64(size - 1)).astype(np.int64), word)
+        for first in range(0, size, step):
+            at = np.flatnonzero(own[first : first + step])
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array([first // step], pa.int32()), pa.array([_planes(at.astype(np.uint32))], pa.binary()), pa.array([own[first + at].tobytes()], pa.binary())], names=["slice", "at", "word"])
+
+    def merged(key, frame):
+        import pandas as pd
+
+        out = np.zeros(step, np.uint64)
+        for at, word in zip(frame["at"], frame["word"], strict=True):
+            out[_numbers_of(at, np.uint32)] |= np.frombuffer(word, np.uint64)
+        return pd.DataFrame({"slice": [key[0]], "words": [out.tobytes()]})
+
+    words = np.zeros(size, np.int64)
+    with kernel.long_batches(keys.sparkSession):
+        for row in keys.select("key").mapInArrow(run, "slice int, at binary, word binary").groupBy("slice").applyInPandas(merged, "slice int, words binary").toLocalIterator():
+            words[row.slice * step : (row.slice + 1) * step] = np.frombuffer(row.words, np.int64)
     return words
 
 
@@ -96,46 +123,53 @@ def has(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (word >> (keys >> np.uint64(58)) & word >> (keys >> np.uint64(52) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _counted(held: list[tuple[np.ndarray, ...]], names: tuple[str, ...]) -> pa.RecordBatch:
+def _counted(held: list[tuple[np.ndarray, ...]], kept: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The last columns of equal rows, by the first one, and how many rows there are."""
     columns = [np.concatenate(x) for x in zip(*held, strict=True)]
-    _, at, count = np.unique(columns[0], return_index=True, return_counts=True)
-    return pa.RecordBatch.from_arrays([*[pa.array(c[at].view(np.int64)) for c in columns[-len(names) :]], pa.array(count.astype(np.int64))], names=[*names, "n"])
+    order = kernel.ascending(columns[0])
+    at = kernel.starts(columns[0][order])
+    return [c[order[at]] for c in columns[-kept:]], np.diff(at, append=len(order))
 
 
-def _counter(keys_of):
-    """Sends context, suffix and n of the grams of every chunk, combined in the task."""
+def _counter(keys_of, send):
+    """What ``send`` makes of depth, suffix, context and n of the grams of every chunk, combined in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size = {}, 0
+
+        def flush():
+            for depth, found in held.items():
+                (context, suffix), n = _counted(found, 2)
+                yield from send(depth, suffix, context, n.astype(np.uint32))
+
         for batch in batches:
             column = batch.column("text")
             for first, last in kernel.chunks(column):
-                found = keys_of(column.slice(first, last - first))
-                held.append(found)
-                size += len(found[0])
+                for depth, *found in keys_of(column.slice(first, last - first)):
+                    held.setdefault(depth, []).append(found)
+                    size += len(found[0])
                 if size > _FLUSH:
-                    yield _counted(held, ("context", "suffix"))
-                    held, size = [], 0
-        if size:
-            yield _counted(held, ("context", "suffix"))
+                    yield from flush()
+                    held, size = {}, 0
+        yield from flush()
 
     return run
 
 
-def _first_look(shape: sketch.Shape):
-    """key, n of the words, combined in the task, and its share of the sketch of all pairs of words."""
-    none = lambda n, kind: pa.nulls(n, kind)
+def _first_look(shape: sketch.Shape, bits: int):
+    """Packed key and n of the words, combined in the task, and its share of the sketch of all pairs of words."""
+    none = lambda n, schema: [pa.nulls(n, pa.int32() if f.endswith("int") else pa.binary()) for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, touched = [], 0, sketch.Touched(shape)
 
         def flush():
             if held:
-                words = _counted(held, ("key",))
-                yield pa.RecordBatch.from_arrays([*words.columns, none(words.num_rows, pa.int32()), none(words.num_rows, pa.binary())], names=_FIRST)
+                (key,), n = _counted(held, 1)
+                for batch in _rows(_FOUND, key, [key, n.astype(np.uint64)], bits):
+                    yield pa.RecordBatch.from_arrays([*batch.columns, *none(batch.num_rows, _PART)], names=[*_ROW, "slice", "packed"])
             for part in touched.flush():
-                yield pa.RecordBatch.from_arrays([none(part.num_rows, pa.int64()), none(part.num_rows, pa.int64()), *part.columns], names=_FIRST)
+                yield pa.RecordBatch.from_arrays([*none(part.num_rows, _ROWS), *part.columns], names=[*_ROW, "slice", "packed"])
 
         for batch in batches:
             column = batch.column("text")
@@ -152,36 +186,46 @@ def _first_look(shape: sketch.Shape):
     return run
 
 
-_FIRST = ["key", "n", "slice", "packed"]
+_PART = "slice int, packed binary"
 
 
-def _grams(depth: int, contexts, listed, shape: sketch.Shape | None, packed):
-    """Grams of a context of so many words that may be listed, with their contexts and suffixes.
+def _grams(depths: tuple[int, ...], contexts, listed, shape: sketch.Shape | None, packed):
+    """Grams of contexts of so many words that may be listed: depth, gram, context and suffix.
 
-    The context occurs often enough, and the gram's suffix is listed; the gram
-    is looked up in the sketch, if there is one.
+    At the first depth, the context occurs often enough, and the gram's suffix
+    is listed; the gram is looked up in the sketch, if there is one.  At the
+    others, context and suffix are among the grams found at the depth before.
     """
 
-    def run(column: pa.Array) -> tuple[np.ndarray, ...]:
+    def run(column: pa.Array) -> Iterator[tuple]:
         found, first = tokens(column)
-        for _ in range(depth - 1):
+        for _ in range(depths[0] - 1):
             found = longer(found)
-        at = np.flatnonzero(places(first) >= depth)
-        at = at[has(contexts.value, found[at - 1])]
-        at = at[has(listed.value, found[at])]
-        key = longer(found)[at]
-        if shape:
-            often = sketch.levels(shape, packed.value, key) > 0
-            at, key = at[often], key[often]
-        return key, found[at - 1], found[at]
+        place, at = places(first), None
+        for depth in depths:
+            if at is None:
+                at = np.flatnonzero(place >= depth)
+                at = at[has(contexts.value, found[at - 1])]
+                at = at[has(listed.value, found[at])]
+            else:
+                before = np.zeros(len(found), bool)
+                before[at] = True
+                at = at[(place[at] >= depth) & before[at - 1]]
+            keys = longer(found)
+            key = keys[at]
+            if shape:
+                often = sketch.levels(shape, packed.value, key) > 0
+                at, key = at[often], key[often]
+            yield depth, key, found[at - 1], found[at]
+            found = keys
 
     return run
 
 
-def _sketch(spark: SparkSession, text: DataFrame, before: DataFrame, keys_of):
+def _sketch(spark: SparkSession, text: DataFrame, size: int, keys_of):
     """Shape and broadcast sketch of the grams that these filters leave."""
-    shape = sketch.Shape.of(before.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], 2)
-    every = sketch.build(text, shape, lambda column: (keys_of(column.slice(a, b - a))[0] for a, b in kernel.chunks(column)))
+    shape = sketch.Shape.of(size, 2)
+    every = sketch.build(text, shape, lambda column: (found[1] for a, b in kernel.chunks(column) for found in keys_of(column.slice(a, b - a))))
     kernel.release(spark)
     return shape, spark.sparkContext.broadcast(every)
 
@@ -197,33 +241,285 @@ class Model:
     distinct: int
 
 
-def _level(spark: SparkSession, sent: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of a depth: its listed grams (key, n, log, and gain where their context is a state) and states (key, n, rest).
+#: Columns of packed rows: what a depth's grams, or the grams of the depth before, are, column by column.
+_ROWS = "_depth int, _slice int, _kind int, _a binary, _b binary, _c binary, _d binary"
+_ROW = ["_depth", "_slice", "_kind", "_a", "_b", "_c", "_d"]
+#: Kinds of such rows, in the order in which a slice reads them, and the kinds of numbers of their columns.
+_BEFORE, _FOUND = range(2)
+_U, _N, _X = np.dtype(np.uint64), np.dtype(np.uint32), np.dtype(np.float64)
+
+
+def _rows(kind: int, where: np.ndarray, columns: list[np.ndarray], bits: int, depth: int = 0) -> Iterator[pa.RecordBatch]:
+    """Rows of one slice (the first bits of ``where``) and of ``PACKED`` entries at most; entries are ordered by ``where``."""
+    order = kernel.ascending(where)
+    slices = (where[order] >> np.uint64(64 - bits)).astype(np.int32)
+    columns = [c[order] for c in columns]
+    edges = np.append(kernel.starts(slices), len(slices))
+    cuts = [(i, min(i + PACKED, b)) for a, b in zip(edges[:-1], edges[1:], strict=True) for i in range(a, b, PACKED)]
+    for first in range(0, len(cuts), 64):
+        some = cuts[first : first + 64]
+        packed = [pa.array([_planes(c[a:b]) for a, b in some], pa.binary()) for c in columns]
+        packed += [pa.nulls(len(some), pa.binary())] * (4 - len(packed))
+        yield pa.RecordBatch.from_arrays([pa.array([depth] * len(some), pa.int32()), pa.array(slices[[a for a, _ in some]]), pa.array([kind] * len(some), pa.int32()), *packed], names=_ROW)
+
+
+def _kept(depth: int, suffix: np.ndarray, context: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Grams of a depth that is grown later."""
+    return _rows(_FOUND, suffix, [suffix, context, n], 1, depth)
+
+
+def _unpacked(batch: pa.RecordBatch, i: int, kinds: tuple[np.dtype, ...]) -> list[np.ndarray]:
+    return [_numbers_of(batch.column(c)[i].as_py(), kind) for c, kind in zip(_ROW[3:], kinds, strict=False)]
+
+
+def _dealer(hot, bits: int):
+    """Deals the grams of a depth to the slices of their suffixes; those of a hot suffix, whose numbers every task has, by themselves."""
+
+    def send(depth: int, suffix: np.ndarray, context: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        alone = _Index(hot.value[0]).find(suffix) >= 0
+        where = suffix.copy()
+        where[alone] = kernel.xxhash64(context[alone], suffix[alone])
+        yield from _rows(_FOUND, where, [suffix, context, n], bits)
+
+    return send
+
+
+def _dealt_later(hot, bits: int):
+    """Deals the packed grams of a depth."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, send = [], 0, _dealer(hot, bits)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                held.append(_unpacked(batch, i, (_U, _U, _N)))
+                size += len(held[-1][0])
+                if size > _FLUSH:
+                    yield from send(0, *map(np.concatenate, zip(*held, strict=True)))
+                    held, size = [], 0
+        if size:
+            yield from send(0, *map(np.concatenate, zip(*held, strict=True)))
+
+    return run
+
+
+def _known(kind: int, columns: tuple[str, ...], bits: int):
+    """Deals the columns of a table to the slices of its keys, the first one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in columns])
+            size += batch.num_rows
+            if size > _FLUSH:
+                every = [*map(np.concatenate, zip(*held, strict=True))]
+                yield from _rows(kind, every[0].view(np.uint64), every, bits)
+                held, size = [], 0
+        if size:
+            every = [*map(np.concatenate, zip(*held, strict=True))]
+            yield from _rows(kind, every[0].view(np.uint64), every, bits)
+
+    return run
+
+
+def _by_slice(kinds: tuple[np.dtype, ...], work, last=lambda state: ()):
+    """Gives ``work`` the depth before's keys and values of each slice and the entries it got; sends what it yields, and in the end what ``last`` does."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, known, held, state = None, [], [], {}
+
+        def done():
+            if held:
+                keys, values = (np.concatenate(x) for x in zip((np.empty(0, np.uint64), np.empty(0)), *known, strict=True))
+                order = kernel.ascending(keys)
+                yield from work(keys[order], values[order], *map(np.concatenate, zip(*held, strict=True)), state)
+
+        for batch in batches:
+            slices, sorts = batch.column("_slice").to_numpy(), batch.column("_kind").to_numpy()
+            for i in range(batch.num_rows):
+                if slices[i] != here:
+                    yield from done()
+                    here, known, held = slices[i], [], []
+                if sorts[i] == _BEFORE:
+                    known.append(_unpacked(batch, i, (_U, _X)))
+                else:
+                    held.append(_unpacked(batch, i, kinds))
+        yield from done()
+        yield from last(state)
+
+    return run
+
+
+def _added(names: tuple[str, ...]):
+    """Of the rows of each key: the largest first number, and the sums of the others; of a single number, the sum."""
+
+    def work(_, __, key, *numbers):
+        order = kernel.ascending(key)
+        at = kernel.starts(key[order])
+        values = [np.add.reduceat(x[order], at) if k or len(names) == 2 else np.maximum.reduceat(x[order], at) for k, x in enumerate(numbers[:-1])]
+        yield pa.RecordBatch.from_arrays([pa.array((x.view(np.int64) if x.dtype == _U else x)) for x in (key[order[at]], *values)], names=list(names))
+
+    return _by_slice((_U, _U, _X, _X)[: len(names)], work)
+
+
+#: Plain rows beside packed ones: sums over what a task has of the hot contexts.
+_MET = f"{_ROWS}, context long, told long, kinds long"
+
+
+def _meeting(hot, bits: int):
+    """Counts grams, and finds their suffixes' log; sends context, key, n and that to the slices of the contexts, those of a hot context by themselves."""
+
+    def work(keys, logs, suffix, context, n, state):
+        keys_hot, _, logs_hot = hot.value
+        key = kernel.xxhash64(context, suffix)
+        order = kernel.ascending(key)
+        at = kernel.starts(key[order])
+        n = np.add.reduceat(n[order].astype(np.int64), at) if len(at) else np.empty(0, np.int64)
+        listed = n >= LISTED
+        first, n = order[at[listed]], n[listed]
+        key, context, suffix = key[first], context[first], suffix[first]
+        in_hot, here = _Index(keys_hot).find(suffix), _find(keys, suffix)
+        below = np.where(in_hot >= 0, np.append(logs_hot, np.nan)[in_hot], np.append(logs, np.nan)[here])
+        there = (in_hot >= 0) | (here >= 0)
+        key, context, n, below = key[there], context[there], n[there], below[there]
+        is_hot = _Index(keys_hot).find(context)
+        alone = is_hot >= 0
+        told, kinds = state.setdefault("sums", (np.zeros(len(keys_hot), np.int64), np.zeros(len(keys_hot), np.int64)))
+        np.add.at(told, is_hot[alone], n[alone])
+        np.add.at(kinds, is_hot[alone], 1)
+        for batch in _rows(_FOUND, np.where(alone, key, context), [context, key, n.astype(np.uint64), below], bits):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.nulls(batch.num_rows, pa.int64())] * 3], names=[*_ROW, "context", "told", "kinds"])
+
+    def last(state):
+        if "sums" in state:
+            told, kinds = state["sums"]
+            at = np.flatnonzero(kinds)
+            none = [pa.nulls(len(at), pa.int32())] * 3 + [pa.nulls(len(at), pa.binary())] * 4
+            yield pa.RecordBatch.from_arrays([*none, pa.array(hot.value[0][at].view(np.int64)), pa.array(told[at]), pa.array(kinds[at])], names=[*_ROW, "context", "told", "kinds"])
+
+    return _by_slice((_U, _U, _N), work, last)
+
+
+#: Grams (key, n, log, gain; of a hot context, its key, the suffix's log and the gram's), states (key, n, rest), and of the hot contexts, without a key,
+#: a task's sums of the probabilities, of the suffixes' and of the divergence.
+_GROWN = "key long, n long, log double, gain double, rest double, context long"
+
+
+def _diverging(all_, mass, mass_below, listed, evidence: float):
+    """Which contexts become states, and their rest."""
+    left, left_below = np.maximum(1 - mass, 1e-9), np.maximum(1 - mass_below, 1e-9)
+    return all_ * (listed + left * np.log(left / left_below)) >= evidence, np.log10(left / left_below)
+
+
+def _growing(hot, evidence: float):
+    """Decides which contexts become states.  Hot ones are summed up over all tasks first."""
+
+    def rows(size: int, **columns) -> pa.RecordBatch:
+        kinds = {f.split()[0]: pa.int64() if f.endswith("long") else pa.float64() for f in _GROWN.split(", ")}
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(size, k) for c, k in kinds.items()], names=list(kinds))
+
+    def longs(x: np.ndarray) -> pa.Array:
+        return pa.array(x.view(np.int64))
+
+    def work(keys, counts, context, key, n, below, state):
+        keys_hot, all_hot, weight_hot = hot.value
+        n, is_hot = n.astype(float), _Index(keys_hot).find(context)
+        order = kernel.ascending(context)
+        order = order[is_hot[order] < 0]
+        at = _find(keys, context[order])
+        order, every = order[at >= 0], counts[at[at >= 0]]
+        begin = kernel.starts(context[order])
+        if len(begin):
+            size = np.diff(begin, append=len(order))
+            kinds = size + every[begin] - np.add.reduceat(n[order], begin) + 1  # what is not listed follows once
+            weight, b, own = np.repeat(kinds, size), below[order], n[order]
+            low = 10.0**b
+            prob = (own + weight * low) / (every + weight)
+            states, rest = _diverging(every[begin], np.add.reduceat(prob, begin), np.add.reduceat(low, begin), np.add.reduceat(prob * np.log(prob / low), begin), evidence)
+            log, is_state = np.log10(prob), np.repeat(states, size)
+            gain = log - b - np.repeat(rest, size)
+            yield rows(len(order), key=longs(key[order]), n=pa.array(own.astype(np.int64)), log=pa.array(np.where(is_state, log, b)), gain=pa.array(gain, mask=~is_state))
+            if states.any():
+                yield rows(int(states.sum()), key=longs(context[order][begin[states]]), n=pa.array(every[begin[states]].astype(np.int64)), rest=pa.array(rest[states]))
+        alone = np.flatnonzero(is_hot >= 0)
+        if len(alone):
+            of, low, own = is_hot[alone], 10.0 ** below[alone], n[alone]
+            prob = (own + weight_hot[of] * low) / (all_hot[of] + weight_hot[of])
+            sums = state.setdefault("sums", np.zeros((4, len(keys_hot))))
+            sums += [np.bincount(of, x, len(keys_hot)) for x in (prob, low, prob * np.log(prob / low), np.ones(len(of)))]
+            yield rows(len(of), key=longs(key[alone]), n=pa.array(own.astype(np.int64)), log=pa.array(below[alone]), gain=pa.array(np.log10(prob)), context=longs(context[alone]))
+
+    def last(state):
+        if "sums" in state:
+            mass, mass_below, listed, kinds = state["sums"]
+            at = np.flatnonzero(kinds)
+            yield rows(len(at), context=longs(hot.value[0][at]), log=pa.array(mass[at]), gain=pa.array(mass_below[at]), rest=pa.array(listed[at]))
+
+    return _by_slice((_U, _U, _U, _X), work, last)
+
+
+def _hot(spark: SparkSession, before: DataFrame, total: int):
+    """Broadcast keys in order, n and log of the grams that are so frequent that no slice may get all that they begin or end: 1 / ``ALONE`` at most."""
+    found = before.where(F.col("n") >= max(CONTEXT, ALONE * total)).select("key", "n", "log").toArrow()
+    key = found.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return spark.sparkContext.broadcast((key[order], found.column("n").to_numpy()[order].astype(float), found.column("log").to_numpy()[order]))
+
+
+def _dealt(spark: SparkSession, rows: DataFrame, bits: int) -> DataFrame:
+    """Packed rows, each slice in one partition and in the order of kinds."""
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << bits - 2)
+    return rows.repartition(parts, "_slice").sortWithinPartitions("_slice", "_kind")
+
+
+@dataclass
+class _Level:
+    """Of a depth: its listed grams' keys (key, n), the same with log, the tree's numbers (key, n, gain, rest), the table of all; counts of grams, of those that may be contexts, of all occurrences and of states."""
+
+    keys: DataFrame
+    grams: DataFrame
+    numbers: DataFrame | None
+    table: DataFrame
+    listed: int
+    often: int
+    size: int
+    states: int
+
+
+def _level(spark: SparkSession, sent: DataFrame, before: DataFrame, hot, bits: int) -> _Level:
+    """The next depth, whose packed grams are sent to the slices of their suffixes.
 
     ``before`` has key, n, log of the depth before: a context's occurrences
     are those of the gram that it is, each followed by a token.
     """
-    n = F.col("n")
-    counted = kernel.write_table(spark, sent.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(n >= LISTED))
-    # Contexts and suffixes are tables before they are joined, so that adaptive execution can split very frequent ones.
-    sums = counted.groupBy("context").agg(F.sum("n").alias("told"), F.count("*").alias("kinds"))
-    contexts = sums.join(before.where(n >= CONTEXT).select(F.col("key").alias("context"), n.alias("all")), "context")
-    # What is not listed follows once.
-    contexts = kernel.write_table(spark, contexts.select("context", "all", (F.col("kinds") + F.col("all") - F.col("told") + 1).alias("weight")))
-    below, weight = F.pow(F.lit(10.0), F.col("below")), F.col("weight")
-    known = counted.join(contexts, "context").join(before.select(F.col("key").alias("suffix"), F.col("log").alias("below")), "suffix")
-    known = kernel.write_table(spark, known.select(F.xxhash64("context", "suffix").alias("key"), "context", "n", "all", "below", ((n + weight * below) / (F.col("all") + weight)).alias("prob")))
-    sums = known.groupBy("context").agg(F.max("all").alias("all"), F.sum("prob").alias("mass"), F.sum(below).alias("mass_below"), F.sum(F.col("prob") * F.ln(F.col("prob") / below)).alias("listed"))
-    left, left_below = (F.greatest(1 - F.col(c), F.lit(1e-9)) for c in ("mass", "mass_below"))
-    diverges = F.col("all") * (F.col("listed") + left * F.ln(left / left_below)) >= EVIDENCE
-    states = sums.where(diverges).select(F.col("context").alias("key"), F.col("all").alias("n"), F.log10(left / left_below).alias("rest"))
-    states = kernel.write_table(spark, states)
-    kept = known.join(states.select(F.col("key").alias("context"), "rest"), "context", "left")
-    log = F.coalesce(F.when(F.col("rest").isNotNull(), F.log10("prob")), F.col("below"))
-    grams = kernel.write_table(spark, kept.select("key", "n", log.alias("log"), (F.log10("prob") - F.col("below") - F.col("rest")).alias("gain")))
-    for done in (counted, contexts, known):
-        kernel.drop_table(spark, done)
-    return grams, states
+    told = lambda value: before.select("key", F.col(value).cast("double").alias("value")).mapInArrow(_known(_BEFORE, ("key", "value"), bits), _ROWS)
+    met = kernel.write_table(spark, _dealt(spark, sent.unionByName(told("log")), bits).mapInArrow(_meeting(hot, bits), _MET))
+    keys, every, _ = hot.value
+    sums = met.where("context IS NOT NULL").groupBy("context").agg(F.sum("told").alias("told"), F.sum("kinds").alias("kinds")).toArrow()
+    at = _find(keys, sums.column("context").to_numpy().view(np.uint64))
+    weight = np.ones(len(keys))
+    weight[at] = sums.column("kinds").to_numpy() + every[at] - sums.column("told").to_numpy() + 1
+    weighed = spark.sparkContext.broadcast((keys, every, weight))
+    rows, before = met.where("context IS NULL").select(*_ROW), before.where(F.col("n") >= CONTEXT)
+    with kernel.long_batches(spark):
+        table = kernel.write_table(spark, _dealt(spark, rows.unionByName(told("n")), bits).mapInArrow(_growing(weighed, EVIDENCE), _GROWN))
+    weighed.destroy()
+    kernel.drop_table(spark, met)
+    sums = table.where("key IS NULL").groupBy("context").agg(*(F.sum(c).alias(c) for c in ("log", "gain", "rest"))).toArrow()
+    at = _find(keys, sums.column("context").to_numpy().view(np.uint64))
+    diverges, rest = _diverging(every[at], *(sums.column(c).to_numpy() for c in ("log", "gain", "rest")), EVIDENCE)
+    at, rest = at[diverges], rest[diverges]
+    frequent = spark.createDataFrame(pa.table({"key": keys[at].view(np.int64), "n": every[at].astype(np.int64), "rest": rest}))
+    own = table.where("key IS NOT NULL").join(F.broadcast(frequent.select(F.col("key").alias("context"), F.col("rest").alias("left"))), "context", "left")
+    is_state, is_gram = F.col("left").isNotNull(), F.col("rest").isNull()
+    gain = F.when(is_state, F.col("gain") - F.col("log") - F.col("left")).when(F.col("context").isNull(), F.col("gain"))
+    grams = own.where(is_gram).select("key", "n", F.when(is_state, F.col("gain")).otherwise(F.col("log")).alias("log"))
+    zero = F.lit(0.0)
+    numbers = own.select("key", "n", gain.alias("gain"), "rest").where("gain IS NOT NULL OR rest IS NOT NULL").unionByName(frequent.select("key", "n", zero.alias("gain"), "rest"))
+    numbers = numbers.select("key", "n", F.coalesce("gain", zero).alias("gain"), F.coalesce("rest", zero).alias("rest"))
+    listed = table.where(F.col("key").isNotNull() & is_gram).select("key", "n")
+    n = F.when(is_gram, F.col("n"))
+    count = table.where("key IS NOT NULL").agg(F.count(n), F.count(F.when(n >= CONTEXT, 1)), F.coalesce(F.sum(n), F.lit(0)), F.count("rest")).first()
+    return _Level(listed, grams, numbers, table, *count[:3], count[3] + len(at))
 
 
 def model(spark: SparkSession, train: DataFrame, most_depth: int | None = None) -> Model:
@@ -231,41 +527,58 @@ def model(spark: SparkSession, train: DataFrame, most_depth: int | None = None)
 
     Depths are grown one by one.  A depth that lists no gram ends this: every
     gram of the next one would extend one of its grams, so nothing is lost.
+    Beyond ``SKETCHED``, grams of ``TOGETHER`` depths are found in one pass.
     """
     text, share = train.select("text"), spark.sparkContext.broadcast
-    shape = sketch.Shape.of(sketch.text_bytes(train) // 6, 2)
-    looked = kernel.write_table(spark, text.mapInArrow(_first_look(shape), "key long, n long, slice int, packed binary"))
-    vocabulary = kernel.write_table(spark, looked.where("key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n")))
+    words = sketch.text_bytes(train) // 6
+    shape, slice_bits = sketch.Shape.of(words, 2), max(3, (words // SLICE).bit_length())
+    looked = kernel.write_table(spark, text.mapInArrow(_first_look(shape, slice_bits), f"{_ROWS}, {_PART}"))
+    vocabulary = _dealt(spark, looked.where("slice IS NULL").select(*_ROW), slice_bits).mapInArrow(_added(("key", "n")), "key long, n long")
+    vocabulary = kernel.write_table(spark, vocabulary)
     packed = share(sketch.merge(looked.where("slice IS NOT NULL").select("slice", "packed"), shape))
     kernel.drop_table(spark, looked)
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    before = vocabulary.withColumn("log", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))))
-    zero, parts, states, levels = F.lit(0.0), [], [], []
-    for depth in range(1, (most_depth or MOST_DEPTH) + 1):
-        filters = [share(bits(before.where(F.col("n") >= least))) for least in (CONTEXT, LISTED)]
-        if 1 < depth <= SKETCHED:
-            shape, packed = _sketch(spark, text, before, _grams(depth, *filters, None, None))
-        keys_of = _grams(depth, *filters, *((shape, packed) if depth <= SKETCHED else (None, None)))
-        sent = text.mapInArrow(_counter(keys_of), "context long, suffix long, n long")
-        grams, kept = _level(spark, sent, before)
-        for done in [*filters, packed][: 2 + (depth <= SKETCHED)]:
-            done.destroy()  # with the driver's file
-        levels += [grams, kept]
-        states.append(kept)
-        parts += [grams.where("gain IS NOT NULL").select("key", "n", "gain", zero.alias("rest")), kept.select("key", "n", zero.alias("gain"), "rest")]
-        before = grams
-        if grams.isEmpty():
+    n = F.col("n")
+    total, distinct, listed, often = vocabulary.agg(F.coalesce(F.sum(n), F.lit(0)), F.count("*"), F.count(F.when(n >= LISTED, 1)), F.count(F.when(n >= CONTEXT, 1))).first()
+    grams = vocabulary.withColumn("log", F.log10((n + 1) / F.lit(float(total + distinct + 1))))
+    before = _Level(vocabulary.where(n >= LISTED), grams, None, vocabulary, listed, often, int(total), 0)
+    levels, later, depth, most = [], None, 1, most_depth or MOST_DEPTH
+    while depth <= most:
+        hot, done = _hot(spark, before.grams, total), []
+        if later is None or depth not in later[1]:
+            filters = [share(bits(before.keys.where(n >= CONTEXT), before.often)), share(bits(before.keys, before.listed))]
+            if 1 < depth <= SKETCHED:
+                shape, packed = _sketch(spark, text, before.size, _grams((depth,), *filters, None, None))
+            if depth <= SKETCHED:
+                sent = text.mapInArrow(_counter(_grams((depth,), *filters, shape, packed), _dealer(hot, slice_bits)), _ROWS)
+                done = [*filters, packed]
+            else:
+                together = tuple(range(depth, min(depth + TOGETHER, most + 1)))
+                if later:
+                    kernel.drop_table(spark, later[0])
+                later = kernel.write_table(spark, text.mapInArrow(_counter(_grams(together, *filters, None, None), _kept), _ROWS)), together
+                done = filters
+        if later:
+            sent = later[0].where(F.col("_depth") == depth).mapInArrow(_dealt_later(hot, slice_bits), _ROWS)
+        before = _level(spark, sent, before.grams, hot, slice_bits)
+        for value in [*done, hot]:
+            value.destroy()  # with the driver's file
+        levels.append(before)
+        depth += 1
+        if not before.listed:
             break
+    if later:
+        kernel.drop_table(spark, later[0])
     every = spark.createDataFrame([], "key long, n long, gain double, rest double")
-    for part in parts:
-        every = every.unionByName(part)
+    for level in levels:
+        every = every.unionByName(level.numbers)  # one scan of each level's table
     # A gram's own row and its row as a context.
-    grams = every.groupBy("key").agg(F.max("n").alias("n"), F.sum("gain").alias("gain"), F.sum("rest").alias("rest"))
-    grams = kernel.write_table(spark, grams)
-    counts = [kept.count() for kept in states]
+    columns = "key", "n", "gain", "rest"
+    with kernel.long_batches(spark):
+        grams = _dealt(spark, every.mapInArrow(_known(_FOUND, columns, slice_bits), _ROWS), slice_bits)
+        grams = kernel.write_table(spark, grams.mapInArrow(_added(columns), "key long, n long, gain double, rest double"))
     for level in levels:
-        kernel.drop_table(spark, level)
-    return Model(vocabulary, grams, counts, int(total), int(distinct))
+        kernel.drop_table(spark, level.table)
+    return Model(vocabulary, grams, [level.states for level in levels], int(total), int(distinct))
 
 
 def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -362,7 +675,7 @@ def _numbers_of(data: bytes, kind) -> np.ndarray:
 
 def _packs(kind: int, start: int, keys: np.ndarray, data: np.ndarray, bits: int) -> Iterator[list[pa.Array]]:
     """Keys in order, as differences, with what belongs to each: rows of one slice (the first bits of the keys) and of ``PACKED`` keys at most."""
-    order = np.argsort(keys, kind="stable")
+    order = kernel.ascending(keys)
     keys, data = keys[order], data[order]
     slices = (keys >> np.uint64(64 - bits)).astype(np.int32)
     edges = np.concatenate([[0], np.flatnonzero(np.diff(slices)) + 1, [len(keys)]])
@@ -482,7 +795,7 @@ def _answers(own: list[str], unseen: float):
             parts = tables.get(kind, [])
             if len(parts) != 1:
                 keys = np.concatenate([np.empty(0, np.uint64), *(k for k, _ in parts)])
-                order = np.argsort(keys)
+                order = kernel.ascending(keys)
                 tables[kind] = parts = [(keys[order], np.concatenate([np.empty(0), *(v for _, v in parts)])[order])]
             return parts[0]
 
@@ -567,11 +880,12 @@ def score(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id
     numbered = F.col("n") >= max(2, NUMBERED * m.total)
     words = share(_numbers(m.vocabulary.where(numbered), prior(F.col("n"))))  # 1 / NUMBERED rows at most
     hot = share(_numbers(m.grams.where(F.col("n") >= HOT * m.total), value))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), m.grams.count() // SLICE)
+    count = m.grams.count()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // SLICE)
     slice_bits = (4 * parts).bit_length()
     made = f"{kept}, _row long, n_tokens long, _base double, _model double"
     own = [*keep, "held_out", "_row", "n_tokens", "_base", "_model"]
-    cold = share(bits(m.grams))
+    cold = share(bits(m.grams, count))
     sent = text.mapInArrow(_scorer(words, hot, cold, len(m.states), [*keep, "held_out"], slice_bits), f"{made}, {_PACK_SCHEMA}")
     told = m.vocabulary.where(~numbered).select("key", prior(F.col("n")).alias("value")), m.grams.where(F.col("n") < HOT * m.total).select("key", value.alias("value"))
     for kind, table in zip((_WORDS, _TREE), told, strict=True):

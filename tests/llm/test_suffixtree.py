@@ -136,3 +136,19 @@ def test_answers_of_a_slice_are_packed():
     assert found["_row"].to_numpy().tolist() == ids.tolist()
     assert found["_above"].to_numpy() == pytest.approx(np.bincount(row, value[asked], n))
     assert not found["_unknown"].to_numpy().any()
+
+
+def test_hot_contexts_change_nothing(spark, table, monkeypatch):
+    """Contexts and suffixes are grown in their slices, or summed up over all tasks if frequent, with one result."""
+    rows = table[:150]
+    want, _ = plain_scores(rows, 2)
+    monkeypatch.setattr(suffixtree, "ALONE", 0.02)  # words that are and that are not
+    got = {r.doc_id: r.score for r in suffixtree.score(spark, spark.createDataFrame(rows, "doc_id long, text string"), most_depth=2).collect()}
+    assert [got[i] for i, _ in rows] == pytest.approx(want, rel=1e-9)
+
+
+def test_order_of_hashes_with_equal_first_bits():
+    keys = np.random.default_rng(16).integers(0, 50, 3000).astype(np.uint64)
+    keys[::3] += np.uint64(7 << 60)
+    assert (kernel.ascending(keys) == np.argsort(keys, kind="stable")).all()
+    assert not len(kernel.ascending(keys[:0]))
