@@ -31,3 +31,9 @@ def test_rules_look_at_one_byte_a_character(spark):
     assert all(p and p.isascii() for gap in ("", " +") for p in ScoringConfig().pair_patterns(gap).values())
     verses, _ = counted(spark)
     assert "regexp_extract_all(_skeleton" not in plan(score(verses).select("raw_score", "density_score"))
+
+
+def test_hard_letters_are_not_extracted_one_by_one(spark, sf_dir):
+    assert "array_distinct" not in plan(Q.QUERIES["zero_bonus"](spark, sf_dir))
+    verses = with_word_count(spark.createDataFrame([(1, 1, 1, "ضَظَ ضَ ءَ"), (2, 1, 2, "بَ"), (3, 1, 3, None)], "ord long, surah int, ayah int, text string"))
+    assert [r[0] for r in score(verses).orderBy("ord").select("distinct_hard_letters").collect()] == ["ء,ض,ظ", "", None]
