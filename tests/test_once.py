@@ -37,3 +37,10 @@ def test_hard_letters_are_not_extracted_one_by_one(spark, sf_dir):
     assert "array_distinct" not in plan(Q.QUERIES["zero_bonus"](spark, sf_dir))
     verses = with_word_count(spark.createDataFrame([(1, 1, 1, "ضَظَ ضَ ءَ"), (2, 1, 2, "بَ"), (3, 1, 3, None)], "ord long, surah int, ayah int, text string"))
     assert [r[0] for r in score(verses).orderBy("ord").select("distinct_hard_letters").collect()] == ["ء,ض,ظ", "", None]
+
+
+def test_only_first_rows_are_scored_for_many_configurations(spark):
+    verses, _ = counted(spark)
+    above, below = plan(score_many(verses, {"one": ScoringConfig(), "two": Q.CUSTOM})).split("Aggregate", 1)
+    pairs = ScoringConfig().pair_patterns()["same_group"]
+    assert pairs in above and pairs not in below
