@@ -39,6 +39,20 @@ def test_hard_letters_are_not_extracted_one_by_one(spark, sf_dir):
     assert [r[0] for r in score(verses).orderBy("ord").select("distinct_hard_letters").collect()] == ["ء,ض,ظ", "", None]
 
 
+def test_texts_are_judged_once(spark):
+    verses, read = counted(spark)
+    rows = filters.classify(verses, None, ["ord", "surah", "ayah", "text"]).orderBy("ord").collect()
+    assert [r.reason for r in rows] == [None, None, "word_count", "duplicate_of_1:0", "not_fully_diacritized"]
+    assert [r.text for r in rows] == TEXTS and read.value == len(TEXTS)
+
+
+def test_no_filter_counts_in_texts(spark, sf_dir):
+    verses = Q.verse_view(spark, sf_dir)
+    for df in (filters.classify(verses), filters.kept_rows(verses)):
+        conditions = [line for line in plan(df.where("reason IS NOT NULL") if "reason" in df.columns else df).splitlines() if "Filter" in line]
+        assert conditions and not any("translate" in line or "regexp" in line for line in conditions)
+
+
 def test_only_first_rows_are_scored_for_many_configurations(spark):
     verses, _ = counted(spark)
     above, below = plan(score_many(verses, {"one": ScoringConfig(), "two": Q.CUSTOM})).split("Aggregate", 1)
