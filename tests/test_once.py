@@ -53,6 +53,13 @@ def test_no_filter_counts_in_texts(spark, sf_dir):
         assert conditions and not any("translate" in line or "regexp" in line for line in conditions)
 
 
+def test_dropped_rows_are_judged_once_for_their_order(spark):
+    verses, read = counted(spark)
+    drops = filters.dropped(filters.classify(verses, None, ["ord", "surah", "ayah"]))
+    assert [r.ord for r in filters.in_stage_order(drops).collect()] == [2, 4, 3]
+    assert read.value == len(TEXTS)
+
+
 def test_only_first_rows_are_scored_for_many_configurations(spark):
     verses, _ = counted(spark)
     above, below = plan(score_many(verses, {"one": ScoringConfig(), "two": Q.CUSTOM})).split("Aggregate", 1)
