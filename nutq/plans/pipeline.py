@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from ..config import ScoringConfig
 from ..operators import filters
 from ..operators.score import score
-from ..sources.shared import checkpointed
+from ..sources.shared import checkpointed, written
 
 
 def score_verses(verses: DataFrame, config: ScoringConfig | None = None) -> tuple[DataFrame, DataFrame]:
@@ -32,9 +32,10 @@ def with_ranks(scored: DataFrame, by: str = "raw") -> DataFrame:
 
     Rows are sorted in range partitions, once, in the shared folder; a row's rank
     is its place in its partition and the sizes of those before, so no task
-    sees more than its range.
+    sees more than its range.  They are written before, because ranges are found
+    by reading all rows once more, which would score them again.
     """
-    placed = checkpointed(ranked(scored, by).withColumn("_at", F.monotonically_increasing_id()))
+    placed = checkpointed(ranked(written(scored), by).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33).alias("_part")
     sizes = placed.groupBy(part).agg(F.count("*").alias("_n"))
     # One row for each partition of the sort.

@@ -60,6 +60,12 @@ def test_dropped_rows_are_judged_once_for_their_order(spark):
     assert read.value == len(TEXTS)
 
 
+def test_ranked_rows_are_scored_once(spark):
+    verses, read = counted(spark)
+    rows = with_ranks(score(verses)).orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == [1, 2, 3, 4, 5] and read.value == len(TEXTS)
+
+
 def test_only_first_rows_are_scored_for_many_configurations(spark):
     verses, _ = counted(spark)
     above, below = plan(score_many(verses, {"one": ScoringConfig(), "two": Q.CUSTOM})).split("Aggregate", 1)
